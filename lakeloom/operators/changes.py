@@ -121,3 +121,8 @@ def refresh_aggregate(
     touched = touched_keys(feed, keys)
     fresh = silver.join(touched, list(keys), "left_semi").groupBy(*keys).agg(*aggregates)
     return gold.join(touched, list(keys), "left_anti").unionByName(fresh)
+
+
+def difference(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``left`` whose key ``right`` does not have."""
+    return left.join(right.select(*keys), list(keys), "left_anti")

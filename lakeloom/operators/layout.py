@@ -70,10 +70,12 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
         F.struct(*[F.percentile_approx(c, points, 10_000).alias(c) for c in columns]).alias("b")
     ).scalar()
     df = df.withColumn("_bounds", bounds)
-    places = {
-        c: F.coalesce(F.size(F.filter(F.col("_bounds")[c], lambda b, c=c: b < F.col(c))), F.lit(0))
-        for c in columns
-    }
+
+    def place(c: str) -> Column:
+        below = F.filter(F.col("_bounds")[c], lambda bound: bound < F.col(c))
+        return F.coalesce(F.size(below), F.lit(0))
+
+    places = {c: place(c) for c in columns}
     df = df.withColumns({f"_q_{c}": place for c, place in places.items()})
     z: Column = F.lit(0).cast("bigint")
     width = len(columns)

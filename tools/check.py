@@ -60,12 +60,15 @@ def main(parts):
                 print(f"rows  {name:45s} {len(got):7d} rows {took:6.2f}s", flush=True)
                 continue
             cur = con.execute(entry.sql)
+            wide = [d[0] for d in cur.description if str(d[1]).startswith(("HUGEINT", "DECIMAL"))]
+            if wide:
+                raise AssertionError(f"cast these SQL columns to BIGINT or DOUBLE: {wide}")
             want, want_cols = table(cur.fetchall(), [d[0] for d in cur.description])
             if cols != want_cols:
                 raise AssertionError(f"columns {cols} != {want_cols}")
             if got != want:
-                only = [g for g in got if g not in set(want)][:3]
-                miss = [w for w in want if w not in set(got)][:3]
+                only = sorted(set(got) - set(want), key=str)[:3]
+                miss = sorted(set(want) - set(got), key=str)[:3]
                 raise AssertionError(f"{len(got)} vs {len(want)} rows\n   spark {only}\n   sql   {miss}")
             flag = "" if got else "  EMPTY"
             print(f"ok    {name:45s} {len(got):7d} rows {took:6.2f}s{flag}", flush=True)
