@@ -15,7 +15,6 @@ from lakeloom.plans import fraud, marts, medallion
 from lakeloom.session import workspace
 from lakeloom.sources import files
 from lakeloom.sources import tables as table_io
-from lakeloom.sources.landing import file_stream  # noqa: F401  (part of the public surface)
 
 RAW_SCHEMA = (
     "txn_id string, txn_date string, txn_time string, customer_id string, amount string, "
@@ -52,10 +51,7 @@ def bronze(t: Tables):
     """The raw rows landed as CSV and read back with lineage columns."""
     landing, path = workspace(t.spark, "landing"), workspace(t.spark, "bronze")
     raw_rows(t).write.option("header", "true").csv(landing)
-    from pyspark.sql.types import _parse_datatype_string
-
-    schema = _parse_datatype_string(RAW_SCHEMA)
-    read = files.read_csv(t.spark, landing, schema, multiLine="false")
+    read = files.read_csv(t.spark, landing, RAW_SCHEMA, multiLine="false")
     tagged = files.with_ingest_columns(read, "2001-08-01", "run-1", F.lit("2001-08-01").cast("timestamp"))
     table_io.write_parquet(tagged, path, partition_by=["_batch_date"])
     return t.spark.read.parquet(path)

@@ -36,7 +36,7 @@ CSV_OPTIONS = {
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, **options: str
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str, **options: str
 ) -> DataFrame:
     """CSV with every option of :data:`CSV_OPTIONS`, each of which may be overridden.
 
@@ -53,14 +53,17 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)`` of a permissive read that has the corrupt-record column.
 
-    Both sides select data columns too, which Spark requires of a raw text scan.
+    Spark refuses to read that column alone from raw text, so stage or cache ``df`` first
+    when the bad rows are only counted; the text is then parsed once as well.
     """
     bad = df.where(F.col(CORRUPT).isNotNull())
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return good, bad
 
 
-def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def read_json(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str, multi_line: bool = False
+) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", str(multi_line).lower()).json(path)
 
 
@@ -77,7 +80,7 @@ def read_orc(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return (spark.read if schema is None else spark.read.schema(schema)).orc(path)
 
 
-def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) -> DataFrame:
+def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.option("rowTag", row_tag).schema(schema).xml(path)
 
 
@@ -90,7 +93,7 @@ def read_avro(spark: SparkSession, path: str, reader_schema: str | None = None)
 
 
 def read_if_present(
-    spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | str, format: str = "parquet"
 ) -> DataFrame | None:
     """``None`` when the path is missing or holds no rows; every other error surfaces."""
     try:

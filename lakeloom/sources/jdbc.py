@@ -1,4 +1,7 @@
-"""Relational databases over JDBC."""
+"""Relational databases over JDBC.
+
+The catalogue has no query for these: it would need a database to talk to.
+"""
 
 from __future__ import annotations
 
@@ -22,17 +25,34 @@ def read_table(
 
     The bounds only shape the ranges; rows outside them are read too.
     """
-    reader = spark.read.format("jdbc").options(
-        url=url, dbtable=table, fetchsize=str(fetch_size), **options
-    )
+    made = read_options(url, table, partition_column, lower, upper, partitions, fetch_size)
+    return spark.read.format("jdbc").options(**made, **options).load()
+
+
+def read_options(
+    url: str,
+    table: str,
+    partition_column: str | None = None,
+    lower: Any = None,
+    upper: Any = None,
+    partitions: int = 8,
+    fetch_size: int = 10_000,
+) -> dict[str, str]:
+    made = {"url": url, "dbtable": table, "fetchsize": str(fetch_size)}
     if partition_column:
-        reader = reader.options(
-            partitionColumn=partition_column,
-            lowerBound=str(lower),
-            upperBound=str(upper),
-            numPartitions=str(partitions),
-        )
-    return reader.load()
+        made |= {
+            "partitionColumn": partition_column,
+            "lowerBound": str(lower),
+            "upperBound": str(upper),
+            "numPartitions": str(partitions),
+        }
+    return made
+
+
+def since_query(table: str, column: str, watermark: str | None) -> str:
+    """The sub-query of an incremental read."""
+    where = "" if watermark is None else f" WHERE {column} >= {watermark}"
+    return f"(SELECT * FROM {table}{where}) src"
 
 
 def read_since(
@@ -42,8 +62,7 @@ def read_since(
 
     ``watermark`` is a SQL literal of the database, written by the caller.
     """
-    where = "" if watermark is None else f" WHERE {column} >= {watermark}"
-    return read_table(spark, url, f"(SELECT * FROM {table}{where}) src", **more)
+    return read_table(spark, url, since_query(table, column, watermark), **more)
 
 
 def write_table(

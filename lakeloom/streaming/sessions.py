@@ -16,21 +16,22 @@ OUTPUT = (
 STATE = "sessions string"
 
 
-def merge_runs(open_sessions: list[list], events: pd.DataFrame, gap_ms: int) -> list[list]:
-    """Add a batch of events (``ms``, ``amount``) to ``[start, last, count, total]`` sessions.
+def merge_runs(open_sessions: list[list], events: pd.DataFrame, gap: int) -> list[list]:
+    """Add a batch of events (``at``, ``amount``) to ``[start, last, count, total]`` sessions.
 
-    Independent of the order in which batches arrive.
+    Independent of the order in which batches arrive. A pause of ``gap`` or more ends a
+    session, as in Spark's own session windows.
     """
-    events = events.sort_values("ms", kind="stable")
-    run = (events["ms"].diff() > gap_ms).cumsum()
+    events = events.sort_values("at", kind="stable")
+    run = (events["at"].diff() >= gap).cumsum()
     runs = events.groupby(run).agg(
-        start=("ms", "min"), last=("ms", "max"), count=("ms", "size"), total=("amount", "sum")
+        start=("at", "min"), last=("at", "max"), count=("at", "size"), total=("amount", "sum")
     )
     pieces = [*open_sessions, *[[int(a), int(b), int(n), float(t)] for a, b, n, t in runs.itertuples(index=False)]]
     pieces.sort()
     merged: list[list] = []
     for start, last, count, total in pieces:
-        if merged and start - merged[-1][1] <= gap_ms:
+        if merged and start - merged[-1][1] < gap:
             top = merged[-1]
             merged[-1] = [top[0], max(top[1], last), top[2] + count, top[3] + total]
         else:
@@ -48,7 +49,7 @@ def track_sessions(
     come in Arrow batches, so a very busy customer is never held in memory at once; state
     is one small record per open session.
     """
-    gap_ms = gap_minutes * 60_000
+    gap = gap_minutes * 60_000_000
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         sessions = json.loads(state.get[0]) if state.exists else []
@@ -56,15 +57,15 @@ def track_sessions(
             for pdf in batches:
                 at = pdf["event_timestamp"]
                 events = pd.DataFrame(
-                    {"ms": at.astype("datetime64[ms]").astype("int64"), "amount": pdf["amount"].fillna(0.0)}
+                    {"at": at.astype("datetime64[us]").astype("int64"), "amount": pdf["amount"].fillna(0.0)}
                 )
-                sessions = merge_runs(sessions, events, gap_ms)
-        now = state.getCurrentWatermarkMs()
-        ended = [s for s in sessions if s[1] + gap_ms <= now]
-        still_open = [s for s in sessions if s[1] + gap_ms > now]
+                sessions = merge_runs(sessions, events, gap)
+        now = state.getCurrentWatermarkMs() * 1000
+        ended = [s for s in sessions if s[1] + gap <= now]
+        still_open = [s for s in sessions if s[1] + gap > now]
         if still_open:
             state.update((json.dumps(still_open),))
-            state.setTimeoutTimestamp(min(s[1] for s in still_open) + gap_ms)
+            state.setTimeoutTimestamp((min(s[1] for s in still_open) + gap) // 1000 + 1)
         elif state.exists:
             state.remove()
         active = [] if state.hasTimedOut else still_open
@@ -75,7 +76,7 @@ def track_sessions(
                 columns=["customer_id", "session_start", "last_event_time", "event_count", "total_amount", "session_status"],
             )
             for c in ("session_start", "last_event_time"):
-                out[c] = pd.to_datetime(out[c], unit="ms", utc=True)
+                out[c] = pd.to_datetime(out[c], unit="us")
             yield out
 
     return stream.groupBy("customer_id").applyInPandasWithState(
