@@ -83,7 +83,7 @@ def h02c(t: Tables):
     day = F.date_trunc("day", F.col("ts").cast("timestamp"))
     source = t.events.select("user_id", (F.dayofyear("ts") / 3).cast("int").alias("state"), day.alias("at"))
     empty = history.open_history(source.limit(0).drop("at"), moment("2024-01-01"))
-    return dated(history.scd2(empty, source, "user_id", ["state"], "at"))
+    return dated(history.scd2(empty, source, "user_id", ["state"], "at", F.trunc("valid_from", "month")))
 
 
 @query(

@@ -179,10 +179,11 @@ def j10(t: Tables):
 def j10b(t: Tables):
     t.customer.createOrReplaceTempView("loom_customer")
     t.nation.createOrReplaceTempView("loom_nation")
-    # nation is a code list of 25 rows
+    rows, size = joins.measured_size(t.nation, 10_000)
+    hint = "/*+ BROADCAST(n) */" if rows <= 10_000 and size <= 8 * 1024 * 1024 else ""
     return t.spark.sql(
-        """SELECT /*+ BROADCAST(n) */ n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
-           FROM loom_customer c JOIN loom_nation n ON c_nationkey = n_nationkey GROUP BY n_name"""
+        f"""SELECT {hint} n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+            FROM loom_customer c JOIN loom_nation n ON c_nationkey = n_nationkey GROUP BY n_name"""
     )
 
 

@@ -45,15 +45,19 @@ def w01(t: Tables):
 
 @query(
     "w01_ranks_builtin_window",
-    f"""WITH {TXN} SELECT txn_id, customer_id, ROW_NUMBER() OVER w AS row_number, RANK() OVER w AS rank,
-        DENSE_RANK() OVER w AS dense_rank FROM txn WINDOW w AS (PARTITION BY customer_id ORDER BY amount DESC, txn_id)""",
+    f"""WITH {TXN}, d AS (SELECT payment_mode, txn_date, COUNT(*) AS n FROM txn GROUP BY 1, 2)
+        SELECT payment_mode, CAST(txn_date AS VARCHAR) AS txn_date, ROW_NUMBER() OVER (PARTITION BY payment_mode ORDER BY n DESC, txn_date) AS row_number,
+        RANK() OVER w AS rank, DENSE_RANK() OVER w AS dense_rank FROM d WINDOW w AS (PARTITION BY payment_mode ORDER BY n DESC)""",
 )
 def w01b(t: Tables):
-    w = Window.partitionBy("customer_id").orderBy(F.desc("amount"), "txn_id")
-    return t.txn.select(
-        "txn_id",
-        "customer_id",
-        F.row_number().over(w).alias("row_number"),
+    """Days ranked by volume: one row per day and mode, so plain windows are enough."""
+    daily = t.txn.groupBy("payment_mode", "txn_date").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("payment_mode").orderBy(F.desc("n"))
+    unique = Window.partitionBy("payment_mode").orderBy(F.desc("n"), "txn_date")
+    return daily.select(
+        "payment_mode",
+        F.col("txn_date").cast("string").alias("txn_date"),
+        F.row_number().over(unique).alias("row_number"),
         F.rank().over(w).alias("rank"),
         F.dense_rank().over(w).alias("dense_rank"),
     )

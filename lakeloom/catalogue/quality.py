@@ -142,20 +142,15 @@ def q10(t: Tables):
     return dq.orphan_count(t.orders, parents, "o_custkey", "c_custkey")
 
 
-def yearly_reports(t: Tables):
-    """Rule results of one run per year of transactions, from a single pass per rule set."""
-    runs = None
-    for year in (1996, 1997, 1998):
-        batch = t.dirty.where(F.year("txn_date") == year)
-        one = dq.rule_results(batch, rules()).withColumn("batch_date", F.lit(f"{year}-12-31"))
-        runs = one if runs is None else runs.unionByName(one)
-    return runs
+def yearly_results(t: Tables):
+    """Rule results of one run per year of transactions, from one pass over all years."""
+    dated = t.dirty.withColumn("batch_date", F.concat(F.year("txn_date").cast("string"), F.lit("-12-31")))
+    return dq.rule_results(dated, rules(), ["batch_date"])
 
 
 _YEARLY = " UNION ALL ".join(
-    f"SELECT '{y}-12-31' AS batch_date, '{i}' AS rule_id, '{n}' AS rule_name, '{s}' AS severity, COUNT(*) FILTER (WHERE NOT COALESCE({c}, FALSE)) AS failed_records, "
-    f"CASE WHEN COUNT(*) FILTER (WHERE NOT COALESCE({c}, FALSE)) * 100.0 / COUNT(*) <= {t} THEN 'PASSED' ELSE 'FAILED' END AS status FROM dirty WHERE YEAR(txn_date) = {y}"
-    for y in (1996, 1997, 1998)
+    f"SELECT CAST(YEAR(txn_date) AS VARCHAR) || '-12-31' AS batch_date, '{i}' AS rule_id, '{n}' AS rule_name, '{s}' AS severity, COUNT(*) FILTER (WHERE NOT COALESCE({c}, FALSE)) AS failed_records, "
+    f"CASE WHEN COUNT(*) FILTER (WHERE NOT COALESCE({c}, FALSE)) * 100.0 / COUNT(*) <= {t} THEN 'PASSED' ELSE 'FAILED' END AS status FROM dirty GROUP BY 1"
     for i, n, c, s, t in _RULES
 )
 
@@ -166,13 +161,7 @@ _YEARLY = " UNION ALL ".join(
         SELECT batch_date, overall_status, total_rules, passed_rules, failed_errors, ROUND(passed_rules * 100.0 / total_rules, 1) AS pass_rate_pct FROM b""",
 )
 def q11(t: Tables):
-    runs = yearly_reports(t)
-    reports = None
-    for year in (1996, 1997, 1998):
-        day = f"{year}-12-31"
-        one = dq.quality_report(runs.where(F.col("batch_date") == day)).withColumn("batch_date", F.lit(day))
-        reports = one if reports is None else reports.unionByName(one)
-    return dq.pass_rate_trend(reports)
+    return dq.pass_rate_trend(dq.quality_report(yearly_results(t), ["batch_date"]))
 
 
 @query(
@@ -180,7 +169,7 @@ def q11(t: Tables):
     f"""WITH {DIRTY}, r AS ({_YEARLY}) SELECT rule_id, rule_name, COUNT(*) AS failure_count, ROUND(AVG(failed_records), 2) AS avg_failures FROM r WHERE status = 'FAILED' GROUP BY 1, 2""",
 )
 def q11b(t: Tables):
-    return dq.failing_rules(yearly_reports(t))
+    return dq.failing_rules(yearly_results(t))
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.catalogue.registry import TXN, Tables, query
 from lakeloom.functions import calendar, text
+from lakeloom.operators.aggregates import collect_chunks
 
 
 @query(
@@ -316,13 +317,20 @@ def f19(t: Tables):
     return rebuilt.select("p_partkey", "item.*")
 
 
+SIZE = 1000
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_suppkey", "l_discount", "l_tax", "l_shipdate"]
+
+
 def orders_with_items(t: Tables):
-    """Orders with an array of item structs. An order has a handful of lines by nature."""
+    """Orders with an array of item structs; an order of more than ``SIZE`` items continues
+    on further rows (``chunk`` 1, 2, ...)."""
     item = F.struct(
         F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("sku"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"),
     )
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "o_custkey", "items")
+    order = [F.col(c) for c in LINE_ORDER]
+    lines = collect_chunks(t.lineitem, ["l_orderkey"], item, order, SIZE, block=F.col("l_linenumber"))
+    joined = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return joined.select("o_orderkey", "o_custkey", "chunk", "items")
 
 
 @query(
@@ -340,8 +348,9 @@ def f20(t: Tables):
        l_partkey AS sku FROM lineitem""",
 )
 def f20b(t: Tables):
-    exploded = orders_with_items(t).select("o_orderkey", F.posexplode("items").alias("pos", "item"))
-    return exploded.select("o_orderkey", "pos", "item.sku")
+    exploded = orders_with_items(t).select("o_orderkey", "chunk", F.posexplode("items").alias("p", "item"))
+    pos = (F.col("chunk") * SIZE + F.col("p")).cast("int").alias("pos")
+    return exploded.select("o_orderkey", pos, "item.sku")
 
 
 @query("f20_lateral_view", "SELECT l_orderkey AS o_orderkey, l_partkey AS sku, l_extendedprice AS price FROM lineitem")
@@ -378,27 +387,34 @@ def f22(t: Tables):
     with_items = orders_with_items(t).where(items.isNotNull())
     total = F.aggregate(items, F.lit(0.0), lambda acc, i: acc + i["qty"] * i["price"])
     doubled = F.transform(items, lambda i: i["qty"] * 2)
-    return with_items.select(
+    per_chunk = with_items.select(
         "o_orderkey",
-        F.round(total, 2).alias("total"),
-        F.size(F.filter(items, lambda i: i["price"] > 50000)).cast("bigint").alias("expensive"),
+        total.alias("total"),
+        F.size(F.filter(items, lambda i: i["price"] > 50000)).alias("expensive"),
         F.forall(items, lambda i: i["qty"] > 5).alias("all_over_5"),
         F.exists(items, lambda i: i["qty"] > 45).alias("any_over_45"),
         F.aggregate(doubled, F.lit(0.0), lambda acc, q: acc + q).alias("doubled"),
     )
+    return per_chunk.groupBy("o_orderkey").agg(
+        F.round(F.sum("total"), 2).alias("total"),
+        F.sum("expensive").alias("expensive"),
+        F.bool_and("all_over_5").alias("all_over_5"),
+        F.bool_or("any_over_45").alias("any_over_45"),
+        F.sum("doubled").alias("doubled"),
+    )
 
 
 @query(
     "f23_recollect_array",
-    """SELECT l_orderkey AS o_orderkey, string_agg(CAST(l_partkey * 10 AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) AS skus
-       FROM lineitem GROUP BY 1""",
+    """WITH p AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS pos FROM lineitem)
+       SELECT l_orderkey AS o_orderkey, pos // 1000 AS chunk, string_agg(CAST(l_partkey * 10 AS VARCHAR), ',' ORDER BY pos) AS skus FROM p GROUP BY 1, 2""",
 )
 def f23(t: Tables):
     """Explode, change every item, collect again in the old order."""
-    flat = orders_with_items(t).select("o_orderkey", F.posexplode("items").alias("pos", "item"))
-    changed = flat.select("o_orderkey", F.struct("pos", (F.col("item.sku") * 10).cast("string").alias("sku")).alias("p"))
-    again = changed.groupBy("o_orderkey").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    return again.select("o_orderkey", F.array_join(F.transform("ps", lambda p: p["sku"]), ",").alias("skus"))
+    flat = orders_with_items(t).select("o_orderkey", "chunk", F.posexplode("items").alias("pos", "item"))
+    changed = flat.select("o_orderkey", "chunk", F.struct("pos", (F.col("item.sku") * 10).cast("string").alias("sku")).alias("p"))
+    again = changed.groupBy("o_orderkey", "chunk").agg(F.array_sort(F.collect_list("p")).alias("ps"))
+    return again.select("o_orderkey", "chunk", F.array_join(F.transform("ps", lambda p: p["sku"]), ",").alias("skus"))
 
 
 @query(
@@ -484,8 +500,7 @@ def f29(t: Tables):
     )
     schema = "order_id bigint, customer struct<id:bigint>, items array<struct<sku:bigint, qty:double, price:double>>"
     parsed = as_json.select(F.from_json("line", schema).alias("o")).select("o.*")
-    total = F.aggregate("items", F.lit(0.0), lambda acc, i: acc + i["qty"] * i["price"])
-    flat = parsed.select(
-        "order_id", F.col("customer.id").alias("customer_id"), F.round(total, 2).alias("order_total"), F.explode("items").alias("i")
-    )
-    return flat.select("order_id", "customer_id", "i.sku", "i.qty", "order_total")
+    line_total = F.aggregate("items", F.lit(0.0), lambda acc, i: acc + i["qty"] * i["price"])
+    totals = parsed.groupBy("order_id").agg(F.round(F.sum(line_total), 2).alias("order_total"))
+    flat = parsed.select("order_id", F.col("customer.id").alias("customer_id"), F.explode("items").alias("i"))
+    return flat.join(totals, "order_id").select("order_id", "customer_id", "i.sku", "i.qty", "order_total")

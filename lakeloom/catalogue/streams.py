@@ -121,10 +121,10 @@ def r04(t: Tables):
 def r04b(t: Tables):
     """The same sessions from custom state, which also reports the open ones as they grow."""
     path = workspace(t.spark, "stateful")
-    rows = windows.with_watermark(stream(t), "ts", "10 minutes").select(
-        F.col("user_id").cast("string").alias("customer_id"), F.col("ts").alias("event_timestamp"), F.col("value").alias("amount")
+    rows = stream(t).select(
+        F.col("user_id").cast("string").alias("customer_id"), F.col("ts").cast("timestamp").alias("event_timestamp"), F.col("value").alias("amount")
     )
-    tracked = sessions.track_sessions(rows, 120)
+    tracked = sessions.track_sessions(rows, "10 minutes", 120)
     drain(start_batches(tracked, batches.append_handler(f"{path}/data"), f"{path}/checkpoint", mode="update"))
     ended = t.spark.read.parquet(f"{path}/data").where("session_status = 'TIMED_OUT'")
     return ended.select(F.col("customer_id").cast("bigint").alias("user_id"), stamp("session_start"), "event_count", F.round("total_amount", 2).alias("total_amount"))
@@ -209,7 +209,7 @@ PAIRS = """v AS (SELECT event_id AS view_id, user_id, ts FROM events WHERE event
 @query("j15_stream_interval_join", f"WITH {PAIRS} SELECT view_id, purchase_id FROM v JOIN p ON user_id = buyer AND bought_at >= ts AND bought_at <= ts + INTERVAL 6 HOUR")
 def j15(t: Tables):
     left, right = sides(t)
-    return run_to_files(t, joins.interval_join(left, right, *KEYS), "interval").select("view_id", "purchase_id")
+    return run_to_files(t, joins.interval_join(left, right, *KEYS, salts=4), "interval").select("view_id", "purchase_id")
 
 
 UNMATCHED_SQL = f"""WITH {PAIRS}, wm AS (SELECT LEAST(MAX(ts) FILTER (WHERE event_type = 'view'), MAX(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 10 MINUTE AS wm FROM events)
@@ -220,7 +220,7 @@ UNMATCHED_SQL = f"""WITH {PAIRS}, wm AS (SELECT LEAST(MAX(ts) FILTER (WHERE even
 @query("j16_stream_unmatched", UNMATCHED_SQL)
 def j16(t: Tables):
     left, right = sides(t)
-    return run_to_files(t, joins.unmatched(left, right, *KEYS), "unmatched").select("view_id")
+    return run_to_files(t, joins.unmatched(left, right, *KEYS, salts=4), "unmatched").select("view_id")
 
 
 @query("r10_interval_join_alerts", UNMATCHED_SQL.replace("SELECT view_id FROM v", "SELECT COUNT(*) AS n, MIN(view_id) AS first_view FROM v"))

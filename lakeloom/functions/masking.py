@@ -14,6 +14,9 @@ PII_PATTERNS = {
     "pan": r"\b[A-Z]{5}[0-9]{4}[A-Z]\b",
 }
 
+# A character that every match of a pattern contains, where there is one.
+PII_SIGNS = {"email": "@", "phone": "-", "card": "", "ipv4": ".", "pan": ""}
+
 
 def mask_identity_card(c: Column) -> Column:
     """Only the four digits of a ten-character tax id stay: ``XXXXX1234X``."""

@@ -208,10 +208,14 @@ def merge_partitions(
     replace_partitions(stage(merged, "merge"), path, partition)
 
 
-def replace_partitions(df: DataFrame, path: str, *partition: str) -> None:
-    """Overwrite just the partitions that ``df`` has rows for."""
+def replace_partitions(df: DataFrame, path: str, *partition: str, files: int = 8) -> None:
+    """Overwrite just the partitions that ``df`` has rows for.
+
+    Each partition is spread over up to ``files`` tasks, so a crowded one is no bottleneck.
+    """
+    rest = [c for c in df.columns if c not in partition]
     (
-        df.repartition(*partition, F.pmod(F.xxhash64(*[c for c in df.columns if c not in partition]), F.lit(8)))
+        df.repartition(*partition, F.pmod(F.xxhash64(*rest), F.lit(files)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition)

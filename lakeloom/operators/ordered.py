@@ -22,20 +22,32 @@ Measure = Callable[[WindowSpec], Column]
 
 
 def attach(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on equal column names where NULL equals NULL, keeping the left copies."""
-    renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on]
-    )
-    condition = F.lit(True)
-    for c in on:
-        condition = condition & left[c].eqNullSafe(renamed[f"_r_{c}"])
-    return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
+    """Join on equal column names where NULL equals NULL, keeping the left copies.
+
+    Structs compare field by field with NULL equal to NULL, so they serve as the join key.
+    """
+    keyed = left.withColumn("_k", F.struct(*on))
+    other = right.select(F.struct(*on).alias("_k"), *[c for c in right.columns if c not in on])
+    return keyed.join(other, "_k", how).drop("_k")
+
+
+def _cut(df: DataFrame, keys: Sequence[str], block: Column) -> DataFrame:
+    """Add ``_k``, the key and block of a row as one struct.
+
+    Windows, aggregates and the join that brings offsets back all hash this same column,
+    so the rows themselves are shuffled once.
+    """
+    return df.withColumn("_k", F.struct(*keys, block.alias("_block")))
+
+
+def _keys_of(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"_k.`{k}`") for k in keys]
 
 
 def _prior(keys: Sequence[str]) -> WindowSpec:
     return (
-        Window.partitionBy(*keys)
-        .orderBy("_block")
+        Window.partitionBy(*_keys_of(keys))
+        .orderBy("_k._block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
 
@@ -80,21 +92,19 @@ def row_positions(
         w = Window.partitionBy(*keys)
         out = df.withColumn(position, F.row_number().over(w.orderBy(*order)))
         return out.withColumn(total, F.count(F.lit(1)).over(w)) if total else out
-    blocked = df.withColumn("_block", block)
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    sizes = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
+    blocked = _cut(df, keys, block)
+    inside = Window.partitionBy("_k").orderBy(*order)
+    sizes = blocked.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
-        *keys,
-        "_block",
+        "_k",
         F.coalesce(F.sum("_n").over(_prior(keys)), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
+        F.sum("_n").over(Window.partitionBy(*_keys_of(keys))).alias("_total"),
     )
     numbered = blocked.withColumn("_rn", F.row_number().over(inside))
-    out = attach(numbered, offsets, [*keys, "_block"])
-    out = out.withColumn(position, F.col("_rn") + F.col("_before"))
+    out = numbered.join(offsets, "_k").withColumn(position, F.col("_rn") + F.col("_before"))
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop("_block", "_rn", "_before", "_total")
+    return out.drop("_k", "_rn", "_before", "_total")
 
 
 def chunked_window(
@@ -185,16 +195,15 @@ def running_total(
     if block is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
         return df.withColumn(name, F.sum(value).over(w))
-    blocked = df.withColumn("_block", block)
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(*upto)
-    sums = blocked.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum"))
-    offsets = sums.select(*keys, "_block", F.sum("_sum").over(_prior(keys)).alias("_before"))
-    inner = blocked.withColumn("_inside", F.sum(value).over(inside))
-    out = attach(inner, offsets, [*keys, "_block"])
+    blocked = _cut(df, keys, block)
+    inside = Window.partitionBy("_k").orderBy(*order).rowsBetween(*upto)
+    sums = blocked.groupBy("_k").agg(F.sum(value).alias("_sum"))
+    offsets = sums.select("_k", F.sum("_sum").over(_prior(keys)).alias("_before"))
+    out = blocked.withColumn("_inside", F.sum(value).over(inside)).join(offsets, "_k")
     total = F.when(F.col("_inside").isNull(), F.col("_before")).otherwise(
         F.col("_inside") + F.coalesce(F.col("_before"), F.lit(0))
     )
-    return out.withColumn(name, total).drop("_block", "_inside", "_before")
+    return out.withColumn(name, total).drop("_k", "_inside", "_before")
 
 
 def value_ranks(
@@ -214,29 +223,27 @@ def value_ranks(
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_block", block if block is not None else F.lit(0))
     )
+    counts = _cut(counts, keys, block if block is not None else F.lit(0))
     sort = F.col(value).desc() if descending else F.col(value).asc()
-    by_block = F.col("_block").desc() if descending else F.col("_block").asc()
-    inside = Window.partitionBy(*keys, "_block").orderBy(sort)
+    by_block = F.col("_k._block").desc() if descending else F.col("_k._block").asc()
+    inside = Window.partitionBy("_k").orderBy(sort)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prior = (
-        Window.partitionBy(*keys).orderBy(by_block).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    whole = Window.partitionBy(*_keys_of(keys))
+    prior = whole.orderBy(by_block).rowsBetween(Window.unboundedPreceding, -1)
     ranked = counts.withColumns(
         {"_upto": F.sum("n").over(upto), "_nth": F.row_number().over(inside)}
     )
-    blocks = counts.groupBy(*keys, "_block").agg(
+    blocks = counts.groupBy("_k").agg(
         F.sum("n").alias("_rows"), F.count(F.lit(1)).alias("_values")
     )
     offsets = blocks.select(
-        *keys,
-        "_block",
+        "_k",
         F.coalesce(F.sum("_rows").over(prior), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("_values").over(prior), F.lit(0)).alias("_values_before"),
-        F.sum("_rows").over(Window.partitionBy(*keys)).alias("total"),
+        F.sum("_rows").over(whole).alias("total"),
     )
-    return attach(ranked, offsets, [*keys, "_block"]).select(
+    return ranked.join(offsets, "_k").select(
         *keys,
         value,
         "n",

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.operators.merge import Update, merge
@@ -110,9 +110,9 @@ def recency(df: DataFrame, column: str, as_of: Column, days: int) -> DataFrame:
     )
 
 
-def rule_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Counts, percentage and verdict per rule, from a single pass over the data."""
-    counted = df.agg(
+def rule_results(df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
+    """Counts, percentage and verdict per rule (and per ``by``), in a single pass."""
+    counted = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_records"),
         *[F.count(F.when(~r.holds, F.lit(1))).alias(f"_f{i}") for i, r in enumerate(rules)],
     )
@@ -130,7 +130,7 @@ def rule_results(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
     pct = F.coalesce(F.try_divide(F.col("failed_records") * 100.0, "total_records"), F.lit(0.0))
     return (
-        counted.select("total_records", F.inline(lines))
+        counted.select(*by, "total_records", F.inline(lines))
         .withColumn("passed_records", F.col("total_records") - F.col("failed_records"))
         .withColumn("failure_pct", F.round(pct, 4))
         .withColumn("status", F.when(pct <= F.col("threshold"), "PASSED").otherwise("FAILED"))
@@ -168,12 +168,12 @@ def sample_failures(df: DataFrame, rules: Sequence[Rule], key: str, n: int = 5)
     return top_n(exploded, ["rule_id"], [F.col("record_key").asc_nulls_last(), F.col("record")], n)
 
 
-def quality_report(results: DataFrame) -> DataFrame:
-    """One row: PASSED, WARNING or FAILED overall."""
+def quality_report(results: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """PASSED, WARNING or FAILED overall, one row (or one per ``by``)."""
     failed = F.col("status") == "FAILED"
     errors = F.count(F.when(failed & (F.col("severity") == "ERROR"), F.lit(1)))
     warnings = F.count(F.when(failed & (F.col("severity") == "WARNING"), F.lit(1)))
-    return results.agg(
+    return results.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_rules"),
         F.count(F.when(~failed, F.lit(1))).alias("passed_rules"),
         errors.alias("failed_errors"),
@@ -224,8 +224,6 @@ def volume_anomalies(
 
     ``daily`` has one row per day. A day without history passes.
     """
-    from pyspark.sql import Window
-
     w = Window.orderBy("_day").rangeBetween(-lookback_days, -1)
     mean = F.avg(count).over(w)
     deviation = F.abs(F.col(count) - F.col("baseline")) / F.col("baseline") * 100

@@ -15,19 +15,26 @@ def interval_join(
     right_at: str,
     within: str,
     how: str = "inner",
+    salts: int = 1,
 ) -> DataFrame:
     """Match when the right event follows the left one by at most ``within``.
 
-    Both sides carry a watermark and share no column names.
+    Both sides carry a watermark and share no column names. Adaptive execution does not
+    split skewed keys of a stream, so for busy keys each left row takes one of ``salts``
+    places (by a hash of the row) and each right row stands in all of them. ``how`` is
+    inner or left.
     """
     start = F.col(left_at)
-    return left.join(
-        right,
+    matches = (
         (F.col(left_key) == F.col(right_key))
         & (F.col(right_at) >= start)
-        & (F.col(right_at) <= start + F.expr(f"interval {within}")),
-        how,
+        & (F.col(right_at) <= start + F.expr(f"interval {within}"))
     )
+    if salts == 1:
+        return left.join(right, matches, how)
+    salted = left.withColumn("_ls", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    places = right.withColumn("_rs", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return salted.join(places, matches & (F.col("_ls") == F.col("_rs")), how).drop("_ls", "_rs")
 
 
 def unmatched(
@@ -38,6 +45,7 @@ def unmatched(
     left_at: str,
     right_at: str,
     within: str,
+    salts: int = 1,
 ) -> DataFrame:
     """Left events that no right event answered in time.
 
@@ -45,7 +53,7 @@ def unmatched(
     a row appears once the watermark has passed its interval.
     """
     keep = left.columns
-    joined = interval_join(left, right, left_key, right_key, left_at, right_at, within, "left")
+    joined = interval_join(left, right, left_key, right_key, left_at, right_at, within, "left", salts)
     return joined.where(F.col(right_key).isNull()).select(*keep)
 
 

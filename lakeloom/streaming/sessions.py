@@ -27,10 +27,14 @@ def merge_runs(open_sessions: list[list], events: pd.DataFrame, gap: int) -> lis
     runs = events.groupby(run).agg(
         start=("at", "min"), last=("at", "max"), count=("at", "size"), total=("amount", "sum")
     )
-    pieces = [*open_sessions, *[[int(a), int(b), int(n), float(t)] for a, b, n, t in runs.itertuples(index=False)]]
-    pieces.sort()
+    found = [[int(a), int(b), int(n), float(t)] for a, b, n, t in runs.itertuples(index=False)]
+    return join_pieces([*open_sessions, *found], gap)
+
+
+def join_pieces(pieces: list[list], gap: int) -> list[list]:
+    """Unite ``[start, last, count, total]`` pieces that are less than ``gap`` apart."""
     merged: list[list] = []
-    for start, last, count, total in pieces:
+    for start, last, count, total in sorted(pieces):
         if merged and start - merged[-1][1] < gap:
             top = merged[-1]
             merged[-1] = [top[0], max(top[1], last), top[2] + count, top[3] + total]
@@ -39,27 +43,55 @@ def merge_runs(open_sessions: list[list], events: pd.DataFrame, gap: int) -> lis
     return merged
 
 
-def track_sessions(
-    stream: DataFrame, gap_minutes: int = 30
-) -> DataFrame:
+FRAGMENT = (
+    "customer_id string, start_us bigint, last_us bigint, events bigint, amount double, "
+    "last_at timestamp"
+)
+
+
+def fragments(batches: Iterator[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
+    """Shrink each Arrow batch to pieces of sessions, before anything is shuffled."""
+    for pdf in batches:
+        pieces = [
+            (customer, *piece)
+            for customer, own in as_micros(pdf).groupby("customer_id", sort=False)
+            for piece in merge_runs([], own, gap)
+        ]
+        out = pd.DataFrame(pieces, columns=["customer_id", "start_us", "last_us", "events", "amount"])
+        out["last_at"] = pd.to_datetime(out["last_us"], unit="us")
+        yield out
+
+
+def as_micros(pdf: pd.DataFrame) -> pd.DataFrame:
+    at = pdf["event_timestamp"].astype("datetime64[us]").astype("int64")
+    return pd.DataFrame(
+        {"customer_id": pdf["customer_id"], "at": at, "amount": pdf["amount"].fillna(0.0)}
+    )
+
+
+def track_sessions(stream: DataFrame, delay: str, gap_minutes: int = 30) -> DataFrame:
     """ACTIVE rows for open sessions that changed and a TIMED_OUT row when one ends.
 
-    ``stream`` has ``customer_id string, event_timestamp, amount`` and a watermark on the
-    timestamp. A session ends when the watermark passes its last event by the gap. Events
-    come in Arrow batches, so a very busy customer is never held in memory at once; state
-    is one small record per open session.
+    ``stream`` has ``customer_id string, event_timestamp timestamp, amount double``. A
+    session ends when the watermark, ``delay`` behind the newest event, passes its last
+    event by the gap. Every task first folds its events into pieces of sessions, so a very
+    busy customer sends a few rows through the shuffle, and state is one small record per
+    open session. A piece is late when its last event is.
     """
     gap = gap_minutes * 60_000_000
+    pieces = (
+        stream.where("customer_id IS NOT NULL AND event_timestamp IS NOT NULL")
+        .select("customer_id", "event_timestamp", "amount")
+        .mapInPandas(lambda batches: fragments(batches, gap), FRAGMENT)
+        .withWatermark("last_at", delay)
+    )
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         sessions = json.loads(state.get[0]) if state.exists else []
         if not state.hasTimedOut:
             for pdf in batches:
-                at = pdf["event_timestamp"]
-                events = pd.DataFrame(
-                    {"at": at.astype("datetime64[us]").astype("int64"), "amount": pdf["amount"].fillna(0.0)}
-                )
-                sessions = merge_runs(sessions, events, gap)
+                found = pdf[["start_us", "last_us", "events", "amount"]].itertuples(index=False)
+                sessions = join_pieces([*sessions, *[[int(a), int(b), int(n), float(x)] for a, b, n, x in found]], gap)
         now = state.getCurrentWatermarkMs() * 1000
         ended = [s for s in sessions if s[1] + gap <= now]
         still_open = [s for s in sessions if s[1] + gap > now]
@@ -79,6 +111,6 @@ def track_sessions(
                 out[c] = pd.to_datetime(out[c], unit="us")
             yield out
 
-    return stream.groupBy("customer_id").applyInPandasWithState(
+    return pieces.groupBy("customer_id").applyInPandasWithState(
         update, OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout
     )
