@@ -52,13 +52,16 @@ def _spread(df: DataFrame, on: Sequence[str]) -> Column:
 
 def _pair(target: DataFrame, source: DataFrame, on: Sequence[str], small: bool) -> DataFrame:
     """Target and source rows side by side as structs ``tgt`` and ``src``."""
-    duplicated = (
-        source.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
-    )
-    marked = source.join(duplicated.withColumn("_dup", F.lit(True)), list(on), "left")
+    # grouped and joined by the same columns as the merge itself, so that one shuffle of
+    # the source serves all three
+    spread = source.withColumn("_spread", _spread(source, on))
+    place = [*on, "_spread"]
+    counts = spread.groupBy(*place).agg(F.count(F.lit(1)).alias("_n"))
+    duplicated = counts.where(F.col("_n") > 1).drop("_n").withColumn("_dup", F.lit(True))
+    marked = spread.join(duplicated, place, "left")
     right = marked.select(
         *[F.col(c).alias(f"_s_{c}") for c in on],
-        _spread(source, on).alias("_s_spread"),
+        F.col("_spread").alias("_s_spread"),
         F.coalesce(F.col("_dup"), F.lit(False)).alias("_dup"),
         F.struct(*source.columns).alias("src"),
     )

@@ -40,6 +40,11 @@ def _cut(df: DataFrame, keys: Sequence[str], block: Column) -> DataFrame:
     return df.withColumn("_k", F.struct(*keys, block.alias("_block")))
 
 
+def _whole(number: Column, size: int) -> Column:
+    """Integer quotient, exact for every long (plain ``/`` goes through doubles)."""
+    return ((number - F.pmod(number, F.lit(size))) / size).cast("bigint")
+
+
 def _keys_of(keys: Sequence[str]) -> list[Column]:
     return [F.col(f"_k.`{k}`") for k in keys]
 
@@ -124,7 +129,7 @@ def chunked_window(
     """
     if max(before, after) > chunk:
         raise ValueError("a frame may not reach beyond the neighbouring chunk")
-    own = F.floor((F.col(position) - 1) / chunk)
+    own = _whole(F.col(position) - 1, chunk)
     place = F.pmod(F.col(position) - 1, F.lit(chunk))
     copies = [F.struct(own.alias("chunk"), F.lit(True).alias("own"))]
     if before:
@@ -162,7 +167,7 @@ def rolling_range(
     if reach > span:
         raise ValueError("span must be at least as long as reach")
     marked = df.withColumn("_at", at)
-    own = F.floor(F.col("_at") / span)
+    own = _whole(F.col("_at"), span)
     late = F.pmod(F.col("_at"), F.lit(span)) >= span - reach
     spread = marked.withColumn(
         "_to",
