@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (default 3; the median of the warm runs counts).
+BENCH_RUNS (default 1; with more, the median of the warm runs counts).
 """
 
 from __future__ import annotations
@@ -62,7 +62,7 @@ HEADLINES = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = build_session(
         "bench",
         f"local[{cpus}]",

@@ -57,9 +57,9 @@ def w01b(t: Tables):
     return daily.select(
         "payment_mode",
         F.col("txn_date").cast("string").alias("txn_date"),
-        F.row_number().over(unique).alias("row_number"),
-        F.rank().over(w).alias("rank"),
-        F.dense_rank().over(w).alias("dense_rank"),
+        F.row_number().over(unique).cast("bigint").alias("row_number"),
+        F.rank().over(w).cast("bigint").alias("rank"),
+        F.dense_rank().over(w).cast("bigint").alias("dense_rank"),
     )
 
 

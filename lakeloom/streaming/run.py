@@ -2,9 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession):
+    """One state partition per core for the query started inside.
+
+    A stream keeps its number of shuffle partitions for life and adaptive execution does
+    not merge them, so the batch default fits neither small nor large clusters.
+    """
+    before = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(PARTITIONS, before)
+
 
 def start_files(
     stream: DataFrame,
@@ -28,7 +47,8 @@ def start_files(
     if name:
         writer = writer.queryName(name)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    with _state_partitions(stream.sparkSession):
+        return writer.trigger(**trigger).start()
 
 
 def start_batches(
@@ -36,13 +56,13 @@ def start_batches(
 ) -> StreamingQuery:
     """Hand every micro-batch to ``handle(df, batch_id)``."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
+    writer = (
         stream.writeStream.foreachBatch(handle)
         .outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
     )
+    with _state_partitions(stream.sparkSession):
+        return writer.trigger(**trigger).start()
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:

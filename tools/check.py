@@ -13,10 +13,15 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import SparkSession  # noqa: E402
+
 from lakeloom.catalogue import ENTRIES, Tables  # noqa: E402
 from lakeloom.session import build_session  # noqa: E402
 
 
+KINDS = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 def norm(value):
     if value is None:
         return None
@@ -41,7 +46,10 @@ def table(rows, columns):
 
 def main(parts):
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    if os.environ.get("PLAIN"):  # a session without any of this library's settings
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -63,6 +71,8 @@ def main(parts):
             wide = [d[0] for d in cur.description if str(d[1]).startswith(("HUGEINT", "DECIMAL"))]
             if wide:
                 raise AssertionError(f"cast these SQL columns to BIGINT or DOUBLE: {wide}")
+            kinds = {d[0]: KINDS.get(str(d[1]), str(d[1])) for d in cur.description}
+            odd = {c: (k, kinds.get(c)) for c, k in df.dtypes if kinds.get(c) != k}
             want, want_cols = table(cur.fetchall(), [d[0] for d in cur.description])
             if cols != want_cols:
                 raise AssertionError(f"columns {cols} != {want_cols}")
@@ -70,7 +80,7 @@ def main(parts):
                 only = sorted(set(got) - set(want), key=str)[:3]
                 miss = sorted(set(want) - set(got), key=str)[:3]
                 raise AssertionError(f"{len(got)} vs {len(want)} rows\n   spark {only}\n   sql   {miss}")
-            flag = "" if got else "  EMPTY"
+            flag = ("" if got else "  EMPTY") + (f"  types {odd}" if odd else "")
             print(f"ok    {name:45s} {len(got):7d} rows {took:6.2f}s{flag}", flush=True)
         except Exception as error:  # noqa: BLE001 - report and go on
             bad.append(name)
