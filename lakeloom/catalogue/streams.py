@@ -209,7 +209,7 @@ PAIRS = """v AS (SELECT event_id AS view_id, user_id, ts FROM events WHERE event
 @query("j15_stream_interval_join", f"WITH {PAIRS} SELECT view_id, purchase_id FROM v JOIN p ON user_id = buyer AND bought_at >= ts AND bought_at <= ts + INTERVAL 6 HOUR")
 def j15(t: Tables):
     left, right = sides(t)
-    return run_to_files(t, joins.interval_join(left, right, *KEYS, salts=4), "interval").select("view_id", "purchase_id")
+    return run_to_files(t, joins.interval_join(left, right, *KEYS, salts=2), "interval").select("view_id", "purchase_id")
 
 
 UNMATCHED_SQL = f"""WITH {PAIRS}, wm AS (SELECT LEAST(MAX(ts) FILTER (WHERE event_type = 'view'), MAX(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 10 MINUTE AS wm FROM events)
@@ -220,7 +220,7 @@ UNMATCHED_SQL = f"""WITH {PAIRS}, wm AS (SELECT LEAST(MAX(ts) FILTER (WHERE even
 @query("j16_stream_unmatched", UNMATCHED_SQL)
 def j16(t: Tables):
     left, right = sides(t)
-    return run_to_files(t, joins.unmatched(left, right, *KEYS, salts=4), "unmatched").select("view_id")
+    return run_to_files(t, joins.unmatched(left, right, *KEYS, salts=2), "unmatched").select("view_id")
 
 
 @query("r10_interval_join_alerts", UNMATCHED_SQL.replace("SELECT view_id FROM v", "SELECT COUNT(*) AS n, MIN(view_id) AS first_view FROM v"))

@@ -70,13 +70,20 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
         F.struct(*[F.percentile_approx(c, points, 10_000).alias(c) for c in columns]).alias("b")
     ).scalar()
     df = df.withColumn("_bounds", bounds)
-
-    def place(c: str) -> Column:
-        below = F.filter(F.col("_bounds")[c], lambda bound: bound < F.col(c))
-        return F.coalesce(F.size(below), F.lit(0))
-
-    places = {c: place(c) for c in columns}
-    df = df.withColumns({f"_q_{c}": place for c, place in places.items()})
+    # how many bounds lie below each value, by binary search: one compare per bit, all of it
+    # inside generated code
+    df = df.withColumns({f"_q_{c}": F.lit(0) for c in columns})
+    for bit in reversed(range(bits)):
+        half = 2**bit
+        df = df.withColumns(
+            {
+                f"_q_{c}": F.col(f"_q_{c}")
+                + F.when(
+                    F.get(F.col("_bounds")[c], F.col(f"_q_{c}") + (half - 1)) < F.col(c), half
+                ).otherwise(0)
+                for c in columns
+            }
+        )
     z: Column = F.lit(0).cast("bigint")
     width = len(columns)
     for bit in range(bits):

@@ -253,3 +253,20 @@ def test_cluster_must_name_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         shared_root(Session())
+
+
+def test_z_value_interleaves_quantile_numbers(spark):
+    df = spark.range(64).select(F.col("id").alias("a"), (63 - F.col("id")).alias("b"))
+    got = {r["a"]: r["_z"] for r in layout.z_value(df, ["a", "b"], bits=3).collect()}
+    bounds = lambda v: sum(v > (i * 64 // 8) - 1 for i in range(1, 8))
+    for a, z in got.items():
+        qa, qb = bounds(a), bounds(63 - a)
+        assert z == sum(((qa >> k) & 1) << (2 * k) | ((qb >> k) & 1) << (2 * k + 1) for k in range(3))
+
+
+def test_whole_quotient_of_large_numbers(spark):
+    from lakeloom.operators.ordered import _whole
+
+    day = 86_400_000_000
+    df = spark.createDataFrame([(20_000 * day - 1,), (20_000 * day,), (-1,)], "n bigint")
+    assert [r[0] for r in df.select(_whole(F.col("n"), day)).collect()] == [19_999, 20_000, -1]
