@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import content_sort, curriculum
+from lakeloom.llm import content_sort, curriculum, packing
 from lakeloom.llm.catalogue import QUERIES, SQL, query, read
 
 CONTENT_SORT_SQL = """
@@ -56,3 +56,8 @@ FROM running
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = curriculum.plan(read(spark, sf_dir, "documents"))
     return curriculum.by_position(planned).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op9_configuration_lp_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), packing.CAPACITY)
