@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import content_sort, curriculum, packing
+from lakeloom.llm import content_sort, curriculum, jaccard_join, packing
 from lakeloom.llm.catalogue import QUERIES, SQL, query, read
 
 CONTENT_SORT_SQL = """
@@ -61,3 +61,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_configuration_lp_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), packing.CAPACITY)
+
+
+@query("op7_grouped_prefix_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
