@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import content_sort, curriculum, jaccard_join, packing
+from lakeloom.llm import content_sort, curriculum, divergence, jaccard_join, packing
 from lakeloom.llm.catalogue import QUERIES, SQL, query, read
 
 CONTENT_SORT_SQL = """
@@ -66,3 +66,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_grouped_prefix_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
+@query("op3_distribution_divergence")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(read(spark, sf_dir, "documents"))

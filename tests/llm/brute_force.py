@@ -46,3 +46,22 @@ def jaccard_components(rows: list[tuple]) -> list[tuple]:
     for i, (doc_id, _) in enumerate(rows):
         least[root(i)] = min(doc_id, least.get(root(i), doc_id))
     return sorted((rows[i][0], len(sets[i]), least[root(i)]) for i in range(len(rows)))
+
+
+def base_counts(text: str | None) -> tuple:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    text = text or ""
+    words = WORD.findall(text)
+    windows = defaultdict(list)
+    for i in range(len(words) - 2):
+        windows[tuple(words[i : i + 3])].append(i)
+    repeated = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(3)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(c in "#*$%&|<>" for c in text),
+        len(lines) - len(set(lines)),
+        len(repeated),
+        len(words) < 50 or 100 * len(repeated) > 50 * len(words),
+    )
