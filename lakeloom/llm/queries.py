@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeloom.llm import content_sort, curriculum, divergence, jaccard_join, packing
+from lakeloom.llm import content_sort, curriculum, divergence, jaccard_join, language, packing
 from lakeloom.llm.catalogue import QUERIES, SQL, query, read
 
 CONTENT_SORT_SQL = """
@@ -71,3 +72,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_distribution_divergence")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(read(spark, sf_dir, "documents"))
+
+
+def _fold(doc_id, folds: int):
+    """crc32 of the identifier as text, modulo ``folds``."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % folds
+
+
+@query("op1_cross_parsing_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    learn_from = docs.where(F.col("doc_id").isNotNull() & ~held_out)
+    return language.identify(docs, learn_from).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
