@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ CLASSES = 128
 ROUNDS = 4000
 LONGER_FIRST = 0.05
 #: Words whose ids a Python worker remembers, and bytes of text it encodes at a time.
-REMEMBER_WORDS = 300_000
+REMEMBER_WORDS = 600_000
 ENCODE_BYTES = 2_000_000
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -55,17 +56,43 @@ def _encoder(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        _encoders[path] = (tokenizer, {})
+        _encoders[path] = (tokenizer, {}, {})
     return _encoders[path]
 
 
+def _stem(word: bytes) -> bytes:
+    """The word without full stops and commas at its end, in lower case if it is ASCII.
+
+    The vocabulary lowers all letters and cuts between letters and other signs, so the word's
+    ids are its stem's ids and those of the signs.
+    """
+    stem = word.rstrip(b".,")
+    if not stem or not stem[-1:].isalpha():
+        stem = word
+    return stem.lower() if stem.isascii() else stem
+
+
+def _learn(path: str, words: set[bytes]) -> None:
+    tokenizer, known, stems = _encoder(path)
+    if len(known) > REMEMBER_WORDS:
+        known.clear()
+    if len(stems) > REMEMBER_WORDS:
+        stems.clear()
+    found = {w: _stem(w) for w in words}
+    tails = {w[len(s) :] for w, s in found.items()}
+    new = list({*found.values(), *tails}.difference(stems))
+    ids = tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)
+    stems.update((s, array("I", e.ids).tobytes()) for s, e in zip(new, ids))
+    known.update((w, stems[s] + stems[w[len(s) :]]) for w, s in found.items())
+
+
 def encoded(texts: list[str | None], path: str) -> Iterator[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers.
 
     This vocabulary drops white space and never joins across it, so a text's ids are its
     words' ids in a row, and each word is encoded once.
     """
-    tokenizer, known = _encoder(path)
+    known = _encoder(path)[1]
     done = 0
     while done < len(texts):
         group, size = [], 0
@@ -73,11 +100,10 @@ def encoded(texts: list[str | None], path: str) -> Iterator[bytes]:
             group.append((texts[done] or "").encode().split())
             size += sum(map(len, group[-1])) + 1
             done += 1
-        if len(known) > REMEMBER_WORDS:
-            known.clear()
-        new = list(set().union(*group).difference(known))
-        found = tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
+        every = set().union(*group)
+        if new := every.difference(known):
+            # Clearing what is remembered would lose words of this group: then all are learnt again.
+            _learn(path, new if len(known) <= REMEMBER_WORDS else every)
         for own in group:
             yield b"".join(map(known.__getitem__, own))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import content_sort, curriculum, divergence, jaccard_join, language, packing
+from lakeloom.llm import content_sort, curriculum, divergence, jaccard_join, language, packing, toxicity
 from lakeloom.llm.catalogue import QUERIES, SQL, query, read
 
 CONTENT_SORT_SQL = """
@@ -85,3 +85,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(_fold(F.col("doc_id"), 4) == 2, F.lit(False))
     learn_from = docs.where(F.col("doc_id").isNotNull() & ~held_out)
     return language.identify(docs, learn_from).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def _learnable(rows: DataFrame) -> DataFrame:
+    """Rows of the folds that toxicity may be learnt from."""
+    return rows.where(F.col("doc_id").isNotNull() & (_fold(F.col("doc_id"), 5) != 0))
+
+
+@query("op4_toxic_spans_field")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs, _learnable(docs), _learnable(labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(_fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("spans").alias("n_spans"),
+    )
