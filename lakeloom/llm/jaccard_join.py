@@ -51,7 +51,7 @@ FREQUENT = 256
 BUCKET_SHINGLES = 500_000
 #: Rows of (identifier, signature) up to which the left-over classes are broadcast.
 BROADCAST_CLASSES = 500_000
-_LAST = 2**31 - 1
+_LAST = 2**20 - 1
 
 _POSTED, _SETTLED, _KEY = 0, 1, 2
 
@@ -110,14 +110,23 @@ def _from_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         yield sig, flat[ends[i] : ends[i + 1]]
 
 
+def _places(shingles: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each shingle and its 32-bit name there.
+
+    Two shingles of one name only look shared, which adds candidates and loses none.
+    """
+    low = shingles & 0xFFFFFFFF
+    return low % buckets, (shingles >> 32 & 0xFFFFFFFF).astype(np.uint32)
+
+
 def _postings(sets, buckets: int):
-    """Rows for buckets of shingles, packed: ``bucket, kind, shingles, sigs``."""
-    names = ["bucket", "kind", "shingles", "sigs"]
+    """Rows for buckets of shingles, packed: ``bucket, kind, names, sigs``."""
+    columns = ["bucket", "kind", "names", "sigs"]
 
-    def packed(bucket: np.ndarray, kind: int, shingles: np.ndarray, sigs: np.ndarray | None):
+    def packed(bucket: np.ndarray, kind: int, names: np.ndarray, sigs: np.ndarray | None):
         order = np.argsort(bucket, kind="stable")
-        bucket, shingles = bucket[order], shingles[order]
-        sigs = shingles[:0] if sigs is None else sigs[order]
+        bucket, names = bucket[order], names[order]
+        sigs = np.empty(0, np.int64) if sigs is None else sigs[order]
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
         ends = np.r_[starts[1:], len(bucket)] if len(bucket) else []
         for i in range(0, len(starts), 500):
@@ -126,25 +135,27 @@ def _postings(sets, buckets: int):
                 [
                     pa.array([int(bucket[a]) for a, _ in pieces], pa.int64()),
                     pa.array([kind] * len(pieces), pa.int32()),
-                    pa.array([shingles[a:b].tobytes() for a, b in pieces], pa.binary()),
+                    pa.array([names[a:b].tobytes() for a, b in pieces], pa.binary()),
                     pa.array([sigs[a:b].tobytes() for a, b in pieces], pa.binary()),
                 ],
-                names=names,
+                names=columns,
             )
 
     def flush(shingles: list[np.ndarray], sigs: list[int]):
         owner = np.repeat(np.array(sigs, np.int64), [len(s) for s in shingles])
-        every = np.concatenate(shingles)
-        order = np.argsort(every, kind="stable")
-        every, owner = every[order], owner[order]
-        first = np.r_[True, every[1:] != every[:-1]]
-        counts = np.diff(np.r_[np.flatnonzero(first), len(every)])
+        bucket, names = _places(np.concatenate(shingles), buckets)
+        order = np.argsort(bucket << 32 | names, kind="stable")
+        bucket, names, owner = bucket[order], names[order], owner[order]
+        first = np.r_[True, (bucket[1:] != bucket[:-1]) | (names[1:] != names[:-1])]
+        counts = np.diff(np.r_[np.flatnonzero(first), len(names)])
         frequent = np.repeat(counts >= FREQUENT, counts)
-        yield from packed(every[~frequent] % buckets, _POSTED, every[~frequent], owner[~frequent])
-        # Known to be shared already: to any bucket, by owner, to spread them.
-        yield from packed(owner[frequent] % buckets, _SETTLED, every[frequent], owner[frequent])
-        keys = every[first][counts >= FREQUENT]
-        yield from packed(keys % buckets, _KEY, keys, None)
+        yield from packed(bucket[~frequent], _POSTED, names[~frequent], owner[~frequent])
+        # Known to be shared already: to a bucket by owner, which spreads them. The bucket they
+        # come from goes with the name.
+        whole = bucket[frequent] << 32 | names[frequent]
+        yield from packed(owner[frequent] % buckets, _SETTLED, whole, owner[frequent])
+        heads = np.flatnonzero(first)[counts >= FREQUENT]
+        yield from packed(bucket[heads], _KEY, names[heads], None)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -166,44 +177,71 @@ def _postings(sets, buckets: int):
     return post
 
 
-def _shared_in_bucket(table: pa.Table) -> pa.Table:
-    """Shingles of a bucket that more than one class holds, with the number of classes."""
+def _ranks(holders: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """One number for each shingle: the number of holders above, 42 bits of its hash below.
+
+    It orders shingles from rare to frequent. Equal ranks of two shingles only add candidates.
+    """
+    mixed = (whole.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(22)
+    return np.minimum(holders, _LAST) << 42 | mixed.astype(np.int64)
+
+
+def _shared_in_bucket(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Owners and ranks of the shingles of a bucket that more than one class holds."""
     parts: dict[int, list] = {_POSTED: [], _SETTLED: [], _KEY: []}
-    for kind, shingles, sigs in zip(*(table.column(c).to_pylist() for c in ("kind", "shingles", "sigs"))):
-        parts[kind].append((np.frombuffer(shingles, np.int64), np.frombuffer(sigs, np.int64)))
-
-    def joined(kind: int, i: int) -> np.ndarray:
-        return np.concatenate([p[i] for p in parts[kind]]) if parts[kind] else np.empty(0, np.int64)
-
-    shingles, sigs = joined(_POSTED, 0), joined(_POSTED, 1)
-    order = np.lexsort((sigs, shingles))
-    shingles, sigs = shingles[order], sigs[order]
-    if len(shingles):
-        new = np.r_[True, (shingles[1:] != shingles[:-1]) | (sigs[1:] != sigs[:-1])]
-        shingles, sigs = shingles[new], sigs[new]
-    first = np.flatnonzero(np.r_[True, shingles[1:] != shingles[:-1]]) if len(shingles) else np.empty(0, np.int64)
-    counts = np.diff(np.r_[first, len(shingles)])
-    frequent = np.isin(shingles[first], joined(_KEY, 0))
+    for kind, names, sigs in zip(*(table.column(c).to_pylist() for c in ("kind", "names", "sigs"))):
+        parts[kind].append((np.frombuffer(names, np.int64 if kind == _SETTLED else np.uint32), np.frombuffer(sigs, np.int64)))
+
+    def joined(kind: int) -> tuple[np.ndarray, np.ndarray]:
+        if not parts[kind]:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return tuple(np.concatenate(p).astype(np.int64) for p in zip(*parts[kind]))
+
+    names, sigs = joined(_POSTED)
+    order = np.lexsort((sigs, names))
+    names, sigs = names[order], sigs[order]
+    # The same class may come from several tasks.
+    new = np.r_[True, (names[1:] != names[:-1]) | (sigs[1:] != sigs[:-1])][: len(names)]
+    names, sigs = names[new], sigs[new]
+    first = np.flatnonzero(np.r_[True, names[1:] != names[:-1]][: len(names)])
+    counts = np.diff(np.r_[first, len(names)])
+    frequent = np.isin(names[first], joined(_KEY)[0])
     holders = np.repeat(np.where(frequent, _LAST, counts), counts)
     keep = holders > 1
-    settled = joined(_SETTLED, 0)
-    return pa.table(
-        {
-            "sig": pa.array(np.r_[sigs[keep], joined(_SETTLED, 1)], pa.int64()),
-            "shingle": pa.array(np.r_[shingles[keep], settled], pa.int64()),
-            "holders": pa.array(np.r_[holders[keep], np.full(len(settled), _LAST)], pa.int64()),
-        }
-    )
+    bucket = table.column("bucket")[0].as_py()
+    whole, owners = joined(_SETTLED)
+    pairs = np.unique(np.stack([owners, whole]), axis=1) if len(owners) else np.empty((2, 0), np.int64)
+    ranks = np.r_[_ranks(holders[keep], bucket << 32 | names[keep]), _ranks(np.full(pairs.shape[1], _LAST), pairs[1])]
+    return np.r_[sigs[keep], pairs[0]], ranks
+
 
+def _shared_ranks(table: pa.Table) -> pa.Table:
+    sigs, ranks = _shared_in_bucket(table)
+    return pa.table({"sig": pa.array(sigs), "rank": pa.array(ranks)})
 
-def _shared(rows: DataFrame, sets, total: int) -> DataFrame:
-    """``(sig, shared)``: the shared shingles of each class as an array of (holders, shingle), rare first."""
+
+def _shared_counts(table: pa.Table) -> pa.Table:
+    sigs, counts = np.unique(_shared_in_bucket(table)[0], return_counts=True)
+    return pa.table({"sig": pa.array(sigs), "shared": pa.array(counts)})
+
+
+def _buckets(rows: DataFrame, sets, total: int):
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * parts, -(-total // BUCKET_SHINGLES))
-    posted = rows.mapInArrow(_postings(sets, buckets), "bucket bigint, kind int, shingles binary, sigs binary")
-    found = posted.groupBy("bucket").applyInArrow(_shared_in_bucket, "sig bigint, shingle bigint, holders bigint")
-    # A settled shingle may come from several tasks that hold the same class.
-    return found.groupBy("sig").agg(F.sort_array(F.collect_set(F.struct("holders", "shingle"))).alias("shared"))
+    posted = rows.mapInArrow(_postings(sets, buckets), "bucket bigint, kind int, names binary, sigs binary")
+    return posted.groupBy("bucket")
+
+
+def _count_shared(rows: DataFrame, sets, total: int) -> DataFrame:
+    """``(of, n_shared)``: how many shingles of each class others hold too."""
+    found = _buckets(rows, sets, total).applyInArrow(_shared_counts, "sig bigint, shared bigint")
+    return found.groupBy(F.col("sig").alias("of")).agg(F.sum("shared").alias("n_shared"))
+
+
+def _rank_shared(rows: DataFrame, sets, total: int) -> DataFrame:
+    """``(of, shared)``: ranks of the shared shingles of each class, rare first."""
+    found = _buckets(rows, sets, total).applyInArrow(_shared_ranks, "sig bigint, rank bigint")
+    return found.groupBy(F.col("sig").alias("of")).agg(F.sort_array(F.collect_list("rank")).alias("shared"))
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,6 +271,9 @@ def _may_link(a: str, b: str) -> Column:
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose sets link, by comparing the sets."""
+    pairs = stage(pairs, "pairs")
+    met = stage(pairs.select(F.explode(F.array("a", "b")).alias("met")).distinct(), "met")
+    sets = join_bounded(sets, met, F.col("sig") == F.col("met"), BROADCAST_CLASSES, "left_semi")
     left = sets.select(F.col("sig").alias("a"), F.col("items").alias("items_a"))
     right = sets.select(F.col("sig").alias("b"), F.col("items").alias("items_b"))
     both = pairs.join(left, "a").join(right, "b")
@@ -250,8 +291,7 @@ def _class_links(texts: DataFrame, slim: DataFrame) -> DataFrame:
         "classes",
     )
     total = classes.agg(F.sum("submitted")).first()[0] or 0
-    shared = _shared(texts.select("text"), _from_texts(FIRST_PART), total)
-    shared = shared.select(F.col("sig").alias("of"), F.size("shared").cast("bigint").alias("n_shared"))
+    shared = _count_shared(texts.select("text"), _from_texts(FIRST_PART), total)
     open_ = classes.join(shared, F.col("sig") == F.col("of")).where(
         F.col("submitted") - F.col("n_shared") < prefix_length(F.col("n"))
     )
@@ -260,8 +300,7 @@ def _class_links(texts: DataFrame, slim: DataFrame) -> DataFrame:
     holders = join_bounded(texts, open_, F.col("doc_id") == F.col("open_doc"), BROADCAST_CLASSES, "inner")
     sets = stage(holders.select("text", "sig").mapInArrow(_sets_of, "sig bigint, items array<bigint>"), "sets")
     total = open_.agg(F.sum("n")).first()[0] or 0
-    shared = _shared(sets, _from_sets, total).withColumnRenamed("sig", "of")
-    ranked = open_.join(shared, F.col("sig") == F.col("of"))
+    ranked = open_.join(_rank_shared(sets, _from_sets, total), F.col("sig") == F.col("of"))
     n_shared = F.size("shared").cast("bigint")
     ranked = ranked.withColumn("n_shared", n_shared).withColumn(
         "left", prefix_length(F.col("n")) - (F.col("n") - F.col("n_shared"))
@@ -271,7 +310,7 @@ def _class_links(texts: DataFrame, slim: DataFrame) -> DataFrame:
             "sig",
             "n",
             "n_shared",
-            F.array_sort(F.slice(F.col("shared.shingle"), F.lit(1), F.col("left").cast("int"))).alias("prefix"),
+            F.array_sort(F.slice(F.col("shared"), F.lit(1), F.col("left").cast("int"))).alias("prefix"),
         ),
         "prefixes",
     )

@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import content_sort, curriculum, divergence, jaccard_join, language, packing, toxicity
+from lakeloom.llm import (
+    content_sort,
+    curriculum,
+    divergence,
+    fixity,
+    jaccard_join,
+    language,
+    packing,
+    personal_data,
+    token_lengths,
+    toxicity,
+)
 from lakeloom.llm.catalogue import QUERIES, SQL, query, read
+from lakeloom.session import stage
 
 CONTENT_SORT_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -103,3 +115,55 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("spans").alias("n_spans"),
     )
+
+
+@query("op8_weakly_supervised_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_personal_data(read(spark, sf_dir, "documents"))
+
+
+@query("op6_exact_length_histogram")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_lengths.with_sums(token_lengths.histogram(read(spark, sf_dir, "documents")))
+
+
+# The replica of the query: some records lost, shortened or with one character changed.
+FIXITY_SQL = r"""
+WITH records AS (
+  SELECT page_id, coalesce(html, '') AS html,
+    strlen('WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+      || coalesce(CAST(page_id AS VARCHAR), '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')
+      || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ') + 8 AS head
+  FROM pages),
+sized AS (
+  SELECT *, head + strlen(html) + len(CAST(strlen(html) AS VARCHAR)) AS length,
+    head + strlen(substr(html, 1, length(html) // 2)) + len(CAST(strlen(substr(html, 1, length(html) // 2)) AS VARCHAR)) AS halved
+  FROM records),
+placed AS (
+  SELECT *, CAST('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+    % greatest(1, CAST(ceil((SELECT sum(length) FROM sized) / 4194304.0) AS BIGINT)) AS archive FROM sized)
+SELECT * FROM (
+  SELECT archive, CAST(coalesce(sum(length) OVER (PARTITION BY archive ORDER BY page_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+    page_id AS record_id, CAST(length AS BIGINT) AS length,
+    CAST(CASE WHEN page_id % 97 = 5 THEN NULL WHEN page_id % 89 = 7 THEN halved ELSE length END AS BIGINT) AS replica_length,
+    CASE WHEN page_id % 97 = 5 THEN 'missing' WHEN page_id % 89 = 7 AND halved <> length THEN 'resized'
+      WHEN page_id % 83 = 11 AND page_id % 89 <> 7 AND html <> '' THEN 'altered' END AS damage
+  FROM placed)
+WHERE damage IS NOT NULL
+"""
+
+
+@query("op2_merkle_fixity_audit", FIXITY_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    page, html = F.col("page_id"), F.coalesce("html", F.lit(""))
+    half = F.expr("substring(coalesce(html, ''), 1, length(coalesce(html, '')) div 2)")
+    changed = F.when(html != "", F.concat(F.lit("~"), F.expr("substring(html, 2)"))).otherwise(html)
+    body = F.when(page % 89 == 7, half).when(page % 83 == 11, changed).otherwise(html)
+    copy = F.when((page % 97 == 5), F.lit(None)).otherwise(fixity.record(page, F.col("url"), body))
+    placed = stage(fixity.placed_records(pages, copy=copy), "placed")
+    replica = placed.where("copy_digest IS NOT NULL").select(
+        "archive", "offset", "record_id", F.col("copy_length").alias("length"), F.col("copy_digest").alias("digest")
+    )
+    return fixity.audit(placed, replica)

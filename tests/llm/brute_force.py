@@ -65,3 +65,20 @@ def base_counts(text: str | None) -> tuple:
         len(repeated),
         len(words) < 50 or 100 * len(repeated) > 50 * len(words),
     )
+
+
+def base_spans(text: str | None) -> list[list[tuple[int, int]]]:
+    """E-mail, ip, card and phone spans by the plain patterns."""
+
+    def luhn(digits: str) -> bool:
+        doubled = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+        return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+    text = text or ""
+    find = lambda pattern: [m for m in re.finditer(pattern, text)]
+    digits = lambda m: re.sub("[^0-9]", "", m.group())
+    email = find(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = [m for m in find(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)") if all(int(p) <= 255 for p in m.group().split("."))]
+    card = [m for m in find(r"[0-9]([\x20-]?[0-9])+") if 13 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    phone = [m for m in find(r"\+[0-9][\x20().0-9-]+[0-9]") if 9 <= len(digits(m)) <= 15]
+    return [[m.span() for m in kind] for kind in (email, ip, card, phone)]
