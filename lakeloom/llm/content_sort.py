@@ -19,13 +19,16 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm.common import join_bounded
 from lakeloom.session import stage
 
 LEAD_CHARS = 64
 EMIT_ROWS = 20_000
+#: Rows (of about 100 bytes) to take out of a table up to which they are broadcast.
+BROADCAST_REMOVED = 300_000
 
 _RUNS = (
     "doc_id bigint, text_sha256 string, run_keep bigint, run_size bigint, "
@@ -125,3 +128,26 @@ def content_sort_dedup(docs: DataFrame, keep: str = "largest") -> DataFrame:
         (F.col("is_first") & F.col("run_keep").eqNullSafe(keep_id)).alias("kept"),
         "text_sha256",
     )
+
+
+def without_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
+    """The rows of ``docs``, all columns, that stay; of rows equal in identifier and text one does."""
+    verdict = stage(content_sort_dedup(docs, keep).where("NOT kept"), "copies")
+    own = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    names = [F.col("doc_id").alias("c_id"), F.col("text_sha256").alias("c_mark")]
+    mark = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return remove_marked(docs, mark, verdict.where(~own).select(*names), verdict.where(own).select(*names))
+
+
+def remove_marked(docs: DataFrame, mark: Column, removed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``docs`` without the rows ``removed (c_id, c_mark)`` and with one of each in ``repeated``."""
+    columns = docs.columns
+    marked = docs.withColumn("__mark", mark)
+    same = F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("__mark") == F.col("c_mark"))
+    repeated = stage(repeated.distinct(), "repeated")
+    gone = stage(removed.distinct().union(repeated), "removed")
+    kept = join_bounded(marked, gone, same, BROADCAST_REMOVED, "left_anti")
+    if not repeated.isEmpty():
+        again = join_bounded(marked, repeated, same, BROADCAST_REMOVED, "left_semi")
+        kept = kept.union(again.dropDuplicates(["doc_id", "__mark"]))
+    return kept.select(*columns)

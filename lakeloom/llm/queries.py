@@ -99,7 +99,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, learn_from).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-def _learnable(rows: DataFrame) -> DataFrame:
+def learnable(rows: DataFrame) -> DataFrame:
     """Rows of the folds that toxicity may be learnt from."""
     return rows.where(F.col("doc_id").isNotNull() & (_fold(F.col("doc_id"), 5) != 0))
 
@@ -107,7 +107,7 @@ def _learnable(rows: DataFrame) -> DataFrame:
 @query("op4_toxic_spans_field")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    scored = toxicity.score_toxicity(docs, _learnable(docs), _learnable(labels))
+    scored = toxicity.score_toxicity(docs, learnable(docs), learnable(labels))
     return scored.select(
         "doc_id",
         F.coalesce(_fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),

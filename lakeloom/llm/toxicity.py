@@ -250,34 +250,39 @@ _unaries: dict[str, _Unary] = {}
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
+def _scored(texts: list[str | None], field: Model | None, key: str) -> tuple[np.ndarray, list[list]]:
+    """Score and toxic spans of each text."""
+    scores = np.zeros(len(texts))
+    spans: list[list] = [[] for _ in texts]
+    if field is None:
+        return scores, spans
+    if key not in _unaries:
+        _unaries.clear()
+        _unaries[key] = _Unary(field.weights)
+    unary = _unaries[key]
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and size < BATCH_CHARS:
+            size += len(texts[end] or "") + 1
+            end += 1
+        found = [tokens(t) for t in texts[at:end]]
+        lengths = np.array([len(f) for f in found])
+        values = np.fromiter((unary[w] for f in found for w in f), float, int(lengths.sum()))
+        p = marginals(values, lengths, field.pairs)
+        scores[at:end] = 1 / (1 + np.exp(-_summary(p, lengths) @ field.document))
+        first = np.cumsum(lengths) - lengths
+        owners = np.repeat(np.arange(len(found)), lengths)
+        for i in np.unique(owners[p > 0.5]):
+            spans[at + i] = _spans(texts[at + i], p[first[i] : first[i] + lengths[i]])
+        at = end
+    return scores, spans
+
+
 def _score(model, key: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field: Model | None = model.value
-        if field is not None:
-            if key not in _unaries:
-                _unaries.clear()
-                _unaries[key] = _Unary(field.weights)
-            unary = _unaries[key]
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            scores = np.zeros(len(texts))
-            spans: list[list] = [[] for _ in texts]
-            at = 0
-            while field is not None and at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and size < BATCH_CHARS:
-                    size += len(texts[end] or "") + 1
-                    end += 1
-                found = [tokens(t) for t in texts[at:end]]
-                lengths = np.array([len(f) for f in found])
-                values = np.fromiter((unary[w] for f in found for w in f), float, int(lengths.sum()))
-                p = marginals(values, lengths, field.pairs)
-                scores[at:end] = 1 / (1 + np.exp(-_summary(p, lengths) @ field.document))
-                first = np.cumsum(lengths) - lengths
-                owners = np.repeat(np.arange(len(found)), lengths)
-                for i in np.unique(owners[p > 0.5]):
-                    spans[at + i] = _spans(texts[at + i], p[first[i] : first[i] + lengths[i]])
-                at = end
+            scores, spans = _scored(batch.column(1).to_pylist(), model.value, key)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores), pa.array(spans, _SPAN)], names=["doc_id", "score", "spans"]
             )
@@ -285,12 +290,29 @@ def _score(model, key: str):
     return score
 
 
+def _keep(model, key: str, threshold: float):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores, _ = _scored(batch.column("text").to_pylist(), model.value, key)
+            yield batch.filter(pa.array(scores < threshold))
+
+    return keep
+
+
+def _model(docs: DataFrame, learn_from: DataFrame, labels: DataFrame):
+    model = fit(*sample_labelled(learn_from.select("doc_id", "text"), labels))
+    return docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+
+
 def score_toxicity(docs: DataFrame, learn_from: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, score, spans`` of every document, learnt from ``labels`` of ``learn_from``'s rows."""
-    model = fit(*sample_labelled(learn_from.select("doc_id", "text"), labels))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    key = uuid.uuid4().hex
     return texts.mapInArrow(
-        _score(shared, key), "doc_id bigint, score double, spans array<struct<start: bigint, end: bigint>>"
+        _score(*_model(docs, learn_from, labels)),
+        "doc_id bigint, score double, spans array<struct<start: bigint, end: bigint>>",
     )
+
+
+def without_toxic(docs: DataFrame, learn_from: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``threshold``. Moves no row."""
+    return docs.mapInArrow(_keep(*_model(docs, learn_from, labels), threshold), docs.schema)
