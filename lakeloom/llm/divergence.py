@@ -18,20 +18,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import GAP, join_bounded, words
+from lakeloom.llm.common import join_bounded, words
 from lakeloom.session import stage
 
-SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-#: What is left of a text when all other characters are deleted, for each class.
+#: Small letters and spaces are most of a text; the other classes are counted in what is left.
+MOST = r"[\p{Ll}\x20]+"
+SYMBOLS = r"[#*$%&|<>]+"
 CHARACTER_CLASSES = {
-    "upper": r"[^\p{Lu}]+",
-    "other_letter": r"[^\p{L}&&[^\p{Lu}]]+",
-    "digit": r"[^\p{Nd}]+",
-    "space": r"[^\x20\x09-\x0D]+",
-    "stop": r"[^.,;:'\"?-]+",
+    "upper": r"\p{Lu}+",
+    "other_letter": r"[\p{L}&&[^\p{Lu}]]+",
+    "digit": r"\p{Nd}+",
+    "stop": r"[.,;:'\"?!-]+",
+    "symbol": SYMBOLS,
 }
 
 
@@ -50,21 +51,10 @@ class Limits:
     broadcast_languages: int = 2000
 
 
-def _short_words(found: Column, longest: int) -> Column:
-    """Words of few letters, lower case, without what is not a letter around them."""
-    bare = F.transform(
-        F.filter(found, lambda w: F.length(w) <= longest + 4),
-        lambda w: F.lower(F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}]+$", "")),
-    )
-    return F.filter(bare, lambda w: (F.length(w) > 0) & (F.length(w) <= longest))
-
-
-def _class_counts(text: Column) -> Column:
-    """Characters in each class, and in none of them."""
-    counts = [F.length(F.regexp_replace(text, p, "")).cast("bigint") for p in CHARACTER_CLASSES.values()]
-    listed = F.array(*counts)
-    rest = F.length(text) - F.aggregate(listed, F.lit(0).cast("bigint"), lambda a, b: a + b)
-    return F.array_append(listed, rest)
+def _short_words(text: Column, longest: int) -> Column:
+    """Runs of at most ``longest`` letters, in lower case."""
+    short = F.regexp_replace(F.lower(text), rf"\p{{L}}{{{longest + 1},}}", "")
+    return F.array_remove(F.split(short, r"[^\p{L}]+"), "")
 
 
 def _distance(p: Column, q: Column) -> Column:
@@ -99,33 +89,90 @@ def _repeated_words(windows: Column) -> Column:
     )
 
 
-def references(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """One row per language: ``language, ref_characters, ref_common, ref_counts``.
+def features(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One row per document: the base counts, the character classes and the short words."""
+    text = F.col("body")
+    rows = docs.select("doc_id", F.col("lang").alias("language"), F.coalesce("text", F.lit("")).alias("body"))
+    rows = rows.select(
+        "doc_id",
+        "language",
+        words(text).alias("found"),
+        F.length(text).cast("bigint").alias("n_chars"),
+        F.length(F.replace(text, F.lit(" "), F.lit(""))).alias("not_space"),
+        F.regexp_replace(text, MOST, "").alias("left"),
+        F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
+        _short_words(text, limits.common_length).alias("short"),
+    )
+
+    def without(pattern: str) -> Column:
+        return (F.length("left") - F.length(F.regexp_replace("left", pattern, ""))).cast("bigint")
 
-    ``ref_counts`` holds the counts of the words in ``ref_common`` and of all other words.
+    gaps = F.col("n_chars") - F.col("not_space") + without(r"[\x09-\x0D]+")
+    rows = rows.select(
+        "doc_id",
+        "language",
+        "n_chars",
+        "short",
+        gaps.alias("gaps"),
+        (F.col("n_chars") - F.col("not_space")).alias("blanks"),
+        F.array(*[without(p) for p in CHARACTER_CLASSES.values()]).alias("some"),
+        F.length("left").cast("bigint").alias("n_left"),
+        F.size("found").cast("bigint").alias("n_words"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
+        F.when(
+            F.size("found") >= 3,
+            F.element_at(
+                F.transform(
+                    F.array(F.col("found")),
+                    lambda f: F.transform(F.sequence(F.lit(0), F.size(f) - 3), lambda i: F.xxhash64(f[i], f[i + 1], f[i + 2])),
+                ),
+                1,
+            ),
+        ).otherwise(F.array().cast("array<bigint>")).alias("windows"),
+    )
+    counted = F.aggregate("some", F.lit(0).cast("bigint"), lambda a, b: a + b)
+    spaces = F.col("gaps")
+    small = F.col("n_chars") - F.col("n_left") - F.col("blanks")
+    rest = F.greatest(F.col("n_chars") - counted - spaces - small, F.lit(0))
+    return rows.select(
+        "doc_id",
+        "language",
+        "n_chars",
+        "short",
+        "n_words",
+        (F.col("n_chars") - F.col("gaps")).alias("word_chars"),
+        F.col("some")[list(CHARACTER_CLASSES).index("symbol")].alias("n_symbols"),
+        "n_dup_lines",
+        _repeated_words(F.col("windows")).cast("bigint").alias("n_repeat_words"),
+        F.concat("some", F.array(spaces, small, rest)).alias("classes"),
+    )
+
+
+def references(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One row per language from the features of all documents.
+
+    ``ref_characters`` are its character classes, ``ref_common`` its most common short words
+    and ``ref_counts`` their counts and the count of all other words.
     """
-    text = F.coalesce("text", F.lit(""))
-    found = docs.select(F.col("lang").alias("language"), text.alias("body"), words(text).alias("found"))
-    counted = found.select("language", _class_counts(F.col("body")).alias("c"), F.size("found").alias("n"))
-    bins = len(CHARACTER_CLASSES) + 1
-    totals = counted.groupBy("language").agg(
-        F.array(*[F.sum(F.col("c")[i]) for i in range(bins)]).alias("ref_characters"), F.sum("n").alias("all_words")
+    bins = len(CHARACTER_CLASSES) + 3
+    totals = rows.groupBy(F.col("language").alias("of")).agg(
+        F.array(*[F.sum(F.col("classes")[i]) for i in range(bins)]).alias("ref_characters"), F.sum("n_words").alias("all_words")
     )
-    short = found.select("language", F.explode(_short_words(F.col("found"), limits.common_length)).alias("word"))
-    per_word = short.groupBy("language", "word").agg(F.count("*").alias("n"))
+    per_word = rows.select("language", F.explode("short").alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
     ranked = per_word.withColumn("r", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "word")))
     common = (
         ranked.where(F.col("r") <= limits.common_count)
         .groupBy(F.col("language").alias("l"))
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "word", "n"))).alias("top"), F.sum("n").alias("top_words"))
     )
-    joined = totals.join(common, F.col("language").eqNullSafe(F.col("l")), "left")
+    joined = totals.join(common, F.col("of").eqNullSafe(F.col("l")), "left")
     counts = F.coalesce(F.col("top.n"), F.array().cast("array<bigint>"))
+    others = F.greatest(F.col("all_words") - F.coalesce("top_words", F.lit(0)), F.lit(0))
     return joined.select(
-        "language",
+        "of",
         "ref_characters",
         F.coalesce(F.col("top.word"), F.array().cast("array<string>")).alias("ref_common"),
-        F.array_append(counts, F.col("all_words") - F.coalesce("top_words", F.lit(0))).alias("ref_counts"),
+        F.array_append(counts, others).alias("ref_counts"),
     )
 
 
@@ -133,47 +180,21 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row per document with the base counts, both distances and the verdict.
 
     Returns ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept, character_distance, word_distance``.
+    base_failed, kept, character_distance, word_distance``. Texts are read once.
     """
-    known = stage(references(docs, limits), "references")
-    body = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("body"))
-    rows = join_bounded(body, known, F.col("lang").eqNullSafe(F.col("language")), limits.broadcast_languages)
-    text = F.col("body")
-    rows = rows.select(
-        "doc_id", "ref_characters", "ref_common", "ref_counts",
-        words(text).alias("found"),
-        F.length(F.regexp_replace(text, GAP, "")).cast("bigint").alias("word_chars"),
-        F.length(F.regexp_replace(text, SYMBOLS, "")).cast("bigint").alias("n_symbols"),
-        F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-        F.length(text).cast("bigint").alias("n_chars"),
-        _class_counts(text).alias("classes"),
-    )
-    rows = rows.select(
-        "doc_id", "word_chars", "n_symbols", "n_chars", "classes", "ref_characters", "ref_common", "ref_counts",
-        F.size("found").cast("bigint").alias("n_words"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        F.when(
-            F.size("found") >= 3,
-            F.element_at(
-                F.transform(
-                    F.array(F.col("found")),
-                    lambda f: F.transform(F.sequence(F.lit(0), F.size(f) - 3), lambda i: F.xxhash64(f[i], f[i + 1], f[i + 2])),
-                ),
-                1,
-            ),
-        ).otherwise(F.array().cast("array<bigint>")).alias("windows"),
-        _short_words(F.col("found"), limits.common_length).alias("short"),
-    )
-    own_common = F.element_at(
+    rows = stage(features(docs, limits), "features")
+    known = stage(references(rows, limits), "references")
+    rows = join_bounded(rows, known, F.col("language").eqNullSafe(F.col("of")), limits.broadcast_languages)
+    own = F.element_at(
         F.transform(
             F.array(F.col("short")),
             lambda s: F.transform(F.col("ref_common"), lambda w: (F.size(s) - F.size(F.array_remove(s, w))).cast("bigint")),
         ),
         1,
     )
-    rows = rows.select("*", _repeated_words(F.col("windows")).cast("bigint").alias("n_repeat_words"), own_common.alias("own"))
+    rows = rows.withColumn("own", own)
     own_total = F.aggregate("own", F.lit(0).cast("bigint"), lambda a, b: a + b)
-    rows = rows.withColumn("own", F.array_append("own", F.col("n_words") - own_total))
+    rows = rows.withColumn("own", F.array_append("own", F.greatest(F.col("n_words") - own_total, F.lit(0))))
     rows = rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT)).alias("base_failed"),
