@@ -102,15 +102,18 @@ class CrossParser:
 
     def _table(self, sample: str) -> np.ndarray:
         moves = suffix_automaton(self.symbol[_code_points(sample)].tolist())
-        table = np.full((len(moves), self.width), -1, np.int32)
+        table = np.full((len(moves) + 1, self.width), -1, np.int32)
         for state, out in enumerate(moves):
             for c, to in out.items():
                 table[state, c] = to * 2
-        # Without a match a new phrase begins, with this character where the sample has it.
-        start = np.where(table[0] >= 0, table[0] + 1, 1)
+        # Without a match a new phrase begins, with this character where the sample has it. The
+        # last state stands between phrases: before the text, and after a character the sample
+        # does not have.
+        between = len(moves)
+        start = np.where(table[0] >= 0, table[0], between * 2) + 1
         table = np.where(table >= 0, table, start)
-        table[:, self.fill] = np.arange(len(moves)) * 2
-        return table.astype(np.int32).ravel()
+        table[:, self.fill] = np.arange(between + 1) * 2
+        return table.astype(np.int32)
 
     def _pieces(self, text: str) -> Iterator[np.ndarray]:
         """Symbols of the normalised text, in long stretches."""
@@ -156,10 +159,11 @@ class CrossParser:
         grid = np.ascontiguousarray(grid.T)
         owner = np.repeat(owners, counts)
         for language, table in enumerate(self.tables):
-            state = np.zeros(grid.shape[1], np.int32)
-            found = np.ones(grid.shape[1], np.int32)
+            state = np.full(grid.shape[1], len(table) - 1, np.int32)
+            found = np.zeros(grid.shape[1], np.int32)
+            flat = table.ravel()
             for column in grid:
-                step = table[state * self.width + column]
+                step = flat[state * self.width + column]
                 found += step & 1
                 state = step >> 1
             np.add.at(phrases[:, language], owner, found)
