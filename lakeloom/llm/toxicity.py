@@ -58,7 +58,8 @@ def tokens(text: str | None) -> list[str]:
 
 
 def features(word: str) -> list[str]:
-    return ["w" + word, "s" + word[-4:], *(f"{n}{word[:n]}" for n in PREFIXES)]
+    """The word, its beginnings and end, and one that all tokens share: how rare toxic ones are."""
+    return ["w" + word, *(f"{n}{word[:n]}" for n in PREFIXES), "s" + word[-4:], "every"]
 
 
 def _slots(word: str) -> list[int]:
@@ -127,7 +128,7 @@ def marginals(unary: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, counts:
 
 def marking_features(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
     """Words and beginnings of words that mark toxic documents."""
-    held = [Counter(f for doc in docs for f in {f for w in set(doc) for f in features(w) if f[0] != "s"}) for docs in (toxic, clean)]
+    held = [Counter(f for doc in docs for f in {f for w in set(doc) for f in features(w)[:-2]}) for docs in (toxic, clean)]
     marks = set()
     for f, n in held[0].items():
         odds = np.log((n + 0.5) / (len(toxic) + 1)) - np.log((held[1][f] + 0.5) / (len(clean) + 1))
@@ -139,7 +140,7 @@ def marking_features(toxic: list[list[str]], clean: list[list[str]]) -> set[str]
 def train_field(docs: list[list[str]], tags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Unary weights and pair weights by full-gradient steps scaled to each weight's history."""
     lengths = np.array([len(d) for d in docs])
-    slots = np.array([_slots(w) for d in docs for w in d], np.int64).reshape(-1, 2 + len(PREFIXES))
+    slots = np.array([_slots(w) for d in docs for w in d], np.int64).reshape(-1, 3 + len(PREFIXES))
     y = np.concatenate(tags) if tags else np.empty(0)
     starts, sizes = _chains(lengths)
     observed = np.zeros((2, 2))
