@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from lakeloom.catalogue.histories import H2, versions
 from lakeloom.catalogue.registry import CUST, TXN, Tables, query
 from lakeloom.functions.cleaning import bucket
 from lakeloom.operators import history
 from lakeloom.operators import quality as dq
-from lakeloom.operators.ordered import running_total, top_n
+from lakeloom.operators.ordered import row_positions, running_total, top_n
 from lakeloom.plans import fraud, marts, medallion
 from lakeloom.session import workspace
 from lakeloom.sources import files
@@ -308,17 +309,11 @@ def m17(t: Tables):
 
 @query(
     "m18_price_history",
-    """WITH v AS (SELECT p_partkey, 1 AS version, p_retailprice AS price FROM part UNION ALL SELECT p_partkey, 2, ROUND(p_retailprice * 1.1, 2) FROM part WHERE p_partkey % 7 = 0)
-       SELECT p_partkey, version, price FROM v""",
+    f"""WITH {H2} SELECT p_partkey, CAST(ROW_NUMBER() OVER (PARTITION BY p_partkey ORDER BY valid_from) AS INT) AS version, price FROM h""",
 )
 def m18(t: Tables):
-    """Prices of each product in order of validity."""
-    from lakeloom.catalogue.histories import versions
-    from lakeloom.operators.ordered import row_positions
-
-    seventh = F.col("p_partkey") % 7 == 0
-    kept = versions(t).where((F.col("p_partkey") < 1_000_000_000) & (seventh | (F.col("p_partkey") % 11 != 0)) | F.col("valid_to").isNotNull())
-    placed = row_positions(kept, ["p_partkey"], [F.col("valid_from")], F.trunc("valid_from", "year"), "version")
+    """Prices of each product in order of validity, with the time before a price was known."""
+    placed = row_positions(versions(t), ["p_partkey"], [F.col("valid_from")], F.trunc("valid_from", "year"), "version")
     return placed.select("p_partkey", F.col("version").cast("int").alias("version"), "price")
 
 

@@ -45,6 +45,31 @@ def versions(t: Tables, **how):
     return history.scd2(first, source, "p_partkey", ["price"], "changed_at", **how)
 
 
+REOPENED = """WITH first AS (SELECT p_partkey, p_retailprice AS price, '2024-01-01' AS valid_from, CASE WHEN p_partkey % 5 = 0 THEN '2024-01-05' END AS valid_to FROM part)
+  SELECT *, valid_to IS NULL AS is_current FROM first
+  UNION ALL SELECT p_partkey, p_retailprice, '2024-02-01', NULL, TRUE FROM part WHERE p_partkey % 5 = 0"""
+
+
+def _reopened(t: Tables, block=None):
+    """Every fifth product was closed; all come again with the price they had."""
+    prices = t.part.select("p_partkey", F.col("p_retailprice").alias("price"))
+    first = history.open_history(prices, moment("2024-01-01"))
+    closed = F.col("p_partkey") % 5 == 0
+    first = first.withColumn("valid_to", F.when(closed, moment("2024-01-05"))).withColumn("is_current", ~closed)
+    again = prices.withColumn("changed_at", moment("2024-02-01"))
+    return dated(history.scd2(first, again, "p_partkey", ["price"], "changed_at", block=block))
+
+
+@query("h02_scd2_reopened_key", REOPENED)
+def h02_reopened(t: Tables):
+    return _reopened(t)
+
+
+@query("h02_scd2_reopened_key_blocked", REOPENED)
+def h02_reopened_blocked(t: Tables):
+    return _reopened(t, F.trunc("valid_from", "month"))
+
+
 def dated(df):
     return df.withColumns({c: F.col(c).cast("date").cast("string") for c in ("valid_from", "valid_to") if c in df.columns})
 
@@ -145,7 +170,7 @@ def h07(t: Tables):
 @query(
     "h07_incremental_load_stats",
     f"""WITH {LOAD_SQL} SELECT COUNT(*) AS records_read, COUNT(*) - COUNT(DISTINCT txn_id) AS duplicates_removed, COUNT(DISTINCT txn_id) AS records_merged,
-        CAST(MAX(txn_date) AS VARCHAR) AS new_watermark, 'SUCCESS' AS status FROM fresh""",
+        CAST(MAX(txn_date) AS VARCHAR) AS new_watermark, 'SUCCESS' AS status, CAST(0 AS BIGINT) AS records_without_watermark FROM fresh""",
 )
 def h07b(t: Tables):
     return load(t).stats.withColumn("new_watermark", F.col("new_watermark").cast("string"))

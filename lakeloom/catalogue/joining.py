@@ -179,7 +179,7 @@ def j10(t: Tables):
 def j10b(t: Tables):
     t.customer.createOrReplaceTempView("loom_customer")
     t.nation.createOrReplaceTempView("loom_nation")
-    rows, size = joins.measured_size(t.nation, 10_000)
+    rows, size = joins.measured_size(t.nation)
     hint = "/*+ BROADCAST(n) */" if rows <= 10_000 and size <= 8 * 1024 * 1024 else ""
     return t.spark.sql(
         f"""SELECT {hint} n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance

@@ -293,7 +293,7 @@ def d17(t: Tables):
         },
     )
     path = workspace(t.spark, "generated")
-    table_io.write_parquet(made.repartition("txn_year"), path, partition_by=["txn_year"])
+    table_io.write_parquet(made.hint("rebalance", "txn_year"), path, partition_by=["txn_year"])
     return t.spark.read.parquet(path).groupBy("txn_year", "txn_month", "amount_bucket").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeloom.catalogue.registry import TXN, Tables, query
+from lakeloom.catalogue.registry import DIRTY, TXN, Tables, query
 from lakeloom.operators import aggregates, ordered
 from lakeloom.operators.layout import cached, write_row_target
 from lakeloom.session import workspace
@@ -215,12 +215,50 @@ def w10(t: Tables):
     f"""WITH {TXN} SELECT txn_id, ROUND(PERCENT_RANK() OVER (PARTITION BY payment_mode ORDER BY amount), 8) AS pct FROM txn""",
 )
 def w11(t: Tables):
-    ranks = ordered.value_ranks(t.txn, ["payment_mode"], "amount", F.floor(F.col("amount") / 1000))
-    joined = t.txn.join(ranks, ["payment_mode", "amount"])
+    return _percent_ranks(t.txn)
+
+
+def _percent_ranks(rows):
+    ranks = ordered.value_ranks(rows, ["payment_mode"], "amount", F.floor(F.col("amount") / 1000), with_nulls=True)
+    joined = ordered.attach(rows, ranks, ["payment_mode", "amount"])
     pct = ordered.percent_rank(F.col("rank"), F.col("total"))
     return joined.select("txn_id", F.round(pct, 8).alias("pct"))
 
 
+@query(
+    "w11_percent_rank_with_nulls",
+    f"""WITH {DIRTY} SELECT txn_id, ROUND(PERCENT_RANK() OVER (PARTITION BY payment_mode ORDER BY amount NULLS FIRST), 8) AS pct FROM dirty""",
+)
+def w11b(t: Tables):
+    """NULL amounts are ranked too, first as in every ascending Spark window."""
+    return _percent_ranks(t.dirty)
+
+
+@query(
+    "w10_ntile_with_nulls",
+    f"""WITH {DIRTY} SELECT txn_id, CAST(NTILE(4) OVER (ORDER BY amount NULLS FIRST, txn_id) AS INT) AS quartile,
+        RANK() OVER (ORDER BY amount NULLS FIRST) AS rank, DENSE_RANK() OVER (ORDER BY amount NULLS FIRST) AS dense_rank FROM dirty""",
+)
+def w10b(t: Tables):
+    placed = ordered.ranked(
+        t.dirty, [], "amount", "txn_id", F.floor(F.col("amount") / 1000), F.floor(F.col("txn_id") / 1_000_000)
+    )
+    quartile = ordered.ntile(F.col("row_number"), F.col("total"), 4).alias("quartile")
+    return placed.select("txn_id", quartile, "rank", "dense_rank")
+
+
+@query(
+    "w01_ranks_with_nulls_descending",
+    f"""WITH {DIRTY} SELECT txn_id, ROW_NUMBER() OVER (PARTITION BY payment_mode ORDER BY amount DESC NULLS LAST, txn_id) AS row_number,
+        RANK() OVER (PARTITION BY payment_mode ORDER BY amount DESC NULLS LAST) AS rank FROM dirty""",
+)
+def w01c(t: Tables):
+    placed = ordered.ranked(
+        t.dirty, ["payment_mode"], "amount", "txn_id", F.floor(F.col("amount") / 1000), F.floor(F.col("txn_id") / 1_000_000), descending=True
+    )
+    return placed.select("txn_id", "row_number", "rank")
+
+
 @query(
     "w12_day_over_day",
     f"""WITH {TXN}, d AS (SELECT txn_date, SUM(amount) AS total FROM txn GROUP BY 1)

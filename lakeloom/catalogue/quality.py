@@ -74,13 +74,25 @@ def q04(t: Tables):
 
 @query(
     "q04_failure_samples",
-    f"""WITH {DIRTY}, f AS (SELECT 'TXN_002' AS rule_id, txn_id FROM dirty WHERE amount IS NULL
-        UNION ALL SELECT 'TXN_012', txn_id FROM dirty WHERE payment_mode = 'BARTER')
-        SELECT rule_id, txn_id AS record_key FROM f QUALIFY ROW_NUMBER() OVER (PARTITION BY rule_id ORDER BY txn_id) <= 5""",
+    f"WITH {DIRTY}, f AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{i}' AS rule_id, txn_id, customer_id, payment_mode, amount FROM dirty WHERE NOT COALESCE({c}, FALSE)"
+        for i, _, c, _, _ in _RULES
+    )
+    + """) SELECT rule_id, txn_id AS record_key, customer_id, payment_mode, amount FROM f
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY rule_id ORDER BY txn_id) <= 5""",
 )
 def q04b(t: Tables):
-    chosen = [r for r in rules() if r.rule_id in ("TXN_002", "TXN_012")]
-    return dq.sample_failures(t.dirty, chosen, "txn_id").select("rule_id", "record_key")
+    """Samples of every standard rule; the record is compared by its fields."""
+    samples = dq.sample_failures(t.dirty, rules(), "txn_id")
+    field = lambda name: F.get_json_object("record", f"$.{name}")
+    return samples.select(
+        "rule_id",
+        "record_key",
+        field("customer_id").alias("customer_id"),
+        field("payment_mode").alias("payment_mode"),
+        field("amount").cast("double").alias("amount"),
+    )
 
 
 REPORT = """COUNT(*) AS total_rules, COUNT(*) FILTER (WHERE status = 'PASSED') AS passed_rules,

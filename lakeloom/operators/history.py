@@ -54,8 +54,9 @@ def scd2(
     may hold several versions of a key, late ones included. History and source are laid
     out on one time line per key, so the whole step is a union and one shuffle by key:
 
-    * a source row equal to the version before it changes nothing, which also makes a
-      second run of the same batch a no-op;
+    * a source row equal to the version before it changes nothing if that version is still
+      valid then, which also makes a second run of the same batch a no-op; a key that was
+      closed and comes back opens a new version;
     * every version ends where the next begins, unless it had ended earlier;
     * a source row with the start time of an existing version replaces it.
 
@@ -74,14 +75,17 @@ def scd2(
         incoming
     )
     state = F.struct(*track)
+    before = F.struct(state.alias("state"), F.col("valid_to").alias("ended"))
     order = [F.col("valid_from"), F.col("_new")]
     if block is None:
         w = Window.partitionBy(key).orderBy(*order)
-        line = line.withColumn("_before", F.lag(state).over(w))
+        line = line.withColumn("_before", F.lag(before).over(w))
     else:
         line = row_positions(line, [key], order, block, "_pos")
-        line = chunked_window(line, [key], {"_before": lambda w: F.lag(state).over(w)}, "_pos", 1)
-    line = line.where((F.col("_new") == 0) | ~state.eqNullSafe(F.col("_before"))).drop("_before")
+        line = chunked_window(line, [key], {"_before": lambda w: F.lag(before).over(w)}, "_pos", 1)
+    ended = F.coalesce(F.col("_before.ended") <= F.col("valid_from"), F.lit(False))
+    same = F.col("_before").isNotNull() & state.eqNullSafe(F.col("_before.state")) & ~ended
+    line = line.where((F.col("_new") == 0) | ~same).drop("_before")
     if block is None:
         line = line.withColumn("_next", F.lead("valid_from").over(w))
     else:

@@ -20,6 +20,8 @@ class Load:
     target: DataFrame
     watermark: DataFrame
     stats: DataFrame
+    #: Rows that no later load would see because their watermark column is NULL.
+    without_watermark: DataFrame
 
 
 def incremental_load(
@@ -34,11 +36,15 @@ def incremental_load(
 
     ``>=`` reads rows tied with the saved maximum again, which the upsert absorbs. The
     bound is a literal, so it reaches the file scan. Statistics and the new watermark are
-    one-row frames computed from counts per key.
+    one-row frames computed from counts per key. Rows whose watermark column is NULL can't be
+    placed before or after the bound: they are counted and handed back, not merged unseen.
     """
+    unplaced = source.where(F.col(watermark_column).isNull())
     fresh = source
     if watermark is not None:
         fresh = source.where(F.col(watermark_column) >= F.lit(watermark))
+    else:
+        unplaced = unplaced.limit(0)
     order = [F.col(watermark_column).desc(), *[F.col(c).desc() for c in tie]]
     merged = upsert(target, latest_per_key(fresh, keys, order), keys)
     per_key = fresh.groupBy(*keys).agg(
@@ -50,7 +56,10 @@ def incremental_load(
         F.count(F.lit(1)).alias("records_merged"),
         F.coalesce(F.max("newest"), F.lit(watermark)).alias("new_watermark"),
     ).withColumn("status", F.when(F.col("records_read") == 0, "SKIPPED").otherwise("SUCCESS"))
-    return Load(merged, stats.select(F.col("new_watermark").alias("watermark_value")), stats)
+    left = unplaced.agg(F.count(F.lit(1)).alias("records_without_watermark"))
+    stats = stats.crossJoin(left)  # one row each
+    new_watermark = stats.select(F.col("new_watermark").alias("watermark_value"))
+    return Load(merged, new_watermark, stats, unplaced)
 
 
 def watermark_table(spark: SparkSession) -> DataFrame:

@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def measured_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """Rows and bytes of ``df``, reading at most ``max_rows + 1`` rows. Runs a job."""
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    row = (
-        df.select(width.alias("w"))
-        .limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("w"), F.lit(0)).alias("bytes"))
-        .first()
-    )
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and about the bytes of ``df``. Runs a job in which each task sends one row.
+
+    Strings and binaries count by their length, other values by a fixed width.
+    """
+    kinds = dict(df.dtypes)
+    wide = [F.coalesce(F.octet_length(c), F.lit(0)) if kinds[c] in ("string", "binary") else F.lit(16) for c in df.columns]
+    width = sum(wide[1:], wide[0]) if wide else F.lit(0)
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
     return row["rows"], row["bytes"]
 
 
@@ -27,7 +27,7 @@ def broadcast_if_small(
 
     The unchanged frame joins by shuffle, where adaptive execution handles skew.
     """
-    rows, size = measured_size(df, max_rows)
+    rows, size = measured_size(df)
     return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
@@ -82,12 +82,14 @@ def hot_split_join(
     """Join hot keys and the rest in two plans and union the results by name.
 
     The right side of the hot plan holds only the hot keys, so adaptive execution turns
-    that plan into a broadcast join when its measured size allows.
+    that plan into a broadcast join when its measured size allows; otherwise both of its
+    sides are large for these keys and adaptive execution splits them. Each right row goes
+    to one of the two plans, so every join type gives what the plain join gives.
     """
-    hot = F.broadcast(hot_keys(left, key, share).select(key))
+    hot = F.broadcast(hot_keys(left, key, share).where(F.col(key).isNotNull()).select(key))
     left_hot, left_rest = left.join(hot, key, "left_semi"), left.join(hot, key, "left_anti")
-    right_hot = right.join(hot, key, "left_semi")
-    return left_hot.join(right_hot, key, how).unionByName(left_rest.join(right, key, how))
+    right_hot, right_rest = right.join(hot, key, "left_semi"), right.join(hot, key, "left_anti")
+    return left_hot.join(right_hot, key, how).unionByName(left_rest.join(right_rest, key, how))
 
 
 def as_of_join(

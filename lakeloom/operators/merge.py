@@ -102,7 +102,7 @@ def merge_actions(
     """
     small = False
     if broadcast_rows is not None:
-        rows, size = measured_size(source, broadcast_rows)
+        rows, size = measured_size(source)
         small = rows <= broadcast_rows and size <= 64 * 1024 * 1024
     columns = list(target.columns)
     if evolve:
@@ -211,14 +211,14 @@ def merge_partitions(
     replace_partitions(stage(merged, "merge"), path, partition)
 
 
-def replace_partitions(df: DataFrame, path: str, *partition: str, files: int = 8) -> None:
+def replace_partitions(df: DataFrame, path: str, *partition: str) -> None:
     """Overwrite just the partitions that ``df`` has rows for.
 
-    Each partition is spread over up to ``files`` tasks, so a crowded one is no bottleneck.
+    Rows are rebalanced by partition: adaptive execution joins small partitions in a task and
+    splits a crowded one by its size.
     """
-    rest = [c for c in df.columns if c not in partition]
     (
-        df.repartition(*partition, F.pmod(F.xxhash64(*rest), F.lit(files)))
+        df.hint("rebalance", *partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition)

@@ -42,7 +42,7 @@ def _cut(df: DataFrame, keys: Sequence[str], block: Column) -> DataFrame:
 
 def _whole(number: Column, size: int) -> Column:
     """Integer quotient, exact for every long (plain ``/`` goes through doubles)."""
-    return ((number - F.pmod(number, F.lit(size))) / size).cast("bigint")
+    return F.call_function("div", number - F.pmod(number, F.lit(size)), F.lit(size))
 
 
 def _keys_of(keys: Sequence[str]) -> list[Column]:
@@ -217,18 +217,18 @@ def value_ranks(
     value: str,
     block: Column | None = None,
     descending: bool = False,
+    with_nulls: bool = False,
 ) -> DataFrame:
     """Rank every distinct value within its key: ``keys, value, n, rank, dense_rank, total``.
 
     Rows are counted per value before anything is sorted, so a value shared by very many
-    rows is one row here. NULL values are left out. With ``descending`` the ``block``
-    must still grow with the value; blocks are then walked backwards.
+    rows is one row here. With ``descending`` the ``block`` must still grow with the value;
+    blocks are then walked backwards. NULL values are left out, or ranked as Spark's windows
+    do if ``with_nulls``: first when ascending, last when descending. A block computed from
+    the value is NULL for them and sorts the same way.
     """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    rows = df if with_nulls else df.where(F.col(value).isNotNull())
+    counts = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     counts = _cut(counts, keys, block if block is not None else F.lit(0))
     sort = F.col(value).desc() if descending else F.col(value).asc()
     by_block = F.col("_k._block").desc() if descending else F.col("_k._block").asc()
@@ -269,9 +269,10 @@ def ranked(
 ) -> DataFrame:
     """Add ``row_number, rank, dense_rank, total`` by ``value``, ties broken by ``tie``.
 
-    Rows without a value are kept and get NULL ranks.
+    Rows without a value are ranked as Spark's windows do: first when ascending, last when
+    descending.
     """
-    ranks = value_ranks(df, keys, value, block, descending).drop("n")
+    ranks = value_ranks(df, keys, value, block, descending, with_nulls=True).drop("n")
     among = row_positions(df, [*keys, value], [F.col(tie)], tie_block, "_among")
     out = attach(among, ranks, [*keys, value], "left")
     return out.withColumn("row_number", F.col("rank") + F.col("_among") - 1).drop("_among")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,13 +43,15 @@ def hierarchy(
     node: str,
     parent: str,
     label: str,
-    max_depth: int = 10,
+    max_depth: int | None = None,
     separator: str = " > ",
 ) -> DataFrame:
     """``node, level, path`` for every node reachable from a root, roots at level 1.
 
-    One join per level against that level only. Levels are staged in the shared folder, so
-    a level is computed once and a lost executor does not replay the walk.
+    One join per level against that level only, until a level is empty. Levels are staged in
+    the shared folder, so a level is computed once and a lost executor does not replay the
+    walk. A node that is reached twice (a cycle, or two parents) raises, and so does a level
+    below ``max_depth`` where that is given: no node is dropped.
     """
     edges = df.select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(label).alias("label"))
     level = edges.where(F.col("parent").isNull()).select(
@@ -56,7 +59,7 @@ def hierarchy(
     )
     level = stage(level, "hierarchy")
     found = level
-    for depth in range(2, max_depth + 1):
+    for depth in itertools.count(2):
         above = level.select(F.col("node").alias("above"), F.col("path").alias("above_path"))
         level = edges.join(above, F.col("parent") == F.col("above")).select(
             "node",
@@ -65,9 +68,13 @@ def hierarchy(
         )
         level = stage(level, "hierarchy")
         if level.isEmpty():
-            break
+            return found
+        if max_depth is not None and depth > max_depth:
+            raise ValueError(f"the hierarchy has more than {max_depth} levels")
+        if not level.join(found.select("node"), "node", "left_semi").isEmpty():
+            raise ValueError("a node of the hierarchy is reached on two levels")
         found = found.unionByName(level)
-    return found
+    raise AssertionError("unreachable")
 
 
 def difference_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",
+    "multiLine": "false",
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
     "nullValue": "NULL",
@@ -28,9 +28,7 @@ CSV_OPTIONS = {
     "dateFormat": "yyyy-MM-dd",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss",
     "encoding": "UTF-8",
-    "comment": "#",
-    "maxColumns": "2048",
-    "maxCharsPerColumn": "100000",
+    "maxCharsPerColumn": "-1",
     "mode": "PERMISSIVE",
 }
 
@@ -40,16 +38,13 @@ def read_csv(
 ) -> DataFrame:
     """CSV with every option of :data:`CSV_OPTIONS`, each of which may be overridden.
 
-    ``multiLine`` keeps a file in one task; pass ``multiLine="false"`` for large files
-    without line breaks inside quotes, so that Spark can split them.
+    Nothing is cut or skipped by default: fields of any length are read, and lines that begin
+    with a comment sign are data unless ``comment`` is passed. ``multiLine="true"`` allows line
+    breaks inside quotes, but keeps a file in one task.
     """
     return spark.read.options(**{**CSV_OPTIONS, **options}).schema(schema).csv(path)
 
 
-def with_corrupt_column(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-
-
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)`` of a permissive read that has the corrupt-record column.
 

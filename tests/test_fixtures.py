@@ -231,9 +231,45 @@ def test_lists_stay_bounded(spark):
     assert [len(items) for _, items in got] == [10, 10, 5] and sum((items for _, items in got), []) == list(range(25))
 
 
-def test_hierarchy_stops_at_depth(spark):
-    df = spark.range(6).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("p"), F.col("id").cast("string").alias("n"))
-    assert sequences.hierarchy(df, "id", "p", "n", max_depth=3).count() == 3
+def test_hierarchy_drops_no_level(spark):
+    df = spark.range(13).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("p"), F.col("id").cast("string").alias("n"))
+    assert sequences.hierarchy(df, "id", "p", "n").count() == 13
+    assert sequences.hierarchy(df, "id", "p", "n", max_depth=13).count() == 13
+    with pytest.raises(ValueError):
+        sequences.hierarchy(df, "id", "p", "n", max_depth=12)
+    cycle = df.union(spark.createDataFrame([(3, 12, "3")], "id long, p long, n string"))
+    with pytest.raises(ValueError):
+        sequences.hierarchy(cycle, "id", "p", "n")
+
+
+def test_csv_reads_long_fields_and_comment_signs(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,v\n1," + "x" * 150_000 + "\n#2,y\n")
+    got = files.read_csv(spark, str(tmp_path / "a.csv"), "id string, v string").collect()
+    assert [(r.id, len(r.v)) for r in got] == [("1", 150_000), ("#2", 1)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
+def test_hot_split_join_equals_the_plain_join(spark, how):
+    left = spark.createDataFrame([(1, i) for i in range(90)] + [(i, i) for i in range(2, 12)] + [(None, -1)], "k long, a long")
+    right = spark.createDataFrame([(1, "hot"), (3, "three"), (99, "lonely"), (None, "null")], "k long, b string")
+    split, plain = joins.hot_split_join(left, right, "k", 0.2, how), left.join(right, "k", how)
+    assert split.columns == plain.columns
+    assert rows(split) == rows(plain)
+
+
+def test_size_is_measured_without_a_funnel(spark):
+    df = spark.createDataFrame([("ab", 1), (None, 2)], "s string, n long")
+    assert joins.measured_size(df) == (2, 34)
+    assert joins.measured_size(df.limit(0)) == (0, 0)
+
+
+def test_rows_without_watermark_are_handed_back(spark):
+    source = spark.createDataFrame([(1, 5), (2, None), (3, 9)], "id long, at long")
+    load = incremental.incremental_load(source, source.limit(0), ["id"], "at", 4)
+    assert rows(load.stats, "records_read", "records_without_watermark") == [(2, 1)]
+    assert rows(load.without_watermark, "id") == [(2,)]
+    first = incremental.incremental_load(source, source.limit(0), ["id"], "at", None)
+    assert rows(first.stats, "records_read", "records_without_watermark") == [(3, 0)]
 
 
 def test_compaction_keeps_rows(spark):
