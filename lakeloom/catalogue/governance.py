@@ -119,13 +119,23 @@ def g11(t: Tables):
     return access.pii_scan(t.documents, ["text"])
 
 
-@query("g12_pii_tag_inventory", "SELECT 'conversations' AS table_name, column_name FROM (DESCRIBE conversations) WHERE column_name = 'text' UNION ALL SELECT 'documents', column_name FROM (DESCRIBE documents) WHERE column_name = 'text'")
+_TEXTS = {"documents": ("text", "lang", "source"), "conversations": ("role", "text")}
+_ANY = {
+    (n, c): " OR ".join(f"regexp_matches({c}, '{p}')" for p in masking.PII_PATTERNS.values()) for n, columns in _TEXTS.items() for c in columns
+}
+
+
+@query(
+    "g12_pii_tag_inventory",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, '{c}' AS column_name FROM (SELECT COUNT(*) FILTER (WHERE {any_}) AS hits FROM {n}) WHERE hits > 0" for (n, c), any_ in _ANY.items()
+    ),
+)
 def g12(t: Tables):
-    """Tags derived from the columns of the tables: free text counts as personal data."""
-    rows = [
-        (name, c, "pii", "true" if c == "text" else "false")
-        for name in ("documents", "conversations")
-        for c in getattr(t, name).columns
-    ]
-    tags = t.spark.createDataFrame(rows, "table_name string, column_name string, tag_name string, tag_value string")
+    """Columns that hold personal data, tagged by scanning their rows."""
+    tags = None
+    for name, columns in _TEXTS.items():
+        hits = access.pii_scan(getattr(t, name), columns).groupBy("column_name").agg(F.max(F.col("matches") > 0).cast("string").alias("tag_value"))
+        own = hits.select(F.lit(name).alias("table_name"), "column_name", F.lit("pii").alias("tag_name"), "tag_value")
+        tags = own if tags is None else tags.unionByName(own)
     return access.tagged_columns(tags)

@@ -127,8 +127,11 @@ def feed(t: Tables):
 
 
 def log(t: Tables):
-    start = changes.initial_feed(target(t), 0, moment("2024-01-01"))
-    return start.unionByName(feed(t))
+    """The change log as stored data: written once for a query, however often it is read."""
+    if "_change_log" not in t.__dict__:
+        start = changes.initial_feed(target(t), 0, moment("2024-01-01"))
+        t.__dict__["_change_log"] = stage(start.unionByName(feed(t)), "change-log")
+    return t.__dict__["_change_log"]
 
 
 @query("d05_change_feed", f"WITH {FEED_SQL} SELECT {SHOWN}, _change_type FROM feed")
@@ -235,14 +238,18 @@ def d13b(t: Tables):
 
 @query(
     "d14_schema_report",
-    """SELECT UNNEST(['o_clerk', 'o_custkey', 'o_orderkey', 'o_orderstatus']) AS column_name,
-       UNNEST(['missing', 'type_changed', 'type_changed', 'extra']) AS issue FROM (SELECT 1 FROM orders LIMIT 1)""",
+    """SELECT 'o_clerk' AS column_name, 'missing' AS issue, 0::BIGINT AS values_at_stake UNION ALL SELECT 'o_custkey', 'type_changed', COUNT(o_custkey) FROM orders
+       UNION ALL SELECT 'o_orderkey', 'type_changed', COUNT(o_orderkey) FROM orders UNION ALL SELECT 'o_orderstatus', 'extra', COUNT(o_orderstatus) FROM orders""",
 )
 def d14(t: Tables):
+    """Deviations from the expected schema, and how many values of the table each concerns."""
     wanted = t.orders.select(
         F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("int"), F.lit("x").alias("o_clerk"), "o_totalprice", "o_orderdate", "o_orderpriority"
     ).schema
-    return schema.schema_report(wanted, t.orders).select("column_name", "issue")
+    report = schema.schema_report(wanted, t.orders).select("column_name", "issue")
+    filled = t.orders.agg(*[F.count(c).alias(c) for c in t.orders.columns])
+    filled = filled.unpivot([], t.orders.columns, "column_name", "values_at_stake")
+    return report.join(filled, "column_name", "left").withColumn("values_at_stake", F.coalesce("values_at_stake", F.lit(0)))
 
 
 @query(

@@ -109,7 +109,6 @@ def w05(t: Tables):
         },
         before=1,
         after=1,
-        chunk=4,
     )
     return out.select("customer_id", "txn_id", "previous", "following", "delta")
 
@@ -152,7 +151,6 @@ def w08(t: Tables):
             "avg_7_rows": lambda w: F.round(F.avg("amount").over(w.rowsBetween(-6, 0)), 6),
         },
         before=6,
-        chunk=8,
     )
     return out.select("customer_id", "txn_id", "avg_3_rows", "avg_7_rows")
 

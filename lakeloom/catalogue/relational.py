@@ -280,13 +280,21 @@ def p20(t: Tables):
 
 @query(
     "p21_schema_metadata",
-    """SELECT 'orders' AS table_name, column_name FROM (DESCRIBE orders)
-       UNION ALL SELECT 'customer', column_name FROM (DESCRIBE customer)
-       UNION ALL SELECT 'lineitem', column_name FROM (DESCRIBE lineitem)""",
+    """WITH o AS (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM orders) ON COLUMNS(*) INTO NAME column_name VALUE filled),
+         c AS (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM customer) ON COLUMNS(*) INTO NAME column_name VALUE filled),
+         l AS (UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM lineitem) ON COLUMNS(*) INTO NAME column_name VALUE filled)
+       SELECT 'orders' AS table_name, column_name, filled FROM o UNION ALL SELECT 'customer', column_name, filled FROM c
+       UNION ALL SELECT 'lineitem', column_name, filled FROM l""",
 )
 def p21(t: Tables):
-    rows = [(n, c) for n in ("orders", "customer", "lineitem") for c in getattr(t, n).columns]
-    return t.spark.createDataFrame(rows, "table_name string, column_name string")
+    """Columns of three tables with the number of rows that fill them."""
+    out = None
+    for name in ("orders", "customer", "lineitem"):
+        df = getattr(t, name)
+        filled = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "filled")
+        filled = filled.select(F.lit(name).alias("table_name"), "column_name", "filled")
+        out = filled if out is None else out.unionByName(filled)
+    return out
 
 
 # ── set operations and sequences ───────────────────────────────────────────────────────

@@ -138,7 +138,13 @@ def f08(t: Tables):
     return t.part.select("p_partkey", F.levenshtein("p_name", F.lit("small ring")).alias("distance"))
 
 
-@query("f08_soundex")
+_CODES = "translate(upper(p_name), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202')"
+_SEQUENCE = f"{_CODES}[1] || replace(regexp_replace(substr({_CODES}, 2), '[^0-9]', '0', 'g'), '7', '')"
+for _digit in "123456":
+    _SEQUENCE = f"regexp_replace({_SEQUENCE}, '{_digit}+', '{_digit}', 'g')"
+
+
+@query("f08_soundex", f"SELECT p_partkey, upper(p_name[1]) || rpad(left(replace(substr({_SEQUENCE}, 2), '0', ''), 3), 3, '0') AS sound FROM part")
 def f08b(t: Tables):
     return t.part.select("p_partkey", F.soundex("p_name").alias("sound"))
 
@@ -161,6 +167,17 @@ def f09(t: Tables):
     )
 
 
+@query(
+    "f09_sentence_words",
+    "SELECT conv_id, turn, 'Turn ' || turn || ' of ' || role || '|It has ' || length(text) || ' signs|Is it so' AS words FROM conversations",
+)
+def f09c(t: Tables):
+    """Sentences and their words, of a text whose grammar is known."""
+    said = F.concat(F.lit("Turn "), "turn", F.lit(" of "), "role", F.lit(". It has "), F.length("text"), F.lit(" signs. Is it so?"))
+    lines = F.transform(F.sentences(said), lambda words: F.array_join(words, " "))
+    return t.conversations.select("conv_id", "turn", F.array_join(lines, "|").alias("words"))
+
+
 @query("f09_sentences")
 def f09b(t: Tables):
     return t.conversations.select("conv_id", "turn", F.size(F.sentences("text")).alias("n_sentences"))
@@ -328,7 +345,7 @@ def orders_with_items(t: Tables):
         F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("sku"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("price"),
     )
     order = [F.col(c) for c in LINE_ORDER]
-    lines = collect_chunks(t.lineitem, ["l_orderkey"], item, order, SIZE, block=F.col("l_linenumber"))
+    lines = collect_chunks(t.lineitem, ["l_orderkey"], item, order, SIZE)
     joined = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return joined.select("o_orderkey", "o_custkey", "chunk", "items")
 

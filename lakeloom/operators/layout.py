@@ -22,23 +22,23 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """``file_path, file_size`` of every data file; reads footers, not columns."""
-    files = spark.read.parquet(path).select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_size").alias("file_size"),
-    )
-    return files.groupBy("file_path").agg(F.max("file_size").alias("file_size"))
+    """``file_path, file_size`` of every data file, from the listing; no file is opened."""
+    return _listing(spark, path, "*.parquet").select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
 
 
-def source_profile(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
-    """Files and bytes per directory, whatever the format; contents are not read."""
-    listing = (
+def _listing(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(path)
         .select("path", "length")
     )
+
+
+def source_profile(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """Files and bytes per directory, whatever the format; contents are not read."""
+    listing = _listing(spark, path, pattern)
     return listing.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("directory")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )

@@ -41,7 +41,7 @@ def recent_count(
         F.unix_seconds(F.col(at)),
         seconds,
         {name: lambda w: F.count(F.lit(1)).over(w.rangeBetween(-seconds, 0))},
-        span=max(86_400, seconds),
+        span=max(86_400, 8 * seconds),
     )
 
 
