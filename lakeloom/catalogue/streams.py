@@ -90,7 +90,8 @@ def r02(t: Tables):
 @query(
     "r03_sliding_window_per_vehicle",
     f"""WITH {SENSOR}, w AS (SELECT *, UNNEST([0, 1, 2, 3, 4]) AS i FROM sensor), k AS (SELECT *, date_trunc('minute', ts) - to_minutes(i) AS s FROM w)
-        SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, vehicle_id, COUNT(device_id) AS event_count, ROUND(MAX(speed_kmh), 4) AS max_speed, ROUND(MIN(fuel_level_pct), 4) AS min_fuel,
+        SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, vehicle_id, COUNT(device_id) AS event_count, ROUND(AVG(speed_kmh), 9) AS avg_speed, ROUND(AVG(temperature_c), 9) AS avg_temp,
+          ROUND(arg_max(latitude, ts), 4) AS last_latitude, ROUND(arg_max(longitude, ts), 4) AS last_longitude, ROUND(MAX(speed_kmh), 4) AS max_speed, ROUND(MIN(fuel_level_pct), 4) AS min_fuel,
           COUNT(*) FILTER (WHERE speed_kmh > 120) AS speed_violations,
           arg_max(CASE WHEN speed_kmh > 120 OR engine_status <> 'RUNNING' THEN 'CRITICAL' WHEN temperature_c > 45 OR fuel_level_pct < 10 THEN 'WARNING' ELSE 'NORMAL' END, ts) AS current_alert_level
         FROM k GROUP BY s, vehicle_id HAVING s + INTERVAL 5 MINUTE <= {WM}""",
@@ -98,8 +99,9 @@ def r02(t: Tables):
 def r03(t: Tables):
     rows = windows.with_watermark(sensors(stream(t)), "event_timestamp", "10 minutes")
     out = run_to_files(t, windows.fleet_metrics(marts.sensor_alerts(rows)), "sliding")
+    measures = {"avg_speed": 9, "avg_temp": 9, "last_latitude": 4, "last_longitude": 4, "max_speed": 4, "min_fuel": 4}
     return out.select(
-        stamp("window_start"), "vehicle_id", "event_count", F.round("max_speed", 4).alias("max_speed"), F.round("min_fuel", 4).alias("min_fuel"), "speed_violations", "current_alert_level"
+        stamp("window_start"), "vehicle_id", "event_count", *[F.round(c, n).alias(c) for c, n in measures.items()], "speed_violations", "current_alert_level"
     )
 
 
@@ -258,8 +260,10 @@ def r13(t: Tables):
     path = workspace(t.spark, "progress")
     rows = windows.with_watermark(stream(t), "ts", "10 minutes")
     daily = windows.windowed(rows, "ts", "1 day", [], [F.count(F.lit(1)).alias("n")])
-    done = drain(start_files(daily, f"{path}/data", f"{path}/checkpoint", name=path.rsplit("/", 1)[1].replace("-", "_")))
-    reports = progress.progress_frame(t.spark, list(done.recentProgress))
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    with progress.logged_progress(t.spark, f"{path}/log"):
+        drain(start_files(daily, f"{path}/data", f"{path}/checkpoint", name=name))
+    reports = progress.progress_frame(t.spark, f"{path}/log", name)
     healthy = progress.health(reports, F.lit("2024-02-01").cast("timestamp"))
     return healthy.agg(F.sum("numInputRows").alias("rows_in"), F.max(F.col("watermark_lag_min").isNotNull()).alias("has_watermark"))
 

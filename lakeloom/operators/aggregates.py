@@ -132,12 +132,3 @@ def daily_comparison(df: DataFrame, day: str, amount: str) -> DataFrame:
         F.round(F.lag("total", 7).over(w), 2).alias("seven_rows_before"),
         change(F.lag("total", 7).over(w)).alias("change_7_pct"),
     )
-
-
-def with_group_totals(
-    df: DataFrame, keys: Sequence[str], aggregates: dict[str, Column]
-) -> DataFrame:
-    """Group totals beside every row, by aggregate and join rather than by a window that
-    would hold a whole group in one task."""
-    totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
-    return attach(df, totals, keys)

@@ -78,11 +78,6 @@ def save_watermark(
     return upsert(table, row, ["pipeline_name"])
 
 
-def read_watermark(table: DataFrame, pipeline: str) -> Any | None:
-    """The saved value, ``None`` when the pipeline has none; other errors surface."""
-    row = table.where(F.col("pipeline_name") == pipeline).select("watermark_value").first()
-    return row[0] if row else None
-
 
 def incremental_model(
     existing: DataFrame,

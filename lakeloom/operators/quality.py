@@ -363,8 +363,3 @@ def clean_transactions(df: DataFrame, modes: Sequence[str]) -> DataFrame:
         & (F.col("amount") > 0)
         & F.col("payment_mode").isin(*modes)
     )
-
-
-def log_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small frame of run metadata."""
-    return spark.createDataFrame(rows, schema)

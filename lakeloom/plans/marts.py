@@ -52,21 +52,6 @@ def recent_activity_days(txns: DataFrame, days: int = 30) -> DataFrame:
     )
 
 
-def segment_summary(activity: DataFrame, customers: DataFrame, scale: float = 1.0) -> DataFrame:
-    """Customers, mean spend and mean count per segment and city."""
-    labelled = activity.withColumn(
-        "segment", segment(F.col("recent_spend"), F.col("recent_txns"), scale)
-    )
-    return (
-        labelled.join(customers.select("customer_id", "city"), "customer_id", "left")
-        .groupBy("segment", "city")
-        .agg(
-            F.count(F.lit(1)).alias("customer_count"),
-            F.round(F.avg("recent_spend"), 2).alias("avg_spend"),
-            F.round(F.avg("recent_txns"), 2).alias("avg_txn_count"),
-        )
-    )
-
 
 def executive_dashboard(scored: DataFrame, customers: DataFrame) -> DataFrame:
     """Daily figures by payment mode, city and tier with previous-day and month totals.

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.operators.ordered import latest_per_key
+from lakeloom.session import stage
 from lakeloom.sources.landing import conform
 
 Handler = Callable[[DataFrame, int], None]
@@ -48,6 +49,24 @@ def current_rows(
     return latest_per_key(rows, keys, [*order, F.col("batch_id").desc()]).drop("batch_id")
 
 
+def fold_batches(
+    spark: SparkSession, path: str, keys: Sequence[str], upto: int, order: Sequence[Column] = ()
+) -> None:
+    """Fold all batches up to ``upto`` into its folder, newest row per key.
+
+    A base for later reads, so the table does not grow with the number of batches. ``upto``
+    must be a batch that the stream has committed: it is not replayed any more. Safe to
+    repeat: until the older folders are gone their rows lose against those of the base.
+    """
+    older = spark.read.parquet(path).where(F.col("batch_id") <= upto)
+    newest = latest_per_key(older, keys, [*order, F.col("batch_id").desc()]).drop("batch_id")
+    write_batch(stage(newest, "fold"), path, upto)
+    done = [r.batch_id for r in spark.read.parquet(path).select("batch_id").where(F.col("batch_id") < upto).distinct().collect()]
+    for batch_id in done:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def multi_sink_handler(sinks: dict[str, Callable[[DataFrame], DataFrame]]) -> Handler:
     """Several outputs from one batch that is computed once: ``{path: transform}``."""
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import json
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 SCHEMA = (
     "name string, batchId bigint, timestamp string, numInputRows bigint, "
@@ -14,11 +15,44 @@ SCHEMA = (
 )
 
 
-def progress_frame(spark: SparkSession, reports: list) -> DataFrame:
-    """Progress reports (``query.recentProgress``, a short list Spark itself bounds) as rows."""
-    lines = [(p if isinstance(p, str) else p.json if hasattr(p, "json") else json.dumps(p),) for p in reports]
-    raw = spark.createDataFrame(lines, "line string")
-    return raw.select(F.from_json("line", SCHEMA).alias("p")).select("p.*")
+class ProgressLog(StreamingQueryListener):
+    """Writes one line for every batch of every query to ``path``.
+
+    A query's own ``recentProgress`` forgets all but its last reports, so totals come from here.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.spark.createDataFrame([(event.progress.json,)], "value string").coalesce(1).write.mode("append").text(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+@contextmanager
+def logged_progress(spark: SparkSession, path: str):
+    """Log the progress of all queries that run inside to ``path``; complete on leaving."""
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        yield
+    finally:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        spark.streams.removeListener(log)
+
+
+def progress_frame(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
+    """The logged reports as rows, of one query or of all."""
+    rows = spark.read.text(path).select(F.from_json("value", SCHEMA).alias("p")).select("p.*")
+    return rows.where(F.col("name") == name) if name else rows
 
 
 def health(progress: DataFrame, now: Column, max_lag_minutes: float = 10, factor: float = 1.5) -> DataFrame:

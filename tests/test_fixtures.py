@@ -12,6 +12,7 @@ from lakeloom.operators import access, aggregates, incremental, joins, layout, q
 from lakeloom.operators.ordered import latest_per_key, running_total
 from lakeloom.session import shared_root, workspace
 from lakeloom.sources import files, jdbc, landing, messages
+from lakeloom.streaming import batches
 from lakeloom.streaming.sessions import join_pieces
 
 MODES = ("CARD", "UPI", "NETBANKING", "NEFT", "RTGS", "IMPS", "WALLET")
@@ -306,3 +307,16 @@ def test_whole_quotient_of_large_numbers(spark):
     day = 86_400_000_000
     df = spark.createDataFrame([(20_000 * day - 1,), (20_000 * day,), (-1,)], "n bigint")
     assert [r[0] for r in df.select(_whole(F.col("n"), day)).collect()] == [19_999, 20_000, -1]
+
+
+def test_folded_batches_keep_the_table(spark):
+    path = workspace(spark, "upserts")
+    for batch_id in range(5):
+        rows_ = [(k, f"b{batch_id}") for k in range(batch_id, 6)]
+        batches.write_batch(spark.createDataFrame(rows_, "k long, v string"), path, batch_id)
+    before = rows(batches.current_rows(spark, path, ["k"]))
+    batches.fold_batches(spark, path, ["k"], 3)
+    assert rows(batches.current_rows(spark, path, ["k"])) == before
+    assert {r.batch_id for r in spark.read.parquet(path).select("batch_id").distinct().collect()} == {3, 4}
+    batches.fold_batches(spark, path, ["k"], 3)
+    assert rows(batches.current_rows(spark, path, ["k"])) == before
