@@ -10,8 +10,8 @@ has each document's connected component. No link between different sets is lost:
    on a hash-chosen part of the shingles first (with the shingles a short set needs to fill
    its prefix), then, for the few classes that are left, on all of them.
 3. What is left of a prefix are the shared shingles. Classes of equal prefix and size form a
-   group; groups are joined on prefix shingles, filtered by size and by the number of shared
-   shingles, and expanded to their members, whose sets are compared.
+   group; groups are joined on prefix shingles, filtered by size and by bounds on what they can
+   have in common, and expanded to their members, whose sets are compared.
 4. First each list is compared with its best-connected member only, which settles most lists
    of many near copies; then all pairs that are still in different components.
 
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.common import join_bounded
 from lakeloom.llm.components import components
+from lakeloom.llm.content_sort import remove_marked
 from lakeloom.llm.shingles import shingle_set, signature
 from lakeloom.session import stage
 
@@ -52,6 +53,8 @@ BUCKET_SHINGLES = 500_000
 #: Rows of (identifier, signature) up to which the left-over classes are broadcast.
 BROADCAST_CLASSES = 500_000
 _LAST = 2**20 - 1
+#: 64-bit words of the bitmap that bounds what two classes have in common.
+BITMAP_WORDS = 16
 
 _POSTED, _SETTLED, _KEY = 0, 1, 2
 
@@ -86,8 +89,9 @@ def _sketches(part: float):
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([signature(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([len(_submitted(s, part)) for s in sets], pa.int64()),
+                    batch.column(2),
                 ],
-                names=["doc_id", "n_shingles", "sig", "submitted"],
+                names=["doc_id", "n_shingles", "sig", "submitted", "mark"],
             )
 
     return sketch
@@ -259,13 +263,50 @@ def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From ``sig, n, left, shared``: the prefix in order of rank's value and a bitmap of all shared.
+
+    ``more`` counts the shared shingles that found their bit set already.
+    """
+    for batch in batches:
+        prefixes, bitmaps, more = [], [], []
+        lists = batch.column(3)
+        flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+        for i, left in enumerate(batch.column(2).to_pylist()):
+            ranks = flat[ends[i] : ends[i + 1]]
+            bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
+            bits[ranks % (64 * BITMAP_WORDS)] = 1
+            prefixes.append(np.sort(ranks[:left]))
+            bitmaps.append(np.packbits(bits).view(np.int64))
+            more.append(len(ranks) - int(bits.sum()))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array((ends[1:] - ends[:-1]).astype(np.int64)),
+                pa.array(prefixes, pa.list_(pa.int64())),
+                pa.array(bitmaps, pa.list_(pa.int64())),
+                pa.array(more, pa.int64()),
+            ],
+            names=["sig", "n", "n_shared", "prefix", "bits", "more"],
+        )
+
+
 def _may_link(a: str, b: str) -> Column:
-    """Sizes within 3/4 of each other, and enough shared shingles on either side."""
+    """Sizes within 3/4 of each other, and enough shingles that may be common.
+
+    Common shingles are shared ones with the same bit. Bits that both have bound them, with
+    those that found their bit set already on the side that has fewer of these.
+    """
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    need = (na + nb) * 3
+    both = [F.bit_count(F.col(f"{a}.bits")[i].bitwiseAND(F.col(f"{b}.bits")[i])) for i in range(BITMAP_WORDS)]
+    most = sum(both[1:], both[0]) + F.least(F.col(f"{a}.more"), F.col(f"{b}.more"))
     return (
         (na * 4 >= nb * 3)
         & (nb * 4 >= na * 3)
-        & (F.least(F.col(f"{a}.n_shared"), F.col(f"{b}.n_shared")) * 7 >= (na + nb) * 3)
+        & (F.least(F.col(f"{a}.n_shared"), F.col(f"{b}.n_shared")) * 7 >= need)
+        & (most * 7 >= need)
     )
 
 
@@ -305,15 +346,9 @@ def _class_links(texts: DataFrame, slim: DataFrame) -> DataFrame:
     ranked = ranked.withColumn("n_shared", n_shared).withColumn(
         "left", prefix_length(F.col("n")) - (F.col("n") - F.col("n_shared"))
     )
-    prefixes = stage(
-        ranked.where("left > 0").select(
-            "sig",
-            "n",
-            "n_shared",
-            F.array_sort(F.slice(F.col("shared"), F.lit(1), F.col("left").cast("int"))).alias("prefix"),
-        ),
-        "prefixes",
-    )
+    ranked = ranked.where("left > 0").select("sig", "n", F.col("left").cast("int").alias("left"), "shared")
+    schema = "sig bigint, n bigint, n_shared bigint, prefix array<bigint>, bits array<bigint>, more bigint"
+    prefixes = stage(ranked.mapInArrow(_prefixes, schema), "prefixes")
 
     # Groups of equal prefix and size; the head is the member with the most shared shingles.
     lead = F.struct((-F.col("n_shared")).alias("k"), F.col("sig"))
@@ -321,47 +356,50 @@ def _class_links(texts: DataFrame, slim: DataFrame) -> DataFrame:
     heads = prefixes.groupBy(F.col("grp").alias("g")).agg(F.min(lead)["sig"].alias("head"))
     grouped = stage(prefixes.join(heads, F.col("grp") == F.col("g")).drop("g"), "groups")
     inside = grouped.where("sig <> head").select(F.col("head").alias("a"), F.col("sig").alias("b"))
-    posted = grouped.where("sig = head").select("sig", "n", "n_shared", F.explode("prefix").alias("shingle"))
-    best = posted.groupBy(F.col("shingle").alias("s")).agg(F.min(F.struct((-F.col("n_shared")).alias("k"), "sig", "n", "n_shared")).alias("c"))
-    best = best.select("s", F.col("c.sig").alias("sig"), F.col("c.n").alias("n"), F.col("c.n_shared").alias("n_shared"))
+    # For each shingle, its lists' other heads meet the one with the most shared shingles.
+    facts = ["n", "n_shared", "bits", "more"]
+    posted = grouped.where("sig = head").select("sig", "n_shared", F.explode("prefix").alias("shingle"))
+    best = posted.groupBy(F.col("shingle").alias("s")).agg(F.min(lead)["sig"].alias("best"))
+    met = posted.join(best, (F.col("shingle") == F.col("s")) & (F.col("sig") != F.col("best"))).select("sig", "best").distinct()
+    x, y = grouped.select("sig", *facts).alias("x"), grouped.select("sig", *facts).alias("y")
     stars = (
-        posted.alias("x")
-        .join(best.alias("y"), (F.col("x.shingle") == F.col("y.s")) & (F.col("x.sig") != F.col("y.sig")) & _may_link("x", "y"))
+        met.alias("m")
+        .join(x, F.col("m.sig") == F.col("x.sig"))
+        .join(y, (F.col("m.best") == F.col("y.sig")) & _may_link("x", "y"))
         .select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b"))
     )
     first_links = stage(_links(inside.union(stars).distinct(), sets), "first-links")
     labels = components(first_links).select(F.col("node").alias("l_sig"), "label")
 
     # All pairs with a common prefix shingle that are still apart. Lists with one label only
-    # are settled; a pair counts at the first shingle its prefixes share.
+    # are settled.
     labelled = grouped.join(labels, F.col("sig") == F.col("l_sig"), "left").select(
-        "sig", "n", "n_shared", "prefix", F.coalesce("label", "sig").alias("label")
+        "sig", *facts, "prefix", F.coalesce("label", "sig").alias("label")
     )
     labelled = stage(labelled, "labelled")
     listed = labelled.select("label", F.explode("prefix").alias("shingle"))
     mixed_lists = listed.groupBy(F.col("shingle").alias("s")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    rows = labelled.select("sig", "n", "n_shared", "label", "prefix", F.explode("prefix").alias("shingle"))
-    rows = rows.join(mixed_lists, F.col("shingle") == F.col("s")).drop("s", "lo", "hi")
+    rows = labelled.select("sig", *facts, "label", F.explode("prefix").alias("shingle"))
+    rows = rows.join(stage(mixed_lists.select("s"), "mixed-lists"), F.col("shingle") == F.col("s"), "left_semi")
     x, y = rows.alias("x"), rows.alias("y")
     apart = x.join(
         y,
         (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.sig") < F.col("y.sig"))
         & (F.col("x.label") != F.col("y.label"))
-        & _may_link("x", "y")
-        & (F.array_min(F.array_intersect("x.prefix", "y.prefix")) == F.col("x.shingle")),
+        & _may_link("x", "y"),
     ).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
     more_links = stage(_links(apart.distinct(), sets), "more-links")
     return first_links.union(more_links)
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    slim = stage(
-        texts.mapInArrow(_sketches(FIRST_PART), "doc_id bigint, n_shingles bigint, sig bigint, submitted bigint"),
-        "sketches",
+def _components(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, mark`` of every document; ``mark`` is a hash of its text."""
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("mark")
     )
+    schema = "doc_id bigint, n_shingles bigint, sig bigint, submitted bigint, mark bigint"
+    slim = stage(texts.mapInArrow(_sketches(FIRST_PART), schema), "sketches")
     labels = components(_class_links(texts, slim))
     classes = slim.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("doc"))
     named = classes.join(labels, F.col("sig") == F.col("node"), "left").select(
@@ -369,7 +407,28 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     named = stage(named, "named")
     first = named.groupBy(F.col("label").alias("l")).agg(F.min("doc").alias("component"))
-    by_class = named.join(first, F.col("label") == F.col("l")).select("of", "component")
-    empty = slim.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    by_class = named.join(first, F.col("label") == F.col("l")).select("of", "component", "label")
+    empty = slim.where("n_shingles = 0").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "mark", F.lit(None).cast("bigint").alias("label")
+    )
     full = slim.where("n_shingles > 0").join(by_class, F.col("sig") == F.col("of"))
-    return full.select("doc_id", "n_shingles", F.col("component").alias("component_id")).union(empty)
+    return full.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "mark", "label").union(empty)
+
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id``."""
+    return _components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: the smallest identifier of each component.
+
+    Documents without words are in no component and all stay, as do rows without identifier.
+    """
+    found = stage(_components(docs).where("label IS NOT NULL AND doc_id IS NOT NULL"), "components")
+    kept = found.groupBy(F.col("label").alias("l")).agg(F.min(F.struct("doc_id", "mark")).alias("k"))
+    rows = found.join(kept, F.col("label") == F.col("l"))
+    stays = (F.col("doc_id") == F.col("k.doc_id")) & (F.col("mark") == F.col("k.mark"))
+    names = [F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark")]
+    repeated = rows.where(stays).groupBy("doc_id", "mark").agg(F.count("*").alias("n")).where("n > 1").select(*names)
+    return remove_marked(docs, F.xxhash64("text"), rows.where(~stays).select(*names), repeated)
