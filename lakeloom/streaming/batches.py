@@ -61,9 +61,9 @@ def fold_batches(
     older = spark.read.parquet(path).where(F.col("batch_id") <= upto)
     newest = latest_per_key(older, keys, [*order, F.col("batch_id").desc()]).drop("batch_id")
     write_batch(stage(newest, "fold"), path, upto)
-    done = [r.batch_id for r in spark.read.parquet(path).select("batch_id").where(F.col("batch_id") < upto).distinct().collect()]
-    for batch_id in done:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={batch_id}")
+    done = spark.read.parquet(path).select("batch_id").where(F.col("batch_id") < upto).distinct()
+    for row in done.toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id={row.batch_id}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 

@@ -68,3 +68,13 @@ def test_refresh_drops_emptied_groups(spark):
     total = [F.sum("v").alias("s")]
     gold = a.groupBy("g").agg(*total)
     assert rows(changes.refresh_aggregate(gold, b, feed, ["g"], total)) == [("g", 5.0)]
+
+
+def test_a_closed_key_that_returns_opens_a_version(spark):
+    closed = start(spark).withColumn("valid_to", F.lit(D(5)).cast("timestamp")).withColumn("is_current", F.lit(False))
+    again = batch(spark, ("A", "Mumbai", "x", D(10)), ("B", None, "y", D(3)))
+    out = history.scd2(closed, again, "k", ["city"], "at")
+    got = rows(out, "k", "valid_from", "valid_to", "is_current")
+    assert [r for r in got if r[0] == "A"] == [("A", D(1), D(5), False), ("A", D(10), None, True)]
+    assert [r for r in got if r[0] == "B"] == [("B", D(1), D(5), False)]
+    assert rows(history.scd2(out, again, "k", ["city"], "at")) == rows(out)

