@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import join_bounded
 from lakeloom.llm.components import components
 from lakeloom.llm.content_sort import remove_marked
-from lakeloom.llm.shingles import shingle_set, signature
+from lakeloom.llm.shingles import begin_task, shingle_set, signature
 from lakeloom.session import stage
 
 WIDTH = 5
@@ -54,7 +54,7 @@ BUCKET_SHINGLES = 500_000
 BROADCAST_CLASSES = 500_000
 _LAST = 2**20 - 1
 #: 64-bit words of the bitmap that bounds what two classes have in common.
-BITMAP_WORDS = 16
+BITMAP_WORDS = 32
 
 _POSTED, _SETTLED, _KEY = 0, 1, 2
 
@@ -81,6 +81,7 @@ def _submitted(shingles: np.ndarray, part: float) -> np.ndarray:
 
 def _sketches(part: float):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
             sets = [shingle_set(t, WIDTH) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -162,6 +163,7 @@ def _postings(sets, buckets: int):
         yield from packed(bucket[heads], _KEY, names[heads], None)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         seen: set[int] = set()
         held, owners, size = [], [], 0
         for batch in batches:

@@ -15,10 +15,12 @@ looked at.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import block_of, ordered_blocks, rows_per_block
+from lakeloom.llm.memory import claim, remembered
 from lakeloom.session import stage
 
 CAPACITY = 2048
@@ -35,7 +38,7 @@ CLASSES = 128
 ROUNDS = 4000
 LONGER_FIRST = 0.05
 #: Words whose ids a Python worker remembers, and bytes of text it encodes at a time.
-REMEMBER_WORDS = 600_000
+REMEMBER_WORDS = 350_000
 ENCODE_BYTES = 2_000_000
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -54,12 +57,22 @@ def _encoder(path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        _encoders[path] = (tokenizer, {}, {})
+        with open(path) as file:
+            whole = file.read()
+        # The same vocabulary for words on which the other steps do nothing.
+        bare = json.loads(whole) | {"normalizer": None}
+        bare["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+        tokenizer, plain = Tokenizer.from_str(whole), Tokenizer.from_str(json.dumps(bare))
+        tokenizer.encode_special_tokens = plain.encode_special_tokens = True
+        _encoders[path] = (tokenizer, remembered({}), remembered({}), plain)
     return _encoders[path]
 
 
+def _is_plain(word: str) -> bool:
+    """One run of small Latin letters in composed form: neither changed nor cut before encoding."""
+    return word.isalpha() and word == word.lower() and (word.isascii() or (max(word) < "\u0250" and is_normalized("NFC", word)))
+
+
 def _stem(word: bytes) -> bytes:
     """The word without full stops and commas at its end, in lower case if it is ASCII.
 
@@ -73,16 +86,19 @@ def _stem(word: bytes) -> bytes:
 
 
 def _learn(path: str, words: set[bytes]) -> None:
-    tokenizer, known, stems = _encoder(path)
+    tokenizer, known, stems, plain = _encoder(path)
     if len(known) > REMEMBER_WORDS:
         known.clear()
     if len(stems) > REMEMBER_WORDS:
         stems.clear()
     found = {w: _stem(w) for w in words}
     tails = {w[len(s) :] for w, s in found.items()}
-    new = list({*found.values(), *tails}.difference(stems))
-    ids = tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)
-    stems.update((s, array("I", e.ids).tobytes()) for s, e in zip(new, ids))
+    split: tuple[list[bytes], list[bytes]] = ([], [])
+    for s in {*found.values(), *tails}.difference(stems):
+        split[_is_plain(s.decode())].append(s)
+    for encoder, new in zip((tokenizer, plain), split):
+        ids = encoder.encode_batch_fast([s.decode() for s in new], add_special_tokens=False)
+        stems.update((s, array("I", e.ids).tobytes()) for s, e in zip(new, ids))
     known.update((w, stems[s] + stems[w[len(s) :]]) for w, s in found.items())
 
 
@@ -92,7 +108,8 @@ def encoded(texts: list[str | None], path: str) -> Iterator[bytes]:
     This vocabulary drops white space and never joins across it, so a text's ids are its
     words' ids in a row, and each word is encoded once.
     """
-    known = _encoder(path)[1]
+    _, known, stems, _ = _encoder(path)
+    claim(known, stems)
     done = 0
     while done < len(texts):
         group, size = [], 0

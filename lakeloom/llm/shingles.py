@@ -10,7 +10,9 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-REMEMBER_WORDS = 250_000
+from lakeloom.llm.memory import claim, remembered
+
+REMEMBER_WORDS = 150_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
 
@@ -22,7 +24,11 @@ class _Hashes(dict):
         return value
 
 
-_hashes = _Hashes()
+_hashes = remembered(_Hashes())
+
+
+def begin_task() -> None:
+    claim(_hashes)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -32,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm.memory import claim, remembered
+
 #: Labelled documents that the fit reads for each label, and the longest it takes.
-SAMPLE_DOCUMENTS = 3000
-SAMPLE_CHARS = 8000
+SAMPLE_DOCUMENTS = 2000
+SAMPLE_CHARS = 6000
 #: Documents of each label whose chains train the field.
-CHAIN_DOCUMENTS = 1200
+CHAIN_DOCUMENTS = 800
 CHAIN = 64
 HASH_BITS = 18
 PREFIXES = (4, 6)
@@ -44,7 +46,7 @@ PREFIXES = (4, 6)
 LEAST_DOCUMENTS = 4
 LEAST_LOG_ODDS = 3.0
 STEPS = 40
-REMEMBER_WORDS = 400_000
+REMEMBER_WORDS = 200_000
 BATCH_CHARS = 2_000_000
 
 _TOKEN = re.compile(r"[^\W_]+")
@@ -140,7 +142,8 @@ def marking_features(toxic: list[list[str]], clean: list[list[str]]) -> set[str]
 def train_field(docs: list[list[str]], tags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Unary weights and pair weights by full-gradient steps scaled to each weight's history."""
     lengths = np.array([len(d) for d in docs])
-    slots = np.array([_slots(w) for d in docs for w in d], np.int64).reshape(-1, 3 + len(PREFIXES))
+    known = {w: np.array(_slots(w), np.int32) for d in docs for w in d}
+    slots = np.array([known[w] for d in docs for w in d], np.int32).reshape(-1, 3 + len(PREFIXES))
     y = np.concatenate(tags) if tags else np.empty(0)
     starts, sizes = _chains(lengths)
     observed = np.zeros((2, 2))
@@ -185,7 +188,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 def fit(rows: list[tuple[str, int]], prior: dict[int, int]) -> Model | None:
     """A model from labelled texts; ``prior`` counts the labels of the whole table."""
-    docs = [(tokens(text), label) for text, label in rows]
+    one: dict[str, str] = {}  # a word is held once, however many documents have it
+    docs = [([one.setdefault(w, w) for w in tokens(text)], label) for text, label in rows]
     toxic, clean = [d for d, l in docs if l], [d for d, l in docs if not l]
     if not toxic or not clean:
         return None
@@ -223,8 +227,15 @@ def sample_labelled(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str,
 
 
 class _Unary(dict):
-    def __init__(self, weights: np.ndarray):
-        self.weights = weights
+    """Unary scores of words under the model of the current task."""
+
+    key, weights = "", np.empty(0)
+
+    def use(self, key: str, weights: np.ndarray) -> None:
+        if key != self.key:
+            self.clear()
+            self.key, self.weights = key, weights
+        claim(self)
 
     def __missing__(self, word: str) -> float:
         value = float(self.weights[_slots(word)].sum())
@@ -233,6 +244,9 @@ class _Unary(dict):
         return value
 
 
+_unary = remembered(_Unary())
+
+
 def _spans(text: str, p: np.ndarray) -> list[dict[str, int]]:
     """Neighbouring tokens above one half as spans of code points, end exclusive."""
     spans: list[dict[str, int]] = []
@@ -247,7 +261,6 @@ def _spans(text: str, p: np.ndarray) -> list[dict[str, int]]:
     return spans
 
 
-_unaries: dict[str, _Unary] = {}
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -257,10 +270,7 @@ def _scored(texts: list[str | None], field: Model | None, key: str) -> tuple[np.
     spans: list[list] = [[] for _ in texts]
     if field is None:
         return scores, spans
-    if key not in _unaries:
-        _unaries.clear()
-        _unaries[key] = _Unary(field.weights)
-    unary = _unaries[key]
+    _unary.use(key, field.weights)
     at = 0
     while at < len(texts):
         end, size = at, 0
@@ -269,7 +279,7 @@ def _scored(texts: list[str | None], field: Model | None, key: str) -> tuple[np.
             end += 1
         found = [tokens(t) for t in texts[at:end]]
         lengths = np.array([len(f) for f in found])
-        values = np.fromiter((unary[w] for f in found for w in f), float, int(lengths.sum()))
+        values = np.fromiter((_unary[w] for f in found for w in f), float, int(lengths.sum()))
         p = marginals(values, lengths, field.pairs)
         scores[at:end] = 1 / (1 + np.exp(-_summary(p, lengths) @ field.document))
         first = np.cumsum(lengths) - lengths
