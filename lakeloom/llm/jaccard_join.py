@@ -46,7 +46,7 @@ SHARE = 0.75
 #: Part of all shingles, chosen by hash, that the first pass looks at.
 FIRST_PART = 0.36
 #: Shingles a task holds before it sends them on, and the count among them that makes one frequent.
-FLUSH_SHINGLES = 1_000_000
+FLUSH_SHINGLES = 600_000
 FREQUENT = 256
 #: Shingles of one bucket, which one call of Python handles.
 BUCKET_SHINGLES = 500_000

@@ -6,6 +6,8 @@ operator starts in the same worker, that memory is given back.
 
 from __future__ import annotations
 
+import pyarrow as pa
+
 _caches: list[dict] = []
 
 
@@ -17,6 +19,8 @@ def remembered(cache: dict) -> dict:
 
 def claim(*mine: dict) -> None:
     """Forgets all registered caches but these; called where a task begins."""
-    for cache in _caches:
-        if not any(cache is m for m in mine):
-            cache.clear()
+    others = [c for c in _caches if c and not any(c is m for m in mine)]
+    for cache in others:
+        cache.clear()
+    if others:
+        pa.default_memory_pool().release_unused()
