@@ -1,12 +1,15 @@
 """Personal data by weak supervision.
 
 Base patterns find e-mail and network addresses, payment cards and telephone numbers. Beside
-them, every other word with a digit is a candidate. Patterns, word lists (gazetteers) and the
-words around it vote on each candidate, for, against or not at all. Expectation-maximisation
-estimates from the agreement of the votes alone how reliable each labeler is and how likely
-each combination of votes is personal data; a logistic classifier on the candidate's shape is
-trained on these probabilities and decides. All candidates of the corpus count: they are
-aggregated to combinations of votes and shapes, whose number does not grow with the data.
+them, candidates are every other word with a digit, the word that follows a key word or holds
+one and its value (``password: ...``, ``pwd=...``), telephone numbers without a sign, and names
+and places of a gazetteer, a given name together with the capitalised words after it. Patterns,
+gazetteers and the words around it vote on each candidate, for, against or not at all.
+Expectation-maximisation estimates from the agreement of the votes alone how reliable each
+labeler is and how likely each combination of votes is personal data; a logistic classifier on
+the candidate's votes and shape is trained on these probabilities and decides. All candidates of
+the corpus count: they are aggregated to combinations of votes and shapes, whose number does
+not grow with the data. Names that the gazetteer lacks are found after a title or key word only.
 
 Defined results: NULL text is the empty text; repeated rows are treated alike; without
 candidates nothing is added; an empty table gives an empty result; other columns are not
@@ -16,6 +19,7 @@ looked at. Every pattern is matched in time linear in the text.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -24,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.llm.gazetteer import GIVEN_NAMES, PLACES
 from lakeloom.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -94,7 +99,29 @@ def phones(text: str) -> list[Span]:
 
 
 # Labelers. Each sees the candidate and the text before it: 1 for, 0 against, None no vote.
-_KEY_WORDS = re.compile(r"(?i)pass(?:word|wd|port|phrase)?|pwd|token|secret|api|key|bearer|auth|ssn|iban|account|pin\b")
+_KEY_WORDS = re.compile(
+    r"(?i)pass(?:word|wd|wort|port|phrase)?|pwd|kennwort|mot de passe|contraseña|token|secret|api|key|bearer|auth|ssn|iban|account|pin\b"
+)
+# Key words whose next word is a candidate whatever it is made of.
+_ANNOUNCES = re.compile(
+    r"(?i)(?<![^\W_])(?:password|passwd|passwort|passphrase|passcode|pwd|kennwort|mot de passe|contraseña|token|secret"
+    r"|(?:api|access|private)[ _-]?key|bearer|ssn|iban|pin|login|(?:user|full|first|last)[ _-]?name)(?![^\W_])"
+)
+_TITLE_WORDS = frozenset("Mr Mrs Ms Mme Dr Doña Herr Frau Señor Señora".split())
+# One of them is in every text in which the pattern above finds something.
+_SIGNS = ("pass", "pwd", "kennwort", "contraseña", "token", "secret", "key", "bearer", "ssn", "iban", "pin", "login", "name")
+_TITLES = re.compile(r"(?<![^\W_])(?:M(?:rs?|s|me)|D(?:r|oña)|Herr|Frau|Señora?)(?![^\W_])")
+_BETWEEN = re.compile(r"[\"']?\.?[ \t]{0,8}(?:(?:[:=]|is\b|ist\b|est\b|es\b)[ \t]{0,8})?")
+_ASSIGNED = re.compile(r"[=:]\s{0,8}[\"']?$")
+_TITLE = re.compile(r"(?i)(?<![^\W_])(?:mr|mrs|ms|dr|herr|frau|señora?|mme|doña|name)\b\.?(?: is| ist| est| es)?[ \t:=]{1,8}$")
+_CAPITALISED = re.compile(r"(?<![^\W_])[^\W\d_a-zß-öø-ÿ][^\W\d_]+(?:[ \t][^\W\d_a-zß-öø-ÿ][^\W\d_]+){0,2}")
+_RESIDENCE = re.compile(
+    r"(?i)(?:\b(?:lives?|living|born|resid\w{1,5}) (?:in|at)|\baddress:?|\b[0-9]{5},?|\bwohnt in|\bgeboren in|\bhabite à|\bvive en)\s{1,8}$"
+)
+_PHONE_LIKE = re.compile(r"(?<![0-9])(?:\([0-9]{3}\) ?[0-9]{3}[.-][0-9]{4}|[0-9]{3}([.-])[0-9]{3}\1[0-9]{4})(?![0-9])")
+_DATE = re.compile(
+    r"[(\[\"']*(?:1[5-9]|20)[0-9]{2}(?:[/-](?:1[5-9]|20)[0-9]{2}|(?:[./-][0-9]{1,2}){1,2}|s)?[)\].,;:!?\"']*"
+)
 _PUBLIC_WORDS = re.compile(r"(?i)licen[sc]e|version|apache|gnu|mit\b|cc\b|copyright|chapter|section|page|figure|table|vol")
 _VERSION = re.compile(r"[(\[\"']*v?[0-9]{1,3}(?:[.,:/-][0-9]{1,4}){0,3}[)\].,;:!?\"'%]*")
 _ACCESS_KEY = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z]{16,}")
@@ -106,18 +133,65 @@ _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}")
 def _mixture(word: str) -> int | None:
     """Letters and digits in many turns look drawn at random."""
     kinds = [c.isdigit() for c in word if c.isalnum()]
+    if not any(kinds):
+        return None
     turns = sum(a != b for a, b in zip(kinds, kinds[1:]))
     return 1 if turns >= 5 and len(kinds) >= 12 else 0 if turns <= 1 and len(kinds) < 8 else None
 
 
+def _known(word: str) -> bool:
+    return bool(_ACCESS_KEY.search(word) or _SSN.search(word) or _IBAN.search(word) or _PHONE_LIKE.search(word))
+
+
+def _count(word: str) -> bool:
+    return bool(_DATE.fullmatch(word) or _VERSION.fullmatch(word) and not _known(word))
+
+
+#: The listed words, also in capitals, and what can be one.
+_LISTED = frozenset(w for names in (GIVEN_NAMES, PLACES) for n in names for w in (n, n.upper()))
+_CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ][^\W\d_]+")
+
+
+def _listed(word: str, names: frozenset[str]) -> bool:
+    first = _LETTERS.search(word)
+    return first is not None and (first.group() in names or first.group().isupper() and first.group().title() in names)
+
+
+_LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _person(word: str, before: str) -> int | None:
+    return 1 if _listed(word, GIVEN_NAMES) or word[:1].isupper() and word.isalpha() and _TITLE.search(before) else None
+
+
+def _place(word: str, before: str) -> int | None:
+    """A place alone is public; where somebody lives is not."""
+    return None if not _listed(word, PLACES) else 1 if _RESIDENCE.search(before) else 0
+
+
+def _plain(word: str, before: str) -> int | None:
+    """An ordinary word behind a key word: nothing is assigned and it is no name."""
+    bare = word.strip("\"'().,;:!?")
+    return 0 if (not bare or bare.isalpha()) and not _ASSIGNED.search(before) and _person(bare, before) is None else None
+
+
+def _key_words(word: str, before: str) -> int | None:
+    if _plain(word, before) == 0:
+        return None
+    return 1 if _KEY_WORDS.search(word) or _KEY_WORDS.search(before[-24:]) else None
+
+
 LABELERS = (
-    ("known pattern", lambda word, before: 1 if _ACCESS_KEY.search(word) or _SSN.search(word) or _IBAN.search(word) else None),
+    ("known pattern", lambda word, before: 1 if _known(word) else None),
     ("long hexadecimal", lambda word, before: 1 if _HEX.search(word) else None),
-    ("version or count", lambda word, before: 0 if _VERSION.fullmatch(word) else None),
-    ("key words", lambda word, before: 1 if _KEY_WORDS.search(word) or _KEY_WORDS.search(before[-24:]) else None),
+    ("version, count or date", lambda word, before: 0 if _count(word) else None),
+    ("key words", _key_words),
     ("public words", lambda word, before: 0 if _PUBLIC_WORDS.search(before) else None),
     ("random mixture", lambda word, before: _mixture(word)),
-    ("assignment", lambda word, before: 1 if re.search(r"[=:]\s*[\"']?$", before) or "=" in word else None),
+    ("assignment", lambda word, before: 1 if _ASSIGNED.search(before) or "=" in word else None),
+    ("given names", _person),
+    ("places", _place),
+    ("plain word", _plain),
 )
 
 
@@ -144,15 +218,39 @@ def shape_bits(word: str) -> int:
 SHAPE_BITS = 12
 
 
+def _seeds(text: str) -> list[Span]:
+    """Where candidates begin and end, before they are widened to whole words."""
+    found = [m.span() for m in _DIGITS.finditer(text)]
+    if found:
+        found += [m.span() for m in _PHONE_LIKE.finditer(text)]
+    lower = text.lower()
+    announced = list(_ANNOUNCES.finditer(text)) if any(s in lower for s in _SIGNS) else []
+    capitals = set(_CAPITALS.findall(text))
+    titles = () if _TITLE_WORDS.isdisjoint(capitals) else _TITLES.finditer(text)
+    for m in itertools.chain(announced, titles):
+        at = _BETWEEN.match(text, m.end()).end()
+        if at < len(text) and text[at] not in _SPACE:
+            # A value within the key word's own word takes that word whole.
+            found.append((m.start() if at == m.end() or not any(c in _SPACE for c in text[m.end() : at]) else at, at + 1))
+    for m in () if _LISTED.isdisjoint(capitals) else _CAPITALISED.finditer(text):
+        # The given name or place may be any of the words that stand together.
+        for w in _LETTERS.finditer(m.group()):
+            if _listed(w.group(), GIVEN_NAMES):
+                found.append((m.start() + w.start(), m.end()))
+                break
+            if _listed(w.group(), PLACES):
+                found.append((m.start() + w.start(), m.start() + w.end()))
+    return sorted(found, key=lambda s: (s[0], -s[1]))
+
+
 def _candidates(text: str, taken: list[Span]) -> list[dict[str, int]]:
-    """Words with a digit that touch no base span."""
+    """Candidates that touch no base span, each of whole words."""
     found, done = [], 0
     taken = sorted(taken)
     k = 0
-    for m in _DIGITS.finditer(text):
-        if m.start() < done:
+    for start, end in _seeds(text):
+        if start < done:
             continue
-        start, end = m.start(), m.end()
         while start > done and text[start - 1] not in _SPACE:
             start -= 1
         while end < len(text) and text[end] not in _SPACE:
@@ -217,16 +315,27 @@ def vote_probabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 100)
                 # Labelers are better than chance to begin with: a weak prior for the right vote.
                 rates[:, truth, vote] = (counts * share) @ (votes == vote) + (2.0 if vote == truth + 1 else 0.5)
         rates /= rates.sum(axis=2, keepdims=True)
+        # No labeler is worse than chance, also where the weak prior weighs more than few candidates.
+        rates[:, 1, 1], rates[:, 0, 2] = np.minimum(rates[:, 1, 1], rates[:, 0, 1]), np.minimum(rates[:, 0, 2], rates[:, 1, 2])
+        rates[:, :, 0] = 1 - rates[:, :, 1] - rates[:, :, 2]
         like = np.stack([np.log(rates[np.arange(votes.shape[1]), t, votes]).sum(axis=1) for t in (0, 1)])
         odds = np.log(prior) - np.log1p(-prior) + like[1] - like[0]
         p = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return p, rates
 
 
-def shape_classifier(shapes: np.ndarray, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Weights (intercept first) of the logistic classifier on shape bits."""
-    x = np.c_[np.ones(len(shapes)), shapes[:, None] >> np.arange(SHAPE_BITS) & 1]
-    weight = counts / counts.sum() * min(counts.sum(), 10_000)
+def _inputs(votes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
+    """What the classifier sees: 1, each labeler's vote against and for, the shape bits."""
+    return np.c_[np.ones(len(shapes)), votes == 1, votes == 2, shapes[:, None] >> np.arange(SHAPE_BITS) & 1]
+
+
+def vote_classifier(x: np.ndarray, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Weights of the logistic classifier on ``_inputs``.
+
+    A combination weighs at least as much as one of 10,000 candidates, so the regularisation
+    does not silence what is rare.
+    """
+    weight = np.maximum(counts / counts.sum() * min(counts.sum(), 10_000), 1)
     beta = np.zeros(x.shape[1])
     for _ in range(50):
         q = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
@@ -235,17 +344,16 @@ def shape_classifier(shapes: np.ndarray, p: np.ndarray, counts: np.ndarray) -> n
     return beta
 
 
-def accepted_shapes(table: list[tuple[int, int, int]], threshold: float = THRESHOLD) -> list[int]:
-    """Shapes that count as personal data, from ``(votes, shape, candidates)`` of the corpus."""
+def accepted(table: list[tuple[int, int, int]], threshold: float = THRESHOLD) -> list[tuple[int, int]]:
+    """``(votes, shape)`` that count as personal data, from ``(votes, shape, candidates)`` of the corpus."""
     if not table:
         return []
     codes, shapes, counts = np.array(table, np.int64).T
     votes = codes[:, None] // 3 ** np.arange(len(LABELERS)) % 3
     p, _ = vote_probabilities(votes, counts.astype(float))
-    beta = shape_classifier(shapes, p, counts.astype(float))
-    every = np.unique(shapes)
-    score = beta[0] + (every[:, None] >> np.arange(SHAPE_BITS) & 1) @ beta[1:]
-    return [int(s) for s, v in zip(every, score) if 1 / (1 + np.exp(-v)) >= threshold]
+    x = _inputs(votes, shapes)
+    score = 1 / (1 + np.exp(-np.clip(x @ vote_classifier(x, p, counts.astype(float)), -30, 30)))
+    return [(int(c), int(s)) for c, s, v in zip(codes, shapes, score) if v >= threshold]
 
 
 def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -255,8 +363,8 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     each = found.select(F.explode("candidates").alias("c")).groupBy("c.votes", "c.shape").agg(F.count("*").alias("n"))
     # At most 3^labelers * 2^bits rows; in practice some hundreds.
     table = sorted((r.votes, r.shape, r.n) for r in each.collect())
-    shapes = F.array(*[F.lit(s) for s in accepted_shapes(table, threshold)]).cast("array<int>")
-    added = F.filter("candidates", lambda c: F.array_contains(shapes, c["shape"]))
+    keys = [(v << SHAPE_BITS) + s for v, s in accepted(table, threshold)]
+    added = F.filter("candidates", lambda c: (F.shiftleft(c["votes"].cast("bigint"), SHAPE_BITS) + c["shape"]).isin(keys))
     names = F.transform(added, lambda c: F.concat_ws(":", F.lit(ADDED_KIND), c["start"], c["end"]))
     every = F.filter(F.array_prepend(names, F.col("base")), lambda s: s != "")
     return found.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", F.array_join(every, ",").alias("spans"))
