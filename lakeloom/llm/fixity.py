@@ -2,9 +2,11 @@
 
 Every record is hashed. The tree of an archive follows its byte offsets, not record numbers: a
 leaf covers the records that start in a range of ``RANGE_BYTES``, a node covers ``FANOUT``
-neighbouring nodes. A lost or added record therefore changes its own branch only. The audit
-compares the roots of two replicas and descends into branches whose hashes differ, so equal
-branches are never compared below.
+neighbouring nodes. A record that is altered at its length changes its own branch only; one that
+is lost, added or resized moves the later records of its archive, whose ranges then differ too.
+The audit compares the roots of two replicas and descends into branches whose hashes differ, so
+equal branches are never compared below. Records of differing ranges are paired by identifier and
+digest, wherever they lie: a record that only moved is no damage.
 
 Defined results: NULL bodies and addresses are empty; NULL identifiers are written as an empty
 identifier; rows of equal identifier follow each other in the order of their hash; an empty
@@ -54,9 +56,13 @@ def placed_records(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES, **repli
     total = slim.agg(F.sum("length")).first()[0] or 0
     archives = max(1, math.ceil(total / archive_bytes))
     place = F.conv(F.substring(F.md5(F.coalesce(F.col("record_id").cast("string"), F.lit(""))), 1, 8), 16, 10)
-    slim = slim.withColumn("archive", place.cast("bigint") % archives)
-    before = Window.partitionBy("archive").orderBy("record_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    return slim.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
+    return with_offsets(slim.withColumn("archive", place.cast("bigint") % archives), "record_id", "digest")
+
+
+def with_offsets(records: DataFrame, *order: str) -> DataFrame:
+    """Adds ``offset``: where each record of an archive begins if they follow each other in ``order``."""
+    before = Window.partitionBy("archive").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return records.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
 
 
 def levels(leaves: DataFrame, depth: int, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> list[DataFrame]:
@@ -84,11 +90,20 @@ def _differing(left: DataFrame, right: DataFrame, keys: list[str], value: str) -
     return joined.where(~F.col(value).eqNullSafe(F.col("other"))).select(*[F.coalesce(k, f"r_{k}").alias(k) for k in keys])
 
 
+def _paired(ours: DataFrame, theirs: DataFrame, keys: list[str]) -> DataFrame:
+    """Full outer join of two replicas' records on ``keys``, equal ones in the order of their offsets."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("offset"))
+    a, b = ours.withColumn("nth", nth), theirs.withColumn("nth", nth)
+    b = b.select(*[F.col(c).alias(f"r_{c}") for c in b.columns])
+    return a.join(b, [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in [*keys, "nth"]], "full_outer")
+
+
 def audit(primary: DataFrame, replica: DataFrame, range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> DataFrame:
     """Damaged places: ``archive, offset, record_id, length, replica_length, damage``.
 
     Both replicas are ``(archive, offset, record_id, length, digest)``. Damage is ``altered``,
-    ``resized``, ``missing`` or ``added`` as seen from the primary.
+    ``resized``, ``missing`` or ``added`` as seen from the primary; ``offset`` is the primary's,
+    for added records the replica's.
     """
     largest = primary.select("offset").union(replica.select("offset")).agg(F.max("offset")).first()[0] or 0
     ranges = largest // range_bytes + 1
@@ -112,16 +127,21 @@ def audit(primary: DataFrame, replica: DataFrame, range_bytes: int = RANGE_BYTES
             ranges_found, (F.col("archive") == F.col("pa")) & (F.floor(F.col("offset") / range_bytes) == F.col("pn")), "left_semi"
         )
 
-    a = inside(primary).select("archive", "offset", "record_id", "length", "digest")
-    b = inside(replica).select(*[F.col(c).alias(f"r_{c}") for c in ("archive", "offset", "record_id", "length", "digest")])
-    both = a.join(b, (F.col("archive") == F.col("r_archive")) & (F.col("offset") == F.col("r_offset")), "full_outer")
+    columns = ["archive", "offset", "record_id", "length", "digest"]
+    intact = _paired(inside(primary).select(*columns), inside(replica).select(*columns), ["archive", "record_id", "digest"])
+    left = stage(intact.where("digest IS NULL OR r_digest IS NULL"), "unpaired")
+    both = _paired(
+        left.where("digest IS NOT NULL").select(*columns),
+        left.where("digest IS NULL").select(*[F.col(f"r_{c}").alias(c) for c in columns]),
+        ["archive", "record_id"],
+    )
     damage = (
         F.when(F.col("r_digest").isNull(), "missing")
         .when(F.col("digest").isNull(), "added")
         .when(F.col("length") != F.col("r_length"), "resized")
         .otherwise("altered")
     )
-    return both.where(~F.col("digest").eqNullSafe(F.col("r_digest"))).select(
+    return both.select(
         F.coalesce("archive", "r_archive").alias("archive"),
         F.coalesce("offset", "r_offset").alias("offset"),
         F.coalesce("record_id", "r_record_id").alias("record_id"),
