@@ -6,9 +6,10 @@ often in toxic documents than in others. The field is trained on these tokens: u
 for hashed features of the token, one weight for each pair of neighbouring tags. At scoring,
 forward-backward marginals give each token a probability; tokens above one half merge to
 spans with offsets, and a logistic function of the marginals' sum and maximum, fitted on the
-labelled documents, gives the document's score.
+whole texts of the sampled labelled documents, gives the document's score.
 
-A chain is at most ``CHAIN`` consecutive tokens; the chains of a batch are computed side by
+The sample has documents of every length; the field learns from at most ``SAMPLE_CHAINS`` chains
+of a document, chosen by a hash. A chain is at most ``CHAIN`` consecutive tokens; the chains of a batch are computed side by
 side with numpy.
 
 Defined results: NULL and empty texts get the score of a text without toxic tokens; labels
@@ -33,10 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.memory import claim, remembered
+from lakeloom.session import stage
 
-#: Labelled documents that the fit reads for each label, and the longest it takes.
+#: Labelled documents that the fit reads for each label, and the chains it takes of one.
 SAMPLE_DOCUMENTS = 2000
-SAMPLE_CHARS = 6000
+SAMPLE_CHAINS = 16
 #: Documents of each label whose chains train the field.
 CHAIN_DOCUMENTS = 800
 CHAIN = 64
@@ -186,11 +188,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
-def fit(rows: list[tuple[str, int]], prior: dict[int, int]) -> Model | None:
-    """A model from labelled texts; ``prior`` counts the labels of the whole table."""
-    one: dict[str, str] = {}  # a word is held once, however many documents have it
-    docs = [([one.setdefault(w, w) for w in tokens(text)], label) for text, label in rows]
-    toxic, clean = [d for d, l in docs if l], [d for d, l in docs if not l]
+def fit_field(rows: list[tuple[list[str], int]]) -> tuple[np.ndarray, np.ndarray] | None:
+    """Unary and pair weights from labelled documents' words."""
+    toxic, clean = [d for d, l in rows if l], [d for d, l in rows if not l]
     if not toxic or not clean:
         return None
     marks = marking_features(toxic, clean)
@@ -201,29 +201,47 @@ def fit(rows: list[tuple[str, int]], prior: dict[int, int]) -> Model | None:
         return np.array([any(f in marks for f in features(w)) for w in doc], float)
 
     chosen = [(d, 1) for d in toxic[:CHAIN_DOCUMENTS]] + [(d, 0) for d in clean[:CHAIN_DOCUMENTS]]
-    weights, pairs = train_field([d for d, _ in chosen], [tag(d, l) for d, l in chosen])
-    words = {w for d, _ in docs for w in d}
-    unary = {w: weights[_slots(w)].sum() for w in words}
-    lengths = np.array([len(d) for d, _ in docs])
-    p = marginals(np.array([unary[w] for d, _ in docs for w in d]), lengths, pairs)
-    y = np.array([l for _, l in docs], float)
-    weight = np.where(y == 1, prior[1] / len(toxic), prior[0] / len(clean))
-    return Model(weights, pairs, _logistic(_summary(p, lengths), y, weight / weight.mean()))
-
-
-def sample_labelled(docs: DataFrame, labels: DataFrame) -> tuple[list[tuple[str, int]], dict[int, int]]:
-    """At most about ``SAMPLE_DOCUMENTS`` texts for each label, chosen by a hash of the identifier."""
+    return train_field([d for d, _ in chosen], [tag(d, l) for d, l in chosen])
+
+
+def fit_document(rows: list[tuple[int, float, float]], prior: dict[int, int]) -> np.ndarray:
+    """The document's score from ``(label, sum, maximum)``; ``prior`` counts the labels of the whole table."""
+    x = np.array([(1, total, largest) for _, total, largest in rows], float)
+    y = np.array([l for l, _, _ in rows], float)
+    weight = np.where(y == 1, prior[1] / max((y == 1).sum(), 1), prior[0] / max((y == 0).sum(), 1))
+    return _logistic(x, y, weight / weight.mean())
+
+
+def sampled_words(text: str | None, doc_id: int) -> list[str]:
+    """The words of at most ``SAMPLE_CHAINS`` chains of a text, chosen by a hash, in their order."""
+    found = tokens(text)
+    chains = range(0, len(found), CHAIN)
+    if len(chains) <= SAMPLE_CHAINS:
+        return found
+    chosen = sorted(sorted(chains, key=lambda k: zlib.crc32(f"{doc_id}:{k}".encode()))[:SAMPLE_CHAINS])
+    return [w for k in chosen for w in found[k : k + CHAIN]]
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column(0).to_pylist()
+        words = ["\n".join(sampled_words(t, i)) for i, t in zip(ids, batch.column(1).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.string()), batch.column(2)], names=["doc_id", "words", "label"])
+
+
+def sample_labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame | None, dict[int, int]]:
+    """About ``SAMPLE_DOCUMENTS`` texts at most for each label, of any length, chosen by a hash of the identifier."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
     prior = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not (prior.get(0) and prior.get(1)):
-        return [], prior
+        return None, prior
     share = F.when(F.col("label") == 1, SAMPLE_DOCUMENTS / prior[1]).otherwise(SAMPLE_DOCUMENTS / prior[0])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / F.lit(1_000_003)
     # About SAMPLE_DOCUMENTS rows of 12 bytes for each label, whatever the tables' sizes.
     chosen = known.where(place < share).select(F.col("doc_id").alias("of"), "label")
-    texts = docs.where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
-    rows = texts.select("doc_id", "text", "label").dropDuplicates(["doc_id"]).collect()
-    return [(r.text, r.label) for r in sorted(rows, key=lambda r: zlib.crc32(str(r.doc_id).encode()))], prior
+    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
+    texts = texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "label").dropDuplicates(["doc_id"])
+    return stage(texts, "toxicity-sample"), prior
 
 
 class _Unary(dict):
@@ -264,6 +282,24 @@ def _spans(text: str, p: np.ndarray) -> list[dict[str, int]]:
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
+def _summaries(field, key: str):
+    """For each sampled text its label and what the document's score is made of, over the whole text."""
+
+    def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, pairs = field.value
+        for batch in batches:
+            _unary.use(key, weights)
+            out = []
+            for text in batch.column(1).to_pylist():
+                found = tokens(text)
+                p = marginals(np.array([_unary[w] for w in found], float), np.array([len(found)]), pairs)
+                out.append(_summary(p, np.array([len(found)]))[0])
+            x = np.array(out).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(x[:, 1]), pa.array(x[:, 2])], names=["label", "total", "largest"])
+
+    return summaries
+
+
 def _scored(texts: list[str | None], field: Model | None, key: str) -> tuple[np.ndarray, list[list]]:
     """Score and toxic spans of each text."""
     scores = np.zeros(len(texts))
@@ -310,8 +346,24 @@ def _keep(model, key: str, threshold: float):
     return keep
 
 
+def _fit(learn_from: DataFrame, labels: DataFrame) -> Model | None:
+    texts, prior = sample_labelled(learn_from, labels)
+    if texts is None:
+        return None
+    rows = texts.mapInArrow(_sampled, "doc_id bigint, words string, label int").collect()
+    one: dict[str, str] = {}  # a word is held once, however many documents have it
+    rows = sorted(rows, key=lambda r: zlib.crc32(str(r.doc_id).encode()))
+    field = fit_field([([one.setdefault(w, w) for w in r.words.split("\n")] if r.words else [], r.label) for r in rows])
+    if field is None:
+        return None
+    shared = learn_from.sparkSession.sparkContext.broadcast(field)
+    whole = texts.mapInArrow(_summaries(shared, uuid.uuid4().hex), "label int, total double, largest double").collect()
+    # In order, so that sums of floating numbers do not depend on partitions.
+    return Model(*field, fit_document(sorted(tuple(r) for r in whole), prior))
+
+
 def _model(docs: DataFrame, learn_from: DataFrame, labels: DataFrame):
-    model = fit(*sample_labelled(learn_from.select("doc_id", "text"), labels))
+    model = _fit(learn_from.select("doc_id", "text"), labels)
     return docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
 
