@@ -11,10 +11,18 @@ from pyspark.sql import functions as F
 def measured_size(df: DataFrame) -> tuple[int, int]:
     """Rows and about the bytes of ``df``. Runs a job in which each task sends one row.
 
-    Strings and binaries count by their length, other values by a fixed width.
+    Strings and binaries count by their length, arrays, maps and structs by that of their JSON
+    text, other values by a fixed width.
     """
-    kinds = dict(df.dtypes)
-    wide = [F.coalesce(F.octet_length(c), F.lit(0)) if kinds[c] in ("string", "binary") else F.lit(16) for c in df.columns]
+
+    def width_of(name: str, kind: str) -> Column:
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(name), F.lit(0))
+        if kind.startswith(("array<", "map<", "struct<")):
+            return F.coalesce(F.octet_length(F.to_json(F.col(name))), F.lit(0))
+        return F.lit(16)
+
+    wide = [width_of(c, kind) for c, kind in df.dtypes]
     width = sum(wide[1:], wide[0]) if wide else F.lit(0)
     row = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
     return row["rows"], row["bytes"]
