@@ -14,11 +14,13 @@ from lakeloom.llm import (
     jaccard_join,
     language,
     packing,
+    periodic_runs,
     personal_data,
     token_lengths,
     toxicity,
 )
 from lakeloom.llm.catalogue import QUERIES, SQL, query, read
+from lakeloom.llm.common import words
 from lakeloom.session import stage
 
 CONTENT_SORT_SQL = """
@@ -185,3 +187,32 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(PLANTED).alias("text"),
     )
     return chat_format.conversation_digests(chat_format.format_conversations(turns.unionByName(own)))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents whose identifier's crc32 ends in 0 repeat a stretch of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    planted = """
+      transform(sequence(0, n - 1), i -> words[if(i < a, i, a + (i - a) % (1 + floor((n - a) / (3 + g % 8))))])
+    """
+    chosen = docs.where(h % 10 == 0).select("doc_id", words("text").alias("words"), F.floor(h / 10).alias("g"))
+    chosen = chosen.withColumn("n", F.size("words")).withColumn("a", F.expr("if(n > 0, int(g % n), 0)"))
+    text = F.when(F.col("n") > 0, F.array_join(F.expr(planted), " ")).alias("text")
+    return docs.where(F.coalesce(h % 10 != 0, F.lit(True))).select("doc_id", "text").union(chosen.select("doc_id", text))
+
+
+@query("op12_recompression_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(read(spark, sf_dir, "documents")))
+    best = F.expr("array_max(transform(runs, r -> struct(r.length AS l, -r.start AS s, -r.period AS p)))")
+    spans = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.expr("-best.s").alias("start"),
+        F.col("best.l").alias("length"),
+        F.expr("-best.p").alias("period"),
+        F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2(spans, 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"),
+    )
