@@ -16,6 +16,7 @@ from lakeloom.llm import (
     packing,
     periodic_runs,
     personal_data,
+    spelling_variants,
     token_lengths,
     toxicity,
 )
@@ -216,3 +217,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(spans, 256).alias("runs_sha256"),
         F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"),
     )
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(spelling_variants.vocabulary(read(spark, sf_dir, "documents")))
