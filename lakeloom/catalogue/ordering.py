@@ -161,18 +161,9 @@ def w08(t: Tables):
         WINDOW w AS (PARTITION BY customer_id ORDER BY txn_date RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND CURRENT ROW)""",
 )
 def w09(t: Tables):
-    out = ordered.rolling_range(
-        t.txn,
-        ["customer_id"],
-        F.unix_date("txn_date"),
-        30,
-        {
-            "txns_30d": lambda w: F.count(F.lit(1)).over(w.rangeBetween(-30, 0)),
-            "spend_30d": lambda w: F.round(F.sum("amount").over(w.rangeBetween(-30, 0)), 2),
-        },
-        span=90,
-    )
-    return out.select("customer_id", "txn_id", "txns_30d", "spend_30d")
+    day, amount = F.unix_date("txn_date"), F.col("amount")
+    out = ordered.with_rolling_sums(t.txn, ["customer_id"], day, -30, 0, {"spend_30d": amount}, {"txns_30d": F.lit(1)}, span=365)
+    return out.select("customer_id", "txn_id", "txns_30d", F.round("spend_30d", 2).alias("spend_30d"))
 
 
 @query(
@@ -182,18 +173,11 @@ def w09(t: Tables):
        WINDOW w AS (PARTITION BY event_type ORDER BY s RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)""",
 )
 def w09b(t: Tables):
-    out = ordered.rolling_range(
-        t.events,
-        ["event_type"],
-        F.unix_seconds(F.col("ts").cast("timestamp")),
-        3600,
-        {
-            "n_1h": lambda w: F.count(F.lit(1)).over(w.rangeBetween(-3600, 0)),
-            "value_1h": lambda w: F.round(F.sum("value").over(w.rangeBetween(-3600, 0)), 2),
-        },
-        span=86_400,
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    out = ordered.with_rolling_sums(
+        t.events, ["event_type"], second, -3600, 0, {"value_1h": F.col("value")}, {"n_1h": F.lit(1)}, span=86_400, scale=12
     )
-    return out.select("event_id", "user_id", "n_1h", "value_1h")
+    return out.select("event_id", "user_id", "n_1h", F.round("value_1h", 2).alias("value_1h"))
 
 
 @query(

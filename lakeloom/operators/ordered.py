@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Measure = Callable[[WindowSpec], Column]
 
@@ -187,6 +188,82 @@ def rolling_range(
     return spread.where("_own").drop("_span", "_own", "_at")
 
 
+def rolling_sums(
+    df: DataFrame,
+    keys: Sequence[str],
+    at: Column,
+    lower: int,
+    upper: int,
+    sums: dict[str, Column],
+    counts: dict[str, Column],
+    span: int,
+    scale: int = 6,
+) -> DataFrame:
+    """``_a, sums..., counts...``: totals over ``[at + lower, at + upper]`` of an integer axis.
+
+    ``_a`` is a struct of the keys and ``_at``, one row for each that occurs. Nothing slides:
+    rows are first added up per key and place, prefix sums run once over blocks of ``span``
+    units and are carried from block to block, and a window is the prefix at its upper border
+    less the prefix before its lower one. Both borders travel to the block they fall in and are
+    merged with the places there, so neither a key nor a window has to fit into one task.
+
+    A difference of two long sums must be exact: floating values are summed as decimals with
+    ``scale`` digits and come back as doubles; integers and decimals keep their type of sum.
+    Sums of no values are NULL, counts are 0. Rows without a place see each other only.
+    """
+    aggregates, back, parts = [], {}, []
+    for name, value in sums.items():
+        kind = df.select(value.alias("_v")).schema[0].dataType
+        floating = isinstance(kind, (T.DoubleType, T.FloatType))
+        aggregates += [F.sum(value.cast(T.DecimalType(28, scale)) if floating else value).alias(f"_s_{name}"), F.count(value).alias(f"_n_{name}")]
+        back[name] = lambda c, floating=floating: c.cast("double") if floating else c
+        parts += [f"_s_{name}", f"_n_{name}"]
+    for name, value in counts.items():
+        aggregates.append(F.count(value).alias(f"_c_{name}"))
+        parts.append(f"_c_{name}")
+    placed = df.select("*", F.struct(*keys, at.cast("bigint").alias("_at")).alias("_a")).groupBy("_a").agg(*aggregates)
+    where = F.col("_a._at")
+    # In the order in which one place holds them: what begins here, the values, what ends here.
+    kinds = [(where + lower, 0, -1), (where, 1, 0), (where + upper, 2, 1)]
+    if upper == 0:
+        kinds[1:] = [(where, 1, 1)]
+    events = [F.struct(c.alias("pos"), F.lit(k).alias("kind"), F.lit(sign).alias("sign")) for c, k, sign in kinds]
+    value = lambda c: F.when(F.col("_e.kind") == 1, F.col(c)).otherwise(F.lit(0)).alias(c)
+    spread = placed.select("_a", *parts, F.explode(F.array(*events)).alias("_e"))
+    block = _whole(F.col("_e.pos"), span).alias("_block")
+    spread = spread.select(
+        "_a", "_e", F.struct(*[F.col(f"_a.`{k}`").alias(k) for k in keys], block).alias("_k"),
+        *[F.coalesce(value(c), F.lit(0)).alias(c) for c in parts],
+    )
+    inside = Window.partitionBy("_k").orderBy("_e.pos", "_e.kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # What has no place lies in a block of its own that no other builds on.
+    carried = lambda c: F.when(F.col("_k._block").isNull(), F.lit(0)).otherwise(F.sum(c))
+    blocks = spread.groupBy("_k").agg(*[carried(c).alias(c) for c in parts])
+    before = blocks.select("_k", *[F.coalesce(F.sum(c).over(_prior(keys)), F.lit(0)).alias("_b" + c) for c in parts])
+    prefix = spread.select("_a", "_e.sign", "_k", *[F.sum(c).over(inside).alias(c) for c in parts]).where("sign <> 0")
+    prefix = prefix.join(before, "_k")
+    totals = prefix.groupBy("_a").agg(*[F.sum(F.col("sign") * (F.col(c) + F.col("_b" + c))).alias(c) for c in parts])
+    out = [F.when(F.col(f"_n_{n}") > 0, back[n](F.col(f"_s_{n}"))).alias(n) for n in sums]
+    return totals.select("_a", *out, *[F.col(f"_c_{n}").alias(n) for n in counts])
+
+
+def with_rolling_sums(
+    df: DataFrame,
+    keys: Sequence[str],
+    at: Column,
+    lower: int,
+    upper: int,
+    sums: dict[str, Column],
+    counts: dict[str, Column],
+    span: int,
+    scale: int = 6,
+) -> DataFrame:
+    """The rows of ``df`` with :func:`rolling_sums` beside them."""
+    totals = rolling_sums(df, keys, at, lower, upper, sums, counts, span, scale)
+    rows = df.select("*", F.struct(*keys, at.cast("bigint").alias("_at")).alias("_a"))
+    return rows.join(totals, "_a").drop("_a")
+
+
 def running_total(
     df: DataFrame,
     keys: Sequence[str],

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeloom.session import stage
@@ -46,35 +45,57 @@ def hierarchy(
     max_depth: int | None = None,
     separator: str = " > ",
 ) -> DataFrame:
-    """``node, level, path`` for every node reachable from a root, roots at level 1.
+    """``node, level, path`` for every way from a root (no parent) to a node, roots at level 1.
 
-    One join per level against that level only, until a level is empty. Levels are staged in
-    the shared folder, so a level is computed once and a lost executor does not replay the
-    walk. A node that is reached twice (a cycle, or two parents) raises, and so does a level
-    below ``max_depth`` where that is given: no node is dropped.
+    Path doubling: every row is a stretch of the way up and knows the node above it; each
+    round puts the stretch above in front of it, so a tree of ``d`` levels takes ``log2(d)``
+    rounds of one join. Rounds are staged in the shared folder, so a lost executor costs at
+    most one.
+
+    A node with several parents has one row for each way, as a recursive query lists it.
+    Nodes above which a parent is missing are not reached and not listed. A cycle raises: ways
+    that stay open after ``s`` steps pass only through nodes that are open too, so ``o`` such
+    rows allow at most ``s + o`` levels. A level below ``max_depth`` raises, where given.
     """
-    edges = df.select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(label).alias("label"))
-    level = edges.where(F.col("parent").isNull()).select(
-        "node", F.lit(1).alias("level"), F.col("label").cast("string").alias("path")
+    way = df.select(
+        F.col(node).alias("node"),
+        F.col(parent).alias("up"),
+        F.lit(1).alias("level"),
+        F.col(label).cast("string").alias("path"),
     )
-    level = stage(level, "hierarchy")
-    found = level
-    for depth in itertools.count(2):
-        above = level.select(F.col("node").alias("above"), F.col("path").alias("above_path"))
-        level = edges.join(above, F.col("parent") == F.col("above")).select(
-            "node",
-            F.lit(depth).alias("level"),
-            F.concat("above_path", F.lit(separator), "label").alias("path"),
+    def staged(rows: DataFrame) -> tuple[DataFrame, int]:
+        """The rows and how many are open, counted by the job that writes them."""
+        counted = Observation()
+        rows = stage(rows.observe(counted, F.count("up").alias("open")), "hierarchy")
+        return rows, counted.get["open"]
+
+    way, n_open = staged(way)
+    found, steps, most = way.where("up IS NULL"), 1, None
+    while n_open:
+        still = way.where("up IS NOT NULL")
+        most = steps + n_open if most is None else min(most, steps + n_open)
+        if steps >= most:
+            raise ValueError("the hierarchy has a cycle")
+        above = found.unionByName(still).select(
+            F.col("node").alias("above"),
+            F.col("up").alias("next_up"),
+            F.col("level").alias("levels_above"),
+            F.col("path").alias("path_above"),
+        )
+        way, n_open = staged(
+            still.join(above, F.col("up") == F.col("above")).select(
+                "node",
+                F.col("next_up").alias("up"),
+                (F.col("level") + F.col("levels_above")).alias("level"),
+                F.concat("path_above", F.lit(separator), "path").alias("path"),
+            )
         )
-        level = stage(level, "hierarchy")
-        if level.isEmpty():
-            return found
-        if max_depth is not None and depth > max_depth:
-            raise ValueError(f"the hierarchy has more than {max_depth} levels")
-        if not level.join(found.select("node"), "node", "left_semi").isEmpty():
-            raise ValueError("a node of the hierarchy is reached on two levels")
-        found = found.unionByName(level)
-    raise AssertionError("unreachable")
+        found = found.unionByName(way.where("up IS NULL"))
+        steps *= 2
+    found = found.drop("up")
+    if max_depth is not None and not found.where(F.col("level") > max_depth).isEmpty():
+        raise ValueError(f"the hierarchy has more than {max_depth} levels")
+    return found
 
 
 def difference_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.ordered import rolling_range
+from lakeloom.operators.ordered import rolling_sums, with_rolling_sums
 
 
 @dataclass(frozen=True)
@@ -35,27 +35,18 @@ def recent_count(
     df: DataFrame, key: str, at: str, seconds: int, name: str = "txn_count_recent"
 ) -> DataFrame:
     """Rows of the same key in the ``seconds`` up to and including each row."""
-    return rolling_range(
-        df,
-        [key],
-        F.unix_seconds(F.col(at)),
-        seconds,
-        {name: lambda w: F.count(F.lit(1)).over(w.rangeBetween(-seconds, 0))},
-        span=max(86_400, 8 * seconds),
-    )
+    second = F.unix_seconds(F.col(at))
+    return with_rolling_sums(df, [key], second, -seconds, 0, {}, {name: F.lit(1)}, span=max(86_400, 8 * seconds))
 
 
 def prior_daily_mean(df: DataFrame, key: str, day: str, amount: str, days: int) -> DataFrame:
-    """``key, day, avg_prior``: mean amount over the ``days`` calendar days before each day.
-
-    Works on one row per key and day, which also keeps the day itself out of its mean.
-    """
-    daily = df.groupBy(key, day).agg(
-        F.sum(amount).alias("_sum"), F.count(amount).alias("_n")
-    )
-    w = Window.partitionBy(key).orderBy("_day").rangeBetween(-days, -1)
-    return daily.withColumn("_day", F.unix_date(day)).select(
-        key, day, F.try_divide(F.sum("_sum").over(w), F.sum("_n").over(w)).alias("avg_prior")
+    """``key, day, avg_prior``: mean amount over the ``days`` calendar days before each day."""
+    amounts = F.col(amount)
+    totals = rolling_sums(df, [key], F.unix_date(day), -days, -1, {"_sum": amounts}, {"_n": amounts}, span=12 * days)
+    return totals.select(
+        F.col(f"_a.`{key}`").alias(key),
+        F.date_from_unix_date(F.col("_a._at").cast("int")).alias(day),
+        F.try_divide("_sum", "_n").alias("avg_prior"),
     )
 
 

@@ -243,6 +243,38 @@ def test_hierarchy_drops_no_level(spark):
         sequences.hierarchy(cycle, "id", "p", "n")
 
 
+def tree(spark, pairs):
+    return spark.createDataFrame([(n, p, f"n{n}") for n, p in pairs], "id long, p long, n string")
+
+
+def test_hierarchy_of_many_levels(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("p"), F.lit("x").alias("n"))
+    found = sequences.hierarchy(df, "id", "p", "n", separator="")
+    assert found.count() == 5000
+    assert found.where("level <> node + 1 OR path <> repeat('x', level)").isEmpty()
+
+
+def test_hierarchy_with_several_parents_and_lost_ones(spark):
+    # 3 is reached on one level over 1 and 2, 4 on two levels; nothing reaches 8 and 9.
+    df = tree(spark, [(0, None), (1, 0), (2, 0), (3, 1), (3, 2), (4, 3), (4, 0), (8, 99), (9, 8)])
+    got = rows(sequences.hierarchy(df, "id", "p", "n"), "node", "level", "path")
+    want = [(0, 1, "n0"), (1, 2, "n0 > n1"), (2, 2, "n0 > n2"), (4, 2, "n0 > n4")]
+    for via in (1, 2):
+        want += [(3, 3, f"n0 > n{via} > n3"), (4, 4, f"n0 > n{via} > n3 > n4")]
+    assert got == sorted(want, key=lambda r: tuple(map(str, r)))
+
+
+@pytest.mark.parametrize("cycle", [[(5, 5)], [(5, 6), (6, 5)], [(5, 6), (6, 7), (7, 5), (8, 7)]])
+def test_hierarchy_with_a_cycle_raises_early(spark, cycle):
+    wide = [(0, None)] + [(n, 0) for n in range(100, 400)]
+    with pytest.raises(ValueError, match="cycle"):
+        sequences.hierarchy(tree(spark, wide + cycle), "id", "p", "n")
+
+
+def test_empty_hierarchy(spark):
+    assert sequences.hierarchy(tree(spark, [(1, 1)]).where("id > 1"), "id", "p", "n").count() == 0
+
+
 def test_csv_reads_long_fields_and_comment_signs(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,v\n1," + "x" * 150_000 + "\n#2,y\n")
     got = files.read_csv(spark, str(tmp_path / "a.csv"), "id string, v string").collect()

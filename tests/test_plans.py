@@ -52,9 +52,16 @@ def test_running_total_shuffles_rows_once(t, no_broadcast):
     assert left.count("Exchange") == 1
 
 
-def test_rolling_range_is_one_shuffle(t):
-    text = plan(ENTRIES["w09_rolling_calendar_30_days"].build(t)).split("(1) Scan")[0]
-    assert text.count("Exchange") == 1
+@pytest.mark.parametrize("name", ["w09_rolling_calendar_30_days", "w09_rolling_hour", "m06_fraud_velocity", "m09_fraud_score", "m10_velocity_offenders"])
+def test_rolling_windows_have_no_range_frame(t, name):
+    text = plan(ENTRIES[name].build(t))
+    assert "RangeFrame" not in text and "RowFrame, unboundedpreceding" in text
+
+
+def test_rolling_sums_move_the_rows_once(t, no_broadcast):
+    text = plan(ENTRIES["w09_rolling_hour"].build(t)).split("(1) Scan")[0]
+    left = text.split("SortMergeJoin")[1].split("Scan parquet")[0]
+    assert left.count("Exchange") == 1
 
 
 def test_top_n_limits_before_the_shuffle(t):
