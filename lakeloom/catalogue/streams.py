@@ -7,15 +7,19 @@ again from its checkpoint after each slice.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.catalogue.domain import SENSOR, sensors
 from lakeloom.catalogue.maintenance import SHOWN, SNAPSHOTS, log, shown
 from lakeloom.catalogue.registry import Tables, query
 from lakeloom.plans import marts
-from lakeloom.session import workspace
+from lakeloom.session import stage, workspace
 from lakeloom.sources.landing import file_stream
-from lakeloom.streaming import batches, joins, medallion, progress, sessions, windows
+from lakeloom.streaming import batches, joins, keyed, medallion, progress, schemas, sessions, windows
 from lakeloom.streaming.run import drain, start_batches, start_files
 
 # The times that cut the events into slices.
@@ -151,11 +155,15 @@ LATEST_SQL = "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg
 
 @query("r06_upsert_per_micro_batch", LATEST_SQL)
 def r06(t: Tables):
-    out = workspace(t.spark, "upsert")
-    order = [F.desc("ts"), F.desc("event_id")]
-    handle = batches.upsert_handler(f"{out}/data", ["user_id"], order)
-    run_over_slices(t, slices(t), lambda landing: start_batches(file_stream(t.spark, landing, t.events.schema), handle, f"{out}/checkpoint"))
-    return batches.current_rows(t.spark, f"{out}/data", ["user_id"], order).select("user_id", "event_id", "value")
+    """Several files a batch, folded every third batch; the read merges what is left."""
+    out, landing = workspace(t.spark, "upsert"), workspace(t.spark, "upsert-landing")
+    columns = "event_id bigint, ts timestamp_ntz, user_id bigint, value double"
+    table = keyed.keyed_table(t.spark, f"{out}/table", columns, ["user_id"], [F.desc("ts"), F.desc("event_id")], buckets=8, fold_every=3)
+    for part in slices(t):
+        part.repartition(3).write.mode("append").parquet(landing)
+        rows = file_stream(t.spark, landing, t.events.schema, max_files=1)
+        drain(start_batches(rows, table.upsert, f"{out}/checkpoint"))
+    return table.rows().select("user_id", "event_id", "value")
 
 
 @query("r07_multi_sink", "SELECT UNNEST(['errors', 'purchases']) AS sink, UNNEST([COUNT(*) FILTER (WHERE event_type = 'error'), COUNT(*) FILTER (WHERE event_type = 'purchase')]) AS n FROM events")
@@ -225,11 +233,13 @@ def j16(t: Tables):
     return run_to_files(t, joins.unmatched(left, right, *KEYS, salts=2), "unmatched").select("view_id")
 
 
-@query("r10_interval_join_alerts", UNMATCHED_SQL.replace("SELECT view_id FROM v", "SELECT COUNT(*) AS n, MIN(view_id) AS first_view FROM v"))
+@query("r10_interval_join_alerts", UNMATCHED_SQL.replace("SELECT view_id FROM v", "SELECT COUNT(*) AS n, COUNT(DISTINCT view_id) AS views, MIN(view_id) AS first_view FROM v"))
 def r10(t: Tables):
     left, right = sides(t)
-    alerts = joins.unmatched(left, right, *KEYS).withColumn("alert", F.lit("NO_PURCHASE"))
-    return run_to_files(t, alerts, "alerts").agg(F.count(F.lit(1)).alias("n"), F.min("view_id").alias("first_view"))
+    alerts = joins.unmatched(left, right, *KEYS, salts=4).withColumn("alert", F.lit("NO_PURCHASE"))
+    return run_to_files(t, alerts, "alerts").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("view_id").alias("views"), F.min("view_id").alias("first_view")
+    )
 
 
 @query("j17_stream_static_join", "SELECT event_id, c_mktsegment FROM events LEFT JOIN customer ON user_id = c_custkey")
@@ -238,6 +248,22 @@ def j17(t: Tables):
     return run_to_files(t, joins.enrich(stream(t), static, "user_id"), "enrich").select("event_id", "c_mktsegment")
 
 
+@query(
+    "j17_hot_keys_replicated",
+    f"""WITH e AS (SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id FROM events)
+        SELECT event_id, user_id, c_mktsegment FROM e LEFT JOIN customer ON user_id = c_custkey""",
+)
+def j17b(t: Tables):
+    """One user sends a third of all events; from the second batch on it is known to be hot."""
+    out = workspace(t.spark, "enrich-hot")
+    static = t.customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    handle = joins.HotEnrichment(f"{out}/data", f"{out}/checkpoint/hot", static, "user_id")
+    user = F.when(F.col("event_id") % 3 == 0, 1).otherwise(F.col("user_id")).alias("user_id")
+    parts = [part.select("event_id", "ts", user) for part in slices(t)]
+    run_over_slices(t, parts, lambda landing: start_batches(file_stream(t.spark, landing, parts[0].schema), handle, f"{out}/checkpoint"))
+    return t.spark.read.parquet(f"{out}/data").select("event_id", "user_id", "c_mktsegment")
+
+
 @query("r11_alert_stream", f"WITH {SENSOR} SELECT event_id, CASE WHEN engine_status <> 'RUNNING' OR speed_kmh > 120 THEN 'CRITICAL' ELSE 'WARNING' END AS alert_level FROM sensor WHERE engine_status <> 'RUNNING' OR speed_kmh > 120 OR temperature_c > 45 OR fuel_level_pct < 10")
 def r11(t: Tables):
     flagged = marts.sensor_alerts(sensors(stream(t)))
@@ -316,16 +342,15 @@ def r16(t: Tables):
 def d12(t: Tables):
     """A change log followed as a stream, one commit at a time, into an upserted table."""
     out, changes_log = workspace(t.spark, "feed"), log(t)
-    order = [F.desc("_commit_version")]
-    newest = batches.upsert_handler(f"{out}/data", ["txn_id"], order)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in changes_log.schema)
+    table = keyed.keyed_table(t.spark, f"{out}/table", columns, ["txn_id"], [F.desc("_commit_version")], buckets=8, fold_every=1)
 
     def handle(df, batch_id):
-        newest(df.where("_change_type <> 'update_preimage'"), batch_id)
+        table.upsert(df.where("_change_type <> 'update_preimage'"), batch_id)
 
     commits = [changes_log.where(F.col("_commit_version") == v) for v in (0, 1)]
     run_over_slices(t, commits, lambda landing: start_batches(file_stream(t.spark, landing, changes_log.schema), handle, f"{out}/checkpoint"))
-    current = batches.current_rows(t.spark, f"{out}/data", ["txn_id"], order)
-    return shown(current.where("_change_type <> 'delete'"))
+    return shown(table.rows().where("_change_type <> 'delete'"))
 
 
 @query("s18_incremental_file_stream", "SELECT COUNT(*) AS n, TRUE AS several_batches FROM events")
@@ -348,19 +373,108 @@ def s20(t: Tables):
     """The second slice brings new columns; the stored schema grows with it."""
     out = workspace(t.spark, "evolving")
     first, second, third = slices(t)
-    schema = {"now": first.select("event_id", "ts").schema}
-    handle = batches.evolving_handler(f"{out}/data", lambda: schema["now"], lambda s: schema.update(now=s), "addNewColumns")
     parts = [first.select("event_id", "ts"), second.select("event_id", "ts", "event_type"), third.select("event_id", "ts", "event_type")]
     landing = workspace(t.spark, "evolving-landing")
     for part in parts:
+        store = schemas.SchemaStore(t.spark, f"{out}/checkpoint-schema", parts[0].schema)
         part.write.mode("append").parquet(landing)
+        handle = schemas.evolving_handler(f"{out}/data", store, "addNewColumns")
         drain(start_batches(file_stream(t.spark, landing, part.schema), handle, f"{out}/checkpoint"))
-    stored = t.spark.read.schema(schema["now"]).parquet(f"{out}/data")
-    return stored.agg(
+    return schemas.stored_rows(t.spark, f"{out}/data", store, "addNewColumns").agg(
         F.count(F.lit(1)).alias("n"), F.count("event_type").alias("typed"), F.count(F.when(F.col("ts") >= CUTS[0], F.lit(1))).alias("expected_typed")
     )
 
 
+def json_slices(t: Tables):
+    """Events as JSON lines: each slice has a field more than the one before."""
+    fields = (["event_id", "ts"], ["event_id", "ts", "event_type"], ["event_id", "ts", "event_type", "value"])
+    return [part.select(F.to_json(F.struct(*names)).alias("value")) for part, names in zip(slices(t), fields)]
+
+
+JSON_START = T.StructType().add("event_id", T.LongType()).add("ts", T.StringType())
+
+
+def evolve_json(t: Tables, mode: str, between=None):
+    """Land the slices one by one and start anew from checkpoint and stored schema each time.
+
+    ``between(out, store, failed)`` is asked after every run; it returns whether to try again.
+    """
+    out, landing = workspace(t.spark, "evolving-json"), workspace(t.spark, "evolving-json-landing")
+    for part in json_slices(t):
+        part.write.mode("append").text(landing)
+        again = True
+        while again:
+            store = schemas.SchemaStore(t.spark, f"{out}/checkpoint-schema", JSON_START)
+            handle = schemas.evolving_json_handler(f"{out}/data", store, mode)
+            lines = file_stream(t.spark, landing, T.StructType().add("value", T.StringType()), format="text")
+            failed = False
+            try:
+                drain(start_batches(lines, handle, f"{out}/checkpoint"))
+            except StreamingQueryException:
+                if between is None:
+                    raise
+                failed = True
+            again = between(out, store, failed) if between else False
+    return schemas.stored_rows(t.spark, f"{out}/data", store, mode), store
+
+
+@query(
+    "s20_add_new_columns",
+    f"""SELECT COUNT(*) AS n, COUNT(CASE WHEN ts >= TIMESTAMP '{CUTS[0]}' THEN event_type END) AS typed,
+          COUNT(CASE WHEN ts >= TIMESTAMP '{CUTS[1]}' THEN value END) AS valued, ROUND(SUM(CASE WHEN ts >= TIMESTAMP '{CUTS[1]}' THEN value END), 2) AS total, 3 AS versions FROM events""",
+)
+def s20b(t: Tables):
+    stored, store = evolve_json(t, "addNewColumns")
+    versions = store.versions().agg(F.count(F.lit(1)).cast("int").alias("versions"))
+    return stored.agg(
+        F.count(F.lit(1)).alias("n"), F.count("event_type").alias("typed"), F.count("value").alias("valued"), F.round(F.sum("value"), 2).alias("total")
+    ).join(F.broadcast(versions))
+
+
+@query(
+    "s20_rescue",
+    f"""SELECT event_id, CASE WHEN ts >= TIMESTAMP '{CUTS[0]}' THEN event_type END AS rescued_type,
+          CASE WHEN ts >= TIMESTAMP '{CUTS[1]}' THEN ROUND(value, 2) END AS rescued_value FROM events""",
+)
+def s20c(t: Tables):
+    stored, _ = evolve_json(t, "rescue")
+    lost = lambda name: F.get_json_object("_rescued_data", f"$.{name}")
+    return stored.select("event_id", lost("event_type").alias("rescued_type"), F.round(lost("value").cast("double"), 2).alias("rescued_value"))
+
+
+@query("s20_none", "SELECT COUNT(*) AS n, COUNT(DISTINCT event_id) AS ids, 'event_id,ts' AS columns, 1 AS versions FROM events")
+def s20d(t: Tables):
+    stored, store = evolve_json(t, "none")
+    versions = store.versions().agg(F.count(F.lit(1)).cast("int").alias("versions"))
+    return stored.agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"), F.lit(",".join(stored.columns)).alias("columns")
+    ).join(F.broadcast(versions))
+
+
+@query(
+    "s20_fail_on_new_columns",
+    f"""WITH s AS (SELECT CASE WHEN ts < TIMESTAMP '{CUTS[0]}' THEN 1 WHEN ts < TIMESTAMP '{CUTS[1]}' THEN 3 ELSE 5 END AS run FROM events),
+          runs AS (SELECT UNNEST([1, 2, 3, 4, 5]) AS run)
+        SELECT run, run IN (2, 4) AS failed, (SELECT COUNT(*) FROM s WHERE s.run <= runs.run) AS stored FROM runs""",
+)
+def s20e(t: Tables):
+    """New columns stop the stream before anything is written; once accepted, it goes on."""
+    accepted = iter((T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())))
+    runs = []
+
+    def between(out, store, failed):
+        run = t.spark.read.schema(store.latest()).parquet(f"{out}/data").agg(
+            F.lit(len(runs) + 1).alias("run"), F.lit(failed).alias("failed"), F.count(F.lit(1)).alias("stored")
+        )
+        runs.append(stage(run, "runs"))
+        if failed:
+            store.accept(T.StructType([next(accepted)]), batch_id=(len(runs) + 1) // 2)
+        return failed
+
+    evolve_json(t, "failOnNewColumns", between)
+    return reduce(lambda a, b: a.unionByName(b), runs)
+
+
 @query(
     "s30_sink_output_modes",
     "SELECT UNNEST(['append', 'complete', 'update']) AS mode, COUNT(*) AS n FROM events",

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.ordered import latest_per_key
 from lakeloom.session import stage
-from lakeloom.sources.landing import conform
 
 Handler = Callable[[DataFrame, int], None]
 
@@ -80,13 +79,3 @@ def multi_sink_handler(sinks: dict[str, Callable[[DataFrame], DataFrame]]) -> Ha
 
     return handle
 
-
-def evolving_handler(path: str, read_schema: Callable, save_schema: Callable, mode: str) -> Handler:
-    """Store batches under a schema-evolution mode, with the schema kept by the caller."""
-
-    def handle(df: DataFrame, batch_id: int) -> None:
-        fitted, schema = conform(df, read_schema(), mode)
-        write_batch(fitted, path, batch_id)
-        save_schema(schema)
-
-    return handle

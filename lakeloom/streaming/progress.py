@@ -16,25 +16,33 @@ SCHEMA = (
 
 
 class ProgressLog(StreamingQueryListener):
-    """Writes one line for every batch of every query to ``path``.
+    """Writes one line for every batch of every query to ``path``, ``group`` lines at a time.
 
     A query's own ``recentProgress`` forgets all but its last reports, so totals come from here.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, group: int = 100):
+        self.spark, self.path, self.group = spark, path, group
+        self._lines: list[tuple[str]] = []
+
+    def flush(self) -> None:
+        lines, self._lines = self._lines, []
+        if lines:
+            self.spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(self.path)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.spark.createDataFrame([(event.progress.json,)], "value string").coalesce(1).write.mode("append").text(self.path)
+        self._lines.append((event.progress.json,))
+        if len(self._lines) >= self.group:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.flush()
 
 
 @contextmanager
@@ -47,6 +55,7 @@ def logged_progress(spark: SparkSession, path: str):
     finally:
         spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
         spark.streams.removeListener(log)
+        log.flush()
 
 
 def progress_frame(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:

@@ -33,11 +33,9 @@ def sessions(
 ) -> DataFrame:
     """Closed sessions per key: activity with pauses shorter than ``gap``.
 
-    Sessions are merged inside each task before the shuffle, which shrinks busy keys.
+    ``build_session`` has sessions merged inside each task before the shuffle, which shrinks
+    busy keys.
     """
-    stream.sparkSession.conf.set(
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
-    )
     grouped = stream.groupBy(F.session_window(at, gap).alias("s"), *keys).agg(*aggregates)
     rest = [c for c in grouped.columns if c != "s"]
     return grouped.select(F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"), *rest)
