@@ -123,6 +123,25 @@ def m03(t: Tables):
     return out.withColumn("txn_date", F.col("txn_date").cast("string"))
 
 
+@query(
+    "m03_published_days",
+    f"""WITH {TXN} SELECT CAST(txn_date AS VARCHAR) AS txn_date, CAST(SUM(1) AS BIGINT) AS transactions, ROUND(SUM(amount * CASE WHEN DAY(txn_date) = 5 THEN 2 ELSE 1 END), 2) AS volume,
+          CASE WHEN DAY(txn_date) = 5 THEN '2024-01-03' ELSE '2024-01-02' END AS generated FROM txn WHERE txn_date BETWEEN DATE '1997-01-01' AND DATE '1997-01-31' GROUP BY txn_date""",
+)
+def m03b(t: Tables):
+    """A month of daily reports is published, then one day again; only that day is replaced."""
+    path = workspace(t.spark, "daily-gold")
+    month = t.txn.where("txn_date BETWEEN DATE '1997-01-01' AND DATE '1997-01-31'").withColumn("fraud_risk_level", F.lit("NORMAL"))
+    medallion.publish_days(medallion.daily_summary(month), path, F.lit("2024-01-02"))
+    again = month.where("DAY(txn_date) = 5").withColumn("amount", F.col("amount") * 2)
+    for _ in range(2):
+        medallion.publish_days(medallion.daily_summary(again), path, F.lit("2024-01-03"))
+    days = t.spark.read.parquet(path).groupBy("txn_date").agg(
+        F.sum("transaction_count").alias("transactions"), F.round(F.sum("total_volume"), 2).alias("volume"), F.max(F.to_date("report_generated_at")).cast("string").alias("generated")
+    )
+    return days.withColumn("txn_date", F.col("txn_date").cast("string"))
+
+
 @query(
     "m04_customer_profile",
     f"""WITH {SCORED} SELECT customer_id, COUNT(txn_id) AS lifetime_transactions, ROUND(SUM(amount), 2) AS lifetime_spend, TRUE AS mean_fits, CAST(MAX(txn_date) AS VARCHAR) AS last_transaction_date,

@@ -178,8 +178,8 @@ def d08(t: Tables):
     f"""WITH {FEED_SQL} SELECT _change_type, COUNT(*) AS n, ROUND(SUM(amount), 2) AS total FROM feed WHERE _change_type <> 'update_preimage' GROUP BY 1""",
 )
 def d09(t: Tables):
-    old, new = changes.replay(log(t), ["txn_id"], version=0), changes.replay(log(t), ["txn_id"], version=1)
-    compared = changes.change_feed(old, new, ["txn_id"], 1, moment("2024-01-02"))
+    old, new = (stage(changes.replay(log(t), ["txn_id"], version=v), "version") for v in (0, 1))
+    compared = changes.compare_versions(old, new, ["txn_id"], 1, moment("2024-01-02"))
     return (
         compared.where("_change_type <> 'update_preimage'")
         .groupBy("_change_type")
@@ -326,9 +326,17 @@ def clustered_path(t: Tables) -> str:
     return path
 
 
-@query("d19_z_order", "SELECT COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total FROM orders")
+@query("d19_z_order", "SELECT COUNT(*) AS n, ROUND(SUM(o_totalprice), 2) AS total, 0 AS overlaps, TRUE AS files_follow_bytes FROM orders")
 def d19(t: Tables):
-    return t.spark.read.parquet(clustered_path(t)).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("total"))
+    """Files of about 64 KB; their stretches of the curve follow one another."""
+    source, path, by = workspace(t.spark, "unsorted"), workspace(t.spark, "z-order"), ["day", "amount"]
+    t.txn.select("txn_id", "amount", F.unix_date("txn_date").alias("day"), "customer_id").write.parquet(source)
+    bounds = stage(layout.z_bounds(t.spark.read.parquet(source), by), "z-bounds")
+    wanted = layout.z_rewrite(t.spark, source, path, by, bounds, file_bytes=64 * 1024)
+    order = layout.curve_overlaps(t.spark, path, by, bounds)
+    fits = ((F.col("files") <= wanted) & (F.col("files") > wanted / 2)).alias("files_follow_bytes")
+    sums = t.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 2).alias("total"))
+    return sums.join(F.broadcast(order.select(F.col("overlaps").cast("int").alias("overlaps"), fits)))
 
 
 @query("d20_files_met_by_predicate", "SELECT UNNEST(['amount', 'day']) AS column_name, TRUE AS skips_half FROM (SELECT 1 FROM orders LIMIT 1)")
@@ -341,12 +349,47 @@ def d20(t: Tables):
     return by_day.select(F.lit("day").alias("column_name"), skips).unionByName(by_amount.select(F.lit("amount").alias("column_name"), skips))
 
 
+@query(
+    "d20_files_met_by_month",
+    f"""WITH {TXN}, f AS (SELECT MIN(txn_date - DATE '1970-01-01') AS d0, MAX(txn_date - DATE '1970-01-01') AS d1, MIN(amount) AS a0, MAX(amount) AS a1 FROM txn GROUP BY date_trunc('month', txn_date))
+        SELECT 'day' AS column_name, COUNT(*) AS files, COUNT(*) FILTER (WHERE d0 <= 10030 AND d1 >= 9980) AS files_met FROM f
+        UNION ALL SELECT 'amount', COUNT(*), COUNT(*) FILTER (WHERE a0 <= 1200 AND a1 >= 900) FROM f""",
+)
+def d20b(t: Tables):
+    """One file a month: how many a range of days and one of amounts would open, from the footers."""
+    path = workspace(t.spark, "by-month")
+    rows = t.txn.select("amount", F.unix_date("txn_date").alias("day"), F.date_format("txn_date", "yyyy-MM").alias("month"))
+    rows.repartition("month").write.partitionBy("month").parquet(path)
+    ranges = layout.footer_ranges(t.spark, path, ["day", "amount"])
+    met = {"day": layout.files_met(ranges, "day", F.lit(9980), F.lit(10030)), "amount": layout.files_met(ranges, "amount", F.lit(900.0), F.lit(1200.0))}
+    by_day, by_amount = (df.select(F.lit(name).alias("column_name"), "files", "files_met") for name, df in met.items())
+    return by_day.unionByName(by_amount)
+
+
+@query(
+    "d20_footer_statistics",
+    """SELECT SUM(n)::BIGINT AS rows, MIN(a) AS lo_price, MAX(b) AS hi_price, MIN(c) AS lo_key, MAX(d) AS hi_key, MIN(e) AS lo_priority, MAX(f) AS hi_priority FROM (
+         SELECT COUNT(*) AS n, MIN(o_totalprice) AS a, MAX(o_totalprice) AS b, MIN(o_custkey) AS c, MAX(o_custkey) AS d, MIN(o_orderpriority) AS e, MAX(o_orderpriority) AS f FROM orders GROUP BY o_orderkey % 7)""",
+)
+def d20c(t: Tables):
+    path = workspace(t.spark, "footers")
+    t.orders.repartition(7).write.parquet(path)
+    ranges = layout.footer_ranges(t.spark, path, ["o_totalprice", "o_custkey", "o_orderpriority"])
+    ends = {"price": "o_totalprice", "key": "o_custkey", "priority": "o_orderpriority"}
+    return ranges.agg(
+        F.sum("rows").alias("rows"),
+        *[f(f"{side}_{c}").alias(f"{out}_{name}") for name, c in ends.items() for side, f, out in (("min", F.min, "lo"), ("max", F.max, "hi"))],
+    )
+
+
 @query(
     "d21_partition_advice",
-    """SELECT UNNEST(['currency', 'customer_id', 'payment_mode', 'txn_id']) AS column_name, UNNEST(['partition', 'cluster', 'partition', 'cluster']) AS advice FROM (SELECT 1 FROM orders LIMIT 1)""",
+    f"""WITH {TXN}, c AS (SELECT COUNT(*) AS n, UNNEST(['currency', 'customer_id', 'payment_mode', 'txn_id']) AS column_name,
+          UNNEST([COUNT(DISTINCT currency), COUNT(DISTINCT customer_id), COUNT(DISTINCT payment_mode), COUNT(DISTINCT txn_id)]) AS d FROM txn)
+        SELECT column_name, CASE WHEN d <= 1 THEN 'none' WHEN d <= 50 AND n * 1.0 / d >= 100 THEN 'partition' ELSE 'cluster' END AS advice FROM c""",
 )
 def d21(t: Tables):
-    out = layout.partition_advice(t.txn, ["payment_mode", "currency", "customer_id", "txn_id"], max_values=100, min_rows=100)
+    out = layout.partition_advice(t.txn, ["payment_mode", "currency", "customer_id", "txn_id"], max_values=50, min_rows=100)
     return out.select("column_name", "advice")
 
 
@@ -401,3 +444,27 @@ def d25(t: Tables):
     kept, deletions = access.erase({"silver": t.txn, "gold": gold}, "customer_id", requests)
     left = kept["silver"].agg(F.lit("left_in_silver").alias("layer"), F.count(F.lit(1)).alias("rows_deleted"))
     return deletions.unionByName(left)
+
+
+@query(
+    "d25_erasure_in_files",
+    f"""WITH {TXN}, ids AS (SELECT customer_id FROM txn WHERE txn_id % 1000 = 3), o AS (SELECT *, CAST(YEAR(txn_date) AS INT) AS y FROM txn)
+        SELECT y, COUNT(*) FILTER (WHERE customer_id IN (SELECT customer_id FROM ids)) AS rows_deleted, COUNT(*) FILTER (WHERE customer_id NOT IN (SELECT customer_id FROM ids)) AS rows_left,
+          TRUE AS others_untouched FROM o GROUP BY y""",
+)
+def d25b(t: Tables):
+    """Only files that hold a requested customer are rewritten, in a table partitioned by year."""
+    path = workspace(t.spark, "erasable")
+    rows = t.txn.withColumn("y", F.year("txn_date"))
+    rows.repartitionByRange(8, "customer_id").write.partitionBy("y").parquet(path)
+    files = lambda: t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(
+        f"{path}/y=*"
+    ).select(F.regexp_extract("path", "[^/]+/[^/]+$", 0).alias("file"), "modificationTime")
+    before = stage(files(), "files")
+    erased = access.erase_files(t.spark, path, "customer_id", t.txn.where("txn_id % 1000 = 3").select("customer_id"), "request-1", ["y"])
+    touched = erased.select(F.regexp_extract("file_path", "[^/]+/[^/]+$", 0).alias("file"), "rows_deleted")
+    gone = before.join(files(), ["file", "modificationTime"], "left_anti")
+    wrong = gone.join(touched, "file", "left_anti").agg((F.count(F.lit(1)) == 0).alias("others_untouched"))
+    deleted = touched.groupBy(F.regexp_extract("file", "y=([0-9]+)", 1).cast("int").alias("y")).agg(F.sum("rows_deleted").alias("rows_deleted"))
+    left = t.spark.read.parquet(path).groupBy("y").agg(F.count(F.lit(1)).alias("rows_left"))
+    return left.join(deleted, "y", "left").select("y", F.coalesce("rows_deleted", F.lit(0)).alias("rows_deleted"), "rows_left").join(F.broadcast(wrong))

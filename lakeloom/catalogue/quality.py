@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakeloom.catalogue.registry import DIRTY, TXN, Tables, query
 from lakeloom.operators import aggregates
 from lakeloom.operators import quality as dq
+from lakeloom.session import workspace
 
 AS_OF = "2001-08-01"
 MODES = ("CARD", "UPI", "NETBANKING", "NEFT", "RTGS", "IMPS", "WALLET")
@@ -139,6 +140,30 @@ def q09(t: Tables):
     return out.select("percentile", "is_ok", F.col("drift_pct").between(49, 51).alias("drift_near_50"))
 
 
+_MERGED = """SELECT FLOOR({amount} / 100) AS bin, COUNT(*) AS n FROM txn WHERE {which} GROUP BY 1"""
+_POINTS = "(VALUES ('p25', 0.25), ('p50', 0.50), ('p75', 0.75), ('p95', 0.95)) AS p(percentile, share)"
+
+
+@query(
+    "q09_drift_from_stored_baseline",
+    f"""WITH {TXN}, b AS ({_MERGED.format(amount="amount", which="txn_date < DATE '1997-01-01'")}), c AS ({_MERGED.format(amount="amount * 1.2", which="txn_date >= DATE '1997-01-01'")}),
+        bu AS (SELECT bin, SUM(n) OVER (ORDER BY bin) AS upto, SUM(n) OVER () AS total FROM b), cu AS (SELECT bin, SUM(n) OVER (ORDER BY bin) AS upto, SUM(n) OVER () AS total FROM c),
+        v AS (SELECT percentile, (SELECT MIN(bin) * 100.0 FROM cu WHERE upto >= share * total) AS current_value, (SELECT MIN(bin) * 100.0 FROM bu WHERE upto >= share * total) AS baseline_value FROM {_POINTS})
+        SELECT percentile, CAST(current_value AS DOUBLE) AS current_value, CAST(baseline_value AS DOUBLE) AS baseline_value,
+          ROUND(ABS(CAST(current_value AS DOUBLE) - CAST(baseline_value AS DOUBLE)) * 100 / ABS(CAST(baseline_value AS DOUBLE)), 4) AS drift_pct,
+          ABS(current_value - baseline_value) * 100 / ABS(baseline_value) <= 15 AS is_ok FROM v""",
+)
+def q09b(t: Tables):
+    """Each month stores its histogram, one of them twice; the baseline is merged from months."""
+    path = workspace(t.spark, "histograms")
+    dated = t.txn.withColumn("month", F.date_format("txn_date", "yyyy-MM"))
+    before = dated.where("txn_date < DATE '1997-01-01'")
+    after = dated.where("txn_date >= DATE '1997-01-01'").withColumn("amount", F.col("amount") * 1.2)
+    for name, rows in (("baseline", before), ("baseline", before.where("month = '1996-03'")), ("current", after)):
+        dq.store_histograms(rows, f"{path}/{name}", "month", "amount", 100.0)
+    return dq.stored_drift(t.spark.read.parquet(f"{path}/current"), t.spark.read.parquet(f"{path}/baseline"), 15.0)
+
+
 @query(
     "q10_referential_integrity",
     """SELECT CAST(COUNT(*) AS BIGINT) AS orphan_rows, COUNT(DISTINCT o_custkey) AS orphan_keys FROM orders
@@ -208,6 +233,21 @@ def q12c(t: Tables):
     return passed.agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "q12_expectation_rows",
+    f"""WITH {DIRTY}, b AS (SELECT CAST(YEAR(txn_date) AS BIGINT) AS batch_id, COUNT(*) AS rows, COUNT(*) FILTER (WHERE NOT COALESCE(amount > 0, FALSE)) AS p, COUNT(*) - COUNT(customer_id) AS h FROM dirty GROUP BY 1)
+        SELECT batch_id, UNNEST(['positive', 'has_customer']) AS expectation, 'drop' AS action, rows, UNNEST([p, h]) AS failed, UNNEST([p = 0, h = 0]) AS passed FROM b""",
+)
+def q12e(t: Tables):
+    """One batch per year; its rows come from the pass that writes it."""
+    out = workspace(t.spark, "expected")
+    for year in range(1992, 2002):
+        batch = t.dirty.where(F.year("txn_date") == year)
+        dq.write_expected(batch, f"{out}/data", f"{out}/log", EXPECTATIONS, "drop", year)
+    found = dq.expectation_results(t.spark, f"{out}/log")
+    return found.where("rows > 0").select("batch_id", "expectation", "action", "rows", "failed", "passed")
+
+
 @query("q12_expect_unique", "SELECT COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS surplus_rows, FALSE AS passed FROM lineitem")
 def q12d(t: Tables):
     return dq.expect_unique(t.lineitem, ["l_orderkey", "l_linenumber"])

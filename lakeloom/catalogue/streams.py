@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from lakeloom.catalogue.domain import SENSOR, sensors
 from lakeloom.catalogue.maintenance import SHOWN, SNAPSHOTS, log, shown
 from lakeloom.catalogue.registry import Tables, query
+from lakeloom.operators import quality
 from lakeloom.plans import marts
 from lakeloom.session import stage, workspace
 from lakeloom.sources.landing import file_stream
@@ -475,6 +476,21 @@ def s20e(t: Tables):
     return reduce(lambda a, b: a.unionByName(b), runs)
 
 
+@query(
+    "q12_stream_expectations",
+    f"""WITH b AS (SELECT CASE WHEN ts < TIMESTAMP '{CUTS[0]}' THEN 0 WHEN ts < TIMESTAMP '{CUTS[1]}' THEN 1 ELSE 2 END AS batch_id, COUNT(*) AS rows, COUNT(*) FILTER (WHERE value <= 0.5) AS low, COUNT(*) FILTER (WHERE event_type = 'error') AS err FROM events GROUP BY 1)
+        SELECT CAST(batch_id AS BIGINT) AS batch_id, UNNEST(['valid_value', 'no_error']) AS expectation, rows, UNNEST([low, err]) AS failed, rows - (SELECT COUNT(*) FROM events e WHERE (e.value <= 0.5 OR e.event_type = 'error')
+          AND CASE WHEN e.ts < TIMESTAMP '{CUTS[0]}' THEN 0 WHEN e.ts < TIMESTAMP '{CUTS[1]}' THEN 1 ELSE 2 END = b.batch_id) AS stored FROM b""",
+)
+def q12_stream(t: Tables):
+    """One row per expectation and micro-batch, next to the rows that were stored."""
+    out = workspace(t.spark, "stream-expected")
+    handle = quality.expectation_handler(f"{out}/data", f"{out}/log", {"valid_value": "value > 0.5", "no_error": "event_type <> 'error'"}, "drop")
+    run_over_slices(t, slices(t), lambda landing: start_batches(file_stream(t.spark, landing, t.events.schema), handle, f"{out}/checkpoint"))
+    stored = t.spark.read.parquet(f"{out}/data").groupBy("batch_id").agg(F.count(F.lit(1)).alias("stored"))
+    return quality.expectation_results(t.spark, f"{out}/log").join(stored, "batch_id").select("batch_id", "expectation", "rows", "failed", "stored")
+
+
 @query(
     "s30_sink_output_modes",
     "SELECT UNNEST(['append', 'complete', 'update']) AS mode, COUNT(*) AS n FROM events",

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.masking import PII_PATTERNS, PII_SIGNS
+from lakeloom.session import stage
 
 
 @dataclass(frozen=True)
@@ -92,3 +93,54 @@ def erase(
         )
         log = line if log is None else log.unionByName(line)
     return kept, log
+
+
+def _files(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def erase_files(spark: SparkSession, path: str, key: str, requests: DataFrame, run: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Remove the requested keys from a stored table by rewriting only the files that hold them.
+
+    Returns the deletion log ``file_path, rows_deleted``, which stays below ``_erasure/<run>``.
+    First the log and the new files are written there, out of the table's sight, then
+    :func:`finish_erasure` swaps them in. A run that broke off is finished by the same call:
+    what is already written is not made again, since the old files may be gone by then.
+    """
+    work = f"{path}/_erasure/{run}"
+    ready, fs = _files(spark, f"{work}/files/_SUCCESS")
+    if not fs.exists(ready):
+        ids = stage(requests.select(key).where(F.col(key).isNotNull()).distinct(), "erasure-ids")
+        rows = spark.read.parquet(path).select(key, F.col("_metadata.file_path").alias("file_path"))
+        hits = rows.join(ids, key, "left_semi").groupBy("file_path").agg(F.count(F.lit(1)).alias("rows_deleted"))
+        hits.write.mode("overwrite").parquet(f"{work}/log")
+        touched = [r.file_path for r in spark.read.parquet(f"{work}/log").select("file_path").toLocalIterator()]
+        if touched:
+            old = spark.read.option("basePath", path).parquet(*touched)
+            columns = old.columns
+            kept = old.withColumn("_from", F.col("_metadata.file_path")).join(ids, key, "left_anti")
+            out = kept.repartition("_from").select(*columns).write.mode("overwrite")
+            (out.partitionBy(*partition_by) if partition_by else out).parquet(f"{work}/files")
+    finish_erasure(spark, path, run)
+    return spark.read.schema("file_path string, rows_deleted bigint").parquet(f"{work}/log")
+
+
+def finish_erasure(spark: SparkSession, path: str, run: str) -> None:
+    """Swap the rewritten files in; safe to repeat. One call to the store per touched file."""
+    work = f"{path}/_erasure/{run}"
+    staged, fs = _files(spark, f"{work}/files")
+    if not fs.exists(staged):
+        return
+    for row in spark.read.parquet(f"{work}/log").select("file_path").toLocalIterator():
+        old, _ = _files(spark, row.file_path)
+        fs.delete(old, False)
+    found = fs.listFiles(staged, True)
+    home = str(fs.makeQualified(staged).toUri().getPath()).rstrip("/")
+    while found.hasNext():
+        new = found.next().getPath()
+        relative = str(new.toUri().getPath()).removeprefix(home + "/")
+        if relative.endswith(".parquet"):
+            target, _ = _files(spark, f"{path}/{relative}")
+            fs.mkdirs(target.getParent())
+            fs.rename(new, target)

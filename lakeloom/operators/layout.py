@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 @contextmanager
@@ -60,15 +62,19 @@ def write_row_target(df: DataFrame, path: str, rows: int = 500_000, mode: str =
     df.write.mode(mode).option("maxRecordsPerFile", rows).parquet(path)
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
+def z_bounds(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
+    """One row ``b``: for each column the values that cut it into ``2 ** bits`` parts."""
+    points = [i / 2**bits for i in range(1, 2**bits)]
+    return df.agg(F.struct(*[F.percentile_approx(c, points, 10_000).alias(c) for c in columns]).alias("b"))
+
+
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6, bounds: DataFrame | None = None) -> DataFrame:
     """Add ``_z``: the interleaved bits of each column's quantile number.
 
-    Bounds come from one approximate-percentile aggregate, used as scalar subqueries.
+    Bounds come from one approximate-percentile aggregate, used as scalar subqueries, unless
+    :func:`z_bounds` are given.
     """
-    points = [i / 2**bits for i in range(1, 2**bits)]
-    bounds = df.agg(
-        F.struct(*[F.percentile_approx(c, points, 10_000).alias(c) for c in columns]).alias("b")
-    ).scalar()
+    bounds = (z_bounds(df, columns, bits) if bounds is None else bounds).scalar()
     df = df.withColumn("_bounds", bounds)
     # how many bounds lie below each value, by binary search: one compare per bit, all of it
     # inside generated code
@@ -93,7 +99,9 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
     return df.withColumn("_z", z).drop("_bounds", *[f"_q_{c}" for c in columns])
 
 
-def z_cluster(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6) -> DataFrame:
+def z_cluster(
+    df: DataFrame, columns: Sequence[str], files: int, bits: int = 6, bounds: DataFrame | None = None
+) -> DataFrame:
     """Rows laid out along a Z curve over ``columns``, ready to be written to ``files`` files.
 
     The columns themselves follow the curve in the range key, so rows of one crowded cell
@@ -101,13 +109,40 @@ def z_cluster(df: DataFrame, columns: Sequence[str], files: int, bits: int = 6)
     """
     spread = F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(1024))
     return (
-        z_value(df, columns, bits)
+        z_value(df, columns, bits, bounds)
         .repartitionByRange(files, F.col("_z"), *[F.col(c) for c in columns], spread)
         .sortWithinPartitions("_z", *columns)
         .drop("_z")
     )
 
 
+def z_rewrite(
+    spark: SparkSession, source: str, target: str, columns: Sequence[str], bounds: DataFrame, file_bytes: int = 256 * 1024 * 1024, bits: int = 6
+) -> int:
+    """Copy a folder along the Z curve into files of about ``file_bytes``; returns their number.
+
+    The number follows the bytes that are listed; only their total reaches the driver.
+    """
+    total = file_sizes(spark, source).agg(F.coalesce(F.sum("file_size"), F.lit(0))).first()[0]
+    files = max(1, math.ceil(total / file_bytes))
+    z_cluster(spark.read.parquet(source), columns, files, bits, bounds).write.parquet(target)
+    return files
+
+
+def curve_overlaps(spark: SparkSession, path: str, columns: Sequence[str], bounds: DataFrame, bits: int = 6) -> DataFrame:
+    """``files, overlaps``: files whose stretch of the curve begins before another one's end.
+
+    Stretches are one row per file; a cell that several files share is no overlap.
+    """
+    rows = spark.read.parquet(path).select(*columns, F.col("_metadata.file_path").alias("file_path"))
+    per_file = z_value(rows, columns, bits, bounds).groupBy("file_path").agg(F.min("_z").alias("lo"), F.max("_z").alias("hi"))
+    per_file = per_file.withColumn("all", F.lit(0))
+    before = Window.partitionBy("all").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    return per_file.withColumn("reached", F.max("hi").over(before)).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("lo") < F.col("reached")).alias("overlaps")
+    )
+
+
 def column_ranges(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Smallest and largest value of each column per file."""
     made = []
@@ -120,11 +155,66 @@ def column_ranges(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
     )
 
 
+def footer_ranges(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """:func:`column_ranges` from the files' footers alone; no data page is read.
+
+    Tasks open the listed files and read their last bytes, through the file systems that Arrow
+    knows; in a store that only Spark reads, use :func:`column_ranges`. A range is NULL where
+    the writer left out statistics (say for NaN) although there are values.
+    """
+    schema = spark.read.parquet(path).select(*columns).schema
+    out = T.StructType().add("file_path", "string").add("rows", "long")
+    for f in schema:
+        out = out.add(f"min_{f.name}", f.dataType).add(f"max_{f.name}", f.dataType)
+    listed = file_sizes(spark, path).select("file_path")
+    return listed.mapInArrow(_read_footers(to_arrow_schema(out), list(columns)), out)
+
+
+def _read_footers(schema, columns: list[str]):
+    def read(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        def ends(footer, column: str):
+            """Smallest and largest value over all row groups, None if one of them is not known."""
+            at = footer.schema.to_arrow_schema().get_field_index(column)
+            low = high = None
+            for g in range(footer.num_row_groups):
+                part = footer.row_group(g)
+                found = [part.column(i) for i in range(part.num_columns) if part.column(i).path_in_schema == column]
+                stats = found[0].statistics if at >= 0 and found else None
+                if stats is not None and stats.null_count == part.num_rows:
+                    continue
+                if stats is None or not stats.has_min_max:
+                    return None, None
+                low = stats.min if low is None else min(low, stats.min)
+                high = stats.max if high is None else max(high, stats.max)
+            return low, high
+
+        for batch in batches:
+            lines = [[] for _ in schema]
+            for name in batch.column(0).to_pylist():
+                store, inner = fs.FileSystem.from_uri(name)
+                with store.open_input_file(inner) as file:
+                    footer = pq.read_metadata(file)
+                values = [name, footer.num_rows]
+                for c in columns:
+                    values += ends(footer, c)
+                for line, value in zip(lines, values):
+                    line.append(value)
+            arrays = [pa.array(line, f.type) for line, f in zip(lines, schema)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return read
+
+
 def files_met(ranges: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
-    """How many files a range predicate has to open."""
+    """How many files a range predicate has to open; those of unknown range count."""
     meets = (F.col(f"min_{column}") <= high) & (F.col(f"max_{column}") >= low)
     return ranges.agg(
-        F.count(F.lit(1)).alias("files"), F.count(F.when(meets, F.lit(1))).alias("files_met")
+        F.count(F.lit(1)).alias("files"),
+        F.count(F.when(F.coalesce(meets, F.lit(True)), F.lit(1))).alias("files_met"),
     )
 
 

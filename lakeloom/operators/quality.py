@@ -11,8 +11,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.merge import Update, merge
-from lakeloom.operators.ordered import top_n
+from lakeloom.operators.merge import Update, merge, replace_partitions
+from lakeloom.operators.ordered import running_total, top_n
 
 
 @dataclass(frozen=True)
@@ -236,22 +236,63 @@ def volume_anomalies(
     )
 
 
+# The percentiles to compare.
+DRIFT_POINTS = {"p25": 0.25, "p50": 0.50, "p75": 0.75, "p95": 0.95}
+
+
+def _with_drift(both: DataFrame, tolerance_pct: float) -> DataFrame:
+    drift = F.abs(F.col("current_value") - F.col("baseline_value")) * 100 / F.abs("baseline_value")
+    return both.withColumn("drift_pct", F.round(drift, 4)).withColumn(
+        "is_ok", F.coalesce(drift <= tolerance_pct, F.lit(True))
+    )
+
+
 def distribution_drift(
     current: DataFrame, baseline: DataFrame, amount: str, tolerance_pct: float = 25.0
 ) -> DataFrame:
     """Percentiles of two frames side by side with their relative drift."""
-    # The percentiles to compare.
-    points = {"p25": 0.25, "p50": 0.50, "p75": 0.75, "p95": 0.95}
 
     def measured(df: DataFrame, value: str) -> DataFrame:
-        row = df.agg(*[F.percentile_approx(amount, p, 10_000).alias(n) for n, p in points.items()])
-        return row.unpivot([], list(points), "percentile", value)
+        row = df.agg(*[F.percentile_approx(amount, p, 10_000).alias(n) for n, p in DRIFT_POINTS.items()])
+        return row.unpivot([], list(DRIFT_POINTS), "percentile", value)
 
-    both = measured(current, "current_value").join(measured(baseline, "baseline_value"), "percentile")
-    drift = F.abs(F.col("current_value") - F.col("baseline_value")) * 100 / F.abs("baseline_value")
-    return both.withColumn("drift_pct", F.round(drift, 4)).withColumn(
-        "is_ok", F.coalesce(drift <= tolerance_pct, F.lit(True))
+    return _with_drift(measured(current, "current_value").join(measured(baseline, "baseline_value"), "percentile"), tolerance_pct)
+
+
+def store_histograms(df: DataFrame, path: str, period: str, value: str, resolution: float = 1.0) -> None:
+    """Write how often each value occurs per ``period``, values cut to multiples of ``resolution``.
+
+    Histograms add up, so any choice of stored periods is a baseline. A period that is
+    stored again replaces its histogram.
+    """
+    step = F.lit(float(resolution))
+    bins = df.where(F.col(value).isNotNull()).select(F.col(period).alias("period"), F.floor(F.col(value) / step).alias("bin"))
+    counted = bins.groupBy("period", "bin").agg(F.count(F.lit(1)).alias("n"), F.lit(float(resolution)).alias("resolution"))
+    replace_partitions(counted, path, "period")
+
+
+def stored_percentiles(histograms: DataFrame, points: Mapping[str, float], block: int = 1024) -> DataFrame:
+    """``percentile, value`` of merged histograms: the smallest value whose share reaches the point.
+
+    Bins are summed up in blocks, with one row per block carried over, never in one task.
+    """
+    merged = histograms.groupBy("bin", "resolution").agg(F.sum("n").alias("n"))
+    merged = merged.withColumns({"all": F.lit(0), "block": F.floor(F.col("bin") / block)})
+    upto = running_total(merged, ["all"], [F.col("bin")], "n", "upto", F.col("block"))
+    total = merged.agg(F.sum("n").alias("total"))
+    named = F.explode(F.create_map(*[F.lit(x) for pair in points.items() for x in pair])).alias("percentile", "share")
+    reached = upto.join(F.broadcast(total)).select("bin", "resolution", "upto", "total", named)
+    first = reached.where(F.col("upto") >= F.col("share") * F.col("total")).groupBy("percentile").agg(
+        F.min_by(F.col("bin") * F.col("resolution"), "bin").alias("value")
     )
+    return first
+
+
+def stored_drift(current: DataFrame, baseline: DataFrame, tolerance_pct: float = 25.0) -> DataFrame:
+    """Percentiles of two sets of stored histograms and their relative drift."""
+    now = stored_percentiles(current, DRIFT_POINTS).withColumnRenamed("value", "current_value")
+    then = stored_percentiles(baseline, DRIFT_POINTS).withColumnRenamed("value", "baseline_value")
+    return _with_drift(now.join(then, "percentile"), tolerance_pct)
 
 
 def null_rate_limits(report: DataFrame, limits: Mapping[str, float], default: float = 5.0) -> DataFrame:
@@ -301,6 +342,38 @@ def expect(
     raise ValueError(f"unknown action {action!r}")
 
 
+def write_expected(
+    df: DataFrame, path: str, log: str, expectations: Mapping[str, str], action: str, batch_id: int
+) -> None:
+    """Write a batch under its expectations, and one row per expectation to ``log``.
+
+    The counts are observed by the job that writes; nothing is read a second time. Batch and
+    log lie in folders of the batch and are overwritten when it is replayed. A batch that
+    ``fail`` stops leaves neither.
+    """
+    watched, observation = expect(df, expectations, action, f"expectations-{batch_id}")
+    watched.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    counts = observation.get
+    lines = [(name, action, counts["rows"], counts[name]) for name in expectations]
+    rows = df.sparkSession.createDataFrame(lines, "expectation string, action string, rows bigint, failed bigint")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{log}/batch_id={batch_id}")
+
+
+def expectation_handler(path: str, log: str, expectations: Mapping[str, str], action: str = "warn"):
+    """:func:`write_expected` as the handler of a stream's micro-batches."""
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        write_expected(df, path, log, expectations, action, batch_id)
+
+    return handle
+
+
+def expectation_results(spark: SparkSession, log: str) -> DataFrame:
+    """``batch_id, expectation, action, rows, failed, passed`` of all logged batches."""
+    rows = spark.read.schema("expectation string, action string, rows bigint, failed bigint, batch_id bigint").parquet(log)
+    return rows.withColumn("passed", F.col("failed") == 0)
+
+
 def expect_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: does every key occur once?"""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.cleaning import code, to_date, to_money
-from lakeloom.operators.merge import Insert, Update, merge
+from lakeloom.operators.merge import Insert, Update, merge, replace_partitions
 from lakeloom.operators.ordered import latest_per_key
 
 # Validation rules in the order their reasons are reported.
@@ -68,27 +68,78 @@ def silver_upsert(silver: DataFrame, valid: DataFrame, order: list[Column]) -> D
     return merge(silver, batch, ["txn_id", "txn_date"], [Update(changed, values), Insert()])
 
 
-def daily_summary(scored: DataFrame) -> DataFrame:
-    """Gold: volume and risk per day, payment mode and currency."""
-    high = F.col("fraud_risk_level") == "HIGH"
-    return scored.groupBy("txn_date", "payment_mode", "currency").agg(
-        F.count("txn_id").alias("transaction_count"),
-        F.round(F.sum("amount"), 2).alias("total_volume"),
-        F.round(F.avg("amount"), 4).alias("avg_transaction_value"),
-        F.max("amount").alias("max_transaction"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.count(F.when(high, F.lit(1))).alias("high_risk_count"),
-        F.round(F.sum(F.when(high, F.col("amount")).otherwise(0.0)), 2).alias("high_risk_volume"),
+# The grain and the column names of the gold reports, and the level they single out.
+DAILY_GRAIN = ["txn_date", "payment_mode", "currency"]
+DAILY_NAMES = {
+    "transactions": "transaction_count",
+    "spend": "total_volume",
+    "mean": "avg_transaction_value",
+    "peak": "max_transaction",
+    "groups": "unique_customers",
+    "risky": "high_risk_count",
+    "risky_spend": "high_risk_volume",
+}
+PROFILE_NAMES = {
+    "transactions": "lifetime_transactions",
+    "spend": "lifetime_spend",
+    "mean": "avg_transaction_value",
+    "newest": "last_transaction_date",
+    "listed": "preferred_modes",
+    "risky": "fraud_flags",
+}
+SINGLED_OUT = "HIGH"
+
+
+def subtotals(scored: DataFrame, by: list[str]) -> DataFrame:
+    """Sums that can be added up further, one row per ``by``."""
+    risky = F.col("fraud_risk_level") == SINGLED_OUT
+    return scored.groupBy(*by).agg(
+        F.count("txn_id").alias("transactions"),
+        F.count("amount").alias("amounts"),
+        F.sum("amount").alias("spend"),
+        F.max("amount").alias("peak"),
+        F.max("txn_date").alias("newest"),
+        F.count_if(risky).alias("risky"),
+        F.sum(F.when(risky, F.col("amount")).otherwise(0.0)).alias("risky_spend"),
     )
 
 
+def rolled_up(parts: DataFrame, by: list[str], inner: str, names: Mapping[str, str]) -> DataFrame:
+    """Subtotals per ``by`` and ``inner`` added up per ``by``.
+
+    The values of ``inner`` are one row each by then, so they are counted and listed without a
+    distinct aggregate.
+    """
+    added = {
+        "transactions": F.sum("transactions"),
+        "spend": F.round(F.sum("spend"), 2),
+        "mean": F.round(F.try_divide(F.sum("spend"), F.sum("amounts")), 4),
+        "peak": F.max("peak"),
+        "newest": F.max("newest"),
+        "groups": F.count(inner),
+        "listed": F.array_sort(F.collect_list(inner)),
+        "risky": F.sum("risky"),
+        "risky_spend": F.round(F.sum("risky_spend"), 2),
+    }
+    return parts.groupBy(*by).agg(*[added[part].alias(name) for part, name in names.items()])
+
+
+def daily_summary(scored: DataFrame) -> DataFrame:
+    """Gold: volume and risk per day, payment mode and currency, from subtotals per customer."""
+    by, inner = DAILY_GRAIN, "customer_id"
+    return rolled_up(subtotals(scored, [*by, inner]), by, inner, DAILY_NAMES)
+
+
 def customer_profile(scored: DataFrame) -> DataFrame:
-    """Gold: lifetime figures per customer over all history."""
-    return scored.groupBy("customer_id").agg(
-        F.count("txn_id").alias("lifetime_transactions"),
-        F.round(F.sum("amount"), 2).alias("lifetime_spend"),
-        F.round(F.avg("amount"), 4).alias("avg_transaction_value"),
-        F.max("txn_date").alias("last_transaction_date"),
-        F.array_sort(F.collect_set("payment_mode")).alias("preferred_modes"),
-        F.count(F.when(F.col("fraud_risk_level") == "HIGH", F.lit(1))).alias("fraud_flags"),
-    )
+    """Gold: lifetime figures per customer over all history, from subtotals per payment mode."""
+    by, inner = ["customer_id"], "payment_mode"
+    return rolled_up(subtotals(scored, [*by, inner]), by, inner, PROFILE_NAMES)
+
+
+def publish_days(report: DataFrame, path: str, generated_at: Column) -> None:
+    """Replace the days that ``report`` holds in a table partitioned by ``txn_date``, stamped.
+
+    Other days keep their files; publishing a day again leaves it as published once.
+    """
+    stamped = report.withColumn("report_generated_at", generated_at.cast("timestamp"))
+    replace_partitions(stamped, path, "txn_date")
