@@ -322,7 +322,7 @@ def d18(t: Tables):
 def clustered_path(t: Tables) -> str:
     path = workspace(t.spark, "z-order")
     rows = t.txn.select("txn_id", "amount", F.unix_date("txn_date").alias("day"), "customer_id")
-    layout.z_cluster(rows, ["day", "amount"], files=16).write.parquet(path)
+    layout.z_cluster(rows, ["day", "amount"], files=64).write.parquet(path)
     return path
 
 
