@@ -13,7 +13,10 @@ has each document's connected component. No link between different sets is lost:
    group; groups are joined on prefix shingles, filtered by size and by bounds on what they can
    have in common, and expanded to their members, whose sets are compared.
 4. First each list is compared with its best-connected member only, which settles most lists
-   of many near copies; then all pairs that are still in different components.
+   of many near copies. Then rounds of stars: in every list that still holds several
+   components, one member of each meets one of the list's largest, another one each round, so
+   a round makes no more pairs than lists have entries, and large groups of near copies grow
+   together. When a round joins few, all pairs that are still in different components follow.
 
 A shingle that very many documents hold is never gathered: where it is frequent within a
 task, the task itself knows that it is shared and sends the key alone to the others. Such
@@ -27,6 +30,8 @@ not looked at.
 
 from __future__ import annotations
 
+import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +58,10 @@ BUCKET_SHINGLES = 500_000
 #: Rows of (identifier, signature) up to which the left-over classes are broadcast.
 BROADCAST_CLASSES = 500_000
 _LAST = 2**20 - 1
+#: Middles of a list's stars, and the part of the labels whose inverse a round of stars must
+#: find links for, so that another one follows.
+MIDDLES = 3
+LEAST_GAIN = 200
 #: 64-bit words of the bitmap that bounds what two classes have in common.
 BITMAP_WORDS = 32
 
@@ -370,29 +379,75 @@ def _class_links(texts: DataFrame, slim: DataFrame) -> DataFrame:
         .join(y, (F.col("m.best") == F.col("y.sig")) & _may_link("x", "y"))
         .select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b"))
     )
-    first_links = stage(_links(inside.union(stars).distinct(), sets), "first-links")
-    labels = components(first_links).select(F.col("node").alias("l_sig"), "label")
-
-    # All pairs with a common prefix shingle that are still apart. Lists with one label only
-    # are settled.
+    links = [stage(_links(inside.union(stars).distinct(), sets), "first-links")]
+    labels = components(links[0]).select(F.col("node").alias("l_sig"), "label")
     labelled = grouped.join(labels, F.col("sig") == F.col("l_sig"), "left").select(
         "sig", *facts, "prefix", F.coalesce("label", "sig").alias("label")
     )
     labelled = stage(labelled, "labelled")
-    listed = labelled.select("label", F.explode("prefix").alias("shingle"))
-    mixed_lists = listed.groupBy(F.col("shingle").alias("s")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    rows = labelled.select("sig", *facts, "label", F.explode("prefix").alias("shingle"))
-    rows = rows.join(stage(mixed_lists.select("s"), "mixed-lists"), F.col("shingle") == F.col("s"), "left_semi")
-    x, y = rows.alias("x"), rows.alias("y")
-    apart = x.join(
-        y,
-        (F.col("x.shingle") == F.col("y.shingle"))
-        & (F.col("x.sig") < F.col("y.sig"))
-        & (F.col("x.label") != F.col("y.label"))
-        & _may_link("x", "y"),
-    ).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
-    more_links = stage(_links(apart.distinct(), sets), "more-links")
-    return first_links.union(more_links)
+    facts_of = labelled.select("sig", *facts)
+    listed, n_labels = _mixed_lists(labelled.select("sig", "label", F.explode("prefix").alias("shingle")))
+    for turn in itertools.count():
+        if not n_labels:
+            break
+        found = stage(_links(_star_pairs(listed, facts_of, turn), sets), "more-links")
+        links.append(found)
+        n_found, before = found.count(), n_labels
+        if n_found:
+            listed, n_labels = _mixed_lists(_relabelled(listed, found))
+        if n_found * LEAST_GAIN < before:
+            break
+    if n_labels:
+        # All pairs with a common prefix shingle that are still apart.
+        rows = listed.join(facts_of.withColumnRenamed("sig", "of"), F.col("sig") == F.col("of"))
+        x, y = rows.alias("x"), rows.alias("y")
+        apart = x.join(
+            y,
+            (F.col("x.shingle") == F.col("y.shingle"))
+            & (F.col("x.sig") < F.col("y.sig"))
+            & (F.col("x.label") != F.col("y.label"))
+            & _may_link("x", "y"),
+        ).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b"))
+        links.append(stage(_links(apart.distinct(), sets), "last-links"))
+    return functools.reduce(DataFrame.union, links)
+
+
+def _mixed_lists(listed: DataFrame) -> tuple[DataFrame, int]:
+    """The entries ``sig, label, shingle`` of lists that hold several labels, and how many labels."""
+    ends = listed.groupBy(F.col("shingle").alias("s")).agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    mixed = stage(ends.where("lo <> hi").select("s"), "mixed-lists")
+    listed = stage(listed.join(mixed, F.col("shingle") == F.col("s"), "left_semi"), "mixed-entries")
+    return listed, listed.agg(F.count_distinct("label")).first()[0]
+
+
+def _star_pairs(listed: DataFrame, facts_of: DataFrame, turn: int) -> DataFrame:
+    """In each list, one member of every label with some of the label that has the most, if they may link.
+
+    Who it is goes by a hash that differs from turn to turn.
+    """
+    def chosen(salt: int) -> Column:
+        return F.min(F.struct(F.xxhash64("sig", F.lit(turn), F.lit(salt)).alias("h"), F.col("sig")))["sig"]
+
+    middles = [chosen(i).alias(f"m{i}") for i in range(MIDDLES)]
+    members = listed.groupBy("shingle", "label").agg(F.count("*").alias("n_members"), *middles)
+    ends = [F.col(f"m{i}") for i in range(MIDDLES)]
+    largest = members.groupBy(F.col("shingle").alias("s")).agg(F.max(F.struct("n_members", "label", *ends)).alias("largest"))
+    met = members.join(largest, (F.col("shingle") == F.col("s")) & (F.col("label") != F.col("largest.label")))
+    middle = F.explode(F.array(*[F.col(f"largest.m{i}") for i in range(MIDDLES)])).alias("middle")
+    met = met.select(F.col("m0").alias("member"), middle).distinct()
+    x, y = facts_of.alias("x"), facts_of.alias("y")
+    near = met.join(x, F.col("member") == F.col("x.sig")).join(y, (F.col("middle") == F.col("y.sig")) & _may_link("x", "y"))
+    return near.select(F.least("x.sig", "y.sig").alias("a"), F.greatest("x.sig", "y.sig").alias("b")).distinct()
+
+
+def _relabelled(listed: DataFrame, links: DataFrame) -> DataFrame:
+    """The entries with the labels that ``links`` between their members join made one."""
+    label_of = stage(listed.select(F.col("sig").alias("of"), F.col("label").alias("of_label")).distinct(), "label-of")
+    between = links.join(label_of, F.col("a") == F.col("of")).select(F.col("of_label").alias("a"), "b")
+    between = between.join(label_of, F.col("b") == F.col("of")).select("a", F.col("of_label").alias("b")).where("a <> b")
+    joined = components(between).select(F.col("node").alias("was"), F.col("label").alias("now"))
+    moved = listed.join(joined, F.col("label") == F.col("was"), "left")
+    return moved.select("sig", F.coalesce("now", "label").alias("label"), "shingle")
 
 
 def _components(docs: DataFrame) -> DataFrame:

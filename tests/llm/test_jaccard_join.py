@@ -90,3 +90,36 @@ def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (103, 101)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 103: 100}
+
+
+def drifting_copies(rng, n, words, edits):
+    """Copies of copies, so that links form chains and no document is near all others, and a
+    group of one passage with so many edits that its members rarely link."""
+    base = [f"w{rng.integers(10**9)}" for _ in range(words)]
+    texts = [base]
+    for _ in range(n - 1):
+        text = list(texts[rng.integers(len(texts))])
+        for _ in range(edits):
+            text[rng.integers(len(text))] = f"e{rng.integers(10**9)}"
+        texts.append(text)
+    far = []
+    for _ in range(n // 2):
+        text = list(base)
+        for at in rng.choice(words, 7 + rng.integers(3), replace=False):
+            text[at] = f"f{rng.integers(10**9)}"
+        far.append(text)
+    return [" ".join(t) for t in texts + far]
+
+
+def test_large_groups_joined_by_repeated_stars(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = drifting_copies(rng, 240, 150, 2) + drifting_copies(rng, 80, 60, 1)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string").repartition(6)
+    made = []
+    stars = jj._star_pairs
+    monkeypatch.setattr(jj, "_star_pairs", lambda *a: made.append(1) or stars(*a))
+    got = sorted(tuple(r) for r in jj.jaccard_components(docs).collect())
+    want = brute_force.jaccard_components(rows)
+    assert got == want
+    assert made and 1 < len({c for _, _, c in want}) < len(rows) / 2
