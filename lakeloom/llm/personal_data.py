@@ -126,6 +126,13 @@ _PUBLIC_WORDS = re.compile(r"(?i)licen[sc]e|version|apache|gnu|mit\b|cc\b|copyri
 _VERSION = re.compile(r"[(\[\"']*v?[0-9]{1,3}(?:[.,:/-][0-9]{1,4}){0,3}[)\].,;:!?\"'%]*")
 _ACCESS_KEY = re.compile(r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z]{16,}")
 _HEX = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
+
+
+def _long_hex(word: str) -> bool:
+    """Sixteen hexadecimal digits in a row, with a letter among them: a plain number is none."""
+    return any(not m.group().isdigit() for m in _HEX.finditer(word))
+
+
 _SSN = re.compile(r"(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9])")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[0-9A-Z]{11,30}")
 
@@ -183,7 +190,7 @@ def _key_words(word: str, before: str) -> int | None:
 
 LABELERS = (
     ("known pattern", lambda word, before: 1 if _known(word) else None),
-    ("long hexadecimal", lambda word, before: 1 if _HEX.search(word) else None),
+    ("long hexadecimal", lambda word, before: 1 if _long_hex(word) else None),
     ("version, count or date", lambda word, before: 0 if _count(word) else None),
     ("key words", _key_words),
     ("public words", lambda word, before: 0 if _PUBLIC_WORDS.search(before) else None),
@@ -210,7 +217,7 @@ def shape_bits(word: str) -> int:
     n = len(word)
     bits = (
         n >= 8, n >= 14, n >= 20, digits * 2 > n, letters * 2 > n, 0 < letters and word.upper() == word,
-        "=" in word, "@" in word, "." in word[:-1], word[:1] in "\"'", bool(_HEX.search(word)), 0 < letters and digits >= 3,
+        "=" in word, "@" in word, "." in word[:-1], word[:1] in "\"'", _long_hex(word), 0 < letters and digits >= 3,
     )
     return sum(1 << i for i, b in enumerate(bits) if b)
 
@@ -357,7 +364,7 @@ def accepted(table: list[tuple[int, int, int]], threshold: float = THRESHOLD) ->
 
 
 def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id``, counts of the base kinds, ``base_sha256`` and all ``spans`` of every document."""
+    """``doc_id``, counts of the base kinds and of added spans, ``base_sha256`` and all ``spans``."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     found = stage(texts.mapInArrow(_scan, _FOUND), "personal-data")
     each = found.select(F.explode("candidates").alias("c")).groupBy("c.votes", "c.shape").agg(F.count("*").alias("n"))
@@ -367,4 +374,5 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     added = F.filter("candidates", lambda c: (F.shiftleft(c["votes"].cast("bigint"), SHAPE_BITS) + c["shape"]).isin(keys))
     names = F.transform(added, lambda c: F.concat_ws(":", F.lit(ADDED_KIND), c["start"], c["end"]))
     every = F.filter(F.array_prepend(names, F.col("base")), lambda s: s != "")
-    return found.select("doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", F.array_join(every, ",").alias("spans"))
+    n_added = F.size(added).cast("bigint").alias(f"n_{ADDED_KIND}")
+    return found.select("doc_id", *[f"n_{k}" for k in KINDS], n_added, "base_sha256", F.array_join(every, ",").alias("spans"))

@@ -16,6 +16,7 @@ RARE = [
     ("on 2024-01-15 and in 1999-2004 it rained", []),
     ("the train from Paris to Berlin was late", []),
     ("Version 2.0, chapter 3, page 12", []),
+    ("item 4929123456781234 of lot 00012345678901234567 was sold", []),
 ]
 
 
@@ -29,6 +30,7 @@ def test_rare_kinds_among_many_dates(spark):
     for r in got:
         spans = [s.split(":") for s in r.spans.split(",") if s]
         added = [texts[r.doc_id][int(a) : int(b)] for kind, a, b in spans if kind == pd_.ADDED_KIND]
+        assert r[f"n_{pd_.ADDED_KIND}"] == len(added)
         assert added == (RARE[r.doc_id % 100][1] if r.doc_id >= 1000 else []), texts[r.doc_id]
 
 
