@@ -46,6 +46,37 @@ def test_configurations_hold_every_piece(histogram):
     assert used <= best_fit_decreasing(histogram, 2048) * 1.005 + 2
 
 
+def solved(histogram, capacity=2048):
+    lengths = np.array(sorted(histogram))
+    return packing.fractional_program(lengths, np.array([histogram[n] for n in lengths]), capacity)
+
+
+HALVES = {1044: 6000, 532: 6000, 552: 6000, 472: 12000}
+MIDDLING = Counter(np.random.default_rng(4).integers(300, 1100, 60_000).tolist())
+
+
+@pytest.mark.parametrize("histogram", [{5: 3}, {683: 60, 682: 60}, HALVES, MIDDLING])
+def test_bound_of_the_program(histogram):
+    amounts, prices, bound = solved(histogram)
+    used = sum(t for t, _ in packing.configurations(histogram, 2048))
+    assert -(-sum(n * c for n, c in histogram.items()) // 2048) - 1e-6 <= np.ceil(bound - 1e-6) <= used
+    assert used <= bound + len(amounts)
+    # The prices are a solution of the dual program: no filling of a sequence is worth more than one.
+    best, _ = packing.knapsack(np.array(sorted(histogram)), prices, 2048)
+    assert best[2048] <= 1 + 1e-9
+
+
+def test_amounts_of_the_program_are_used():
+    assert sum(t for t, _ in packing.configurations(HALVES, 2048)) == 9000
+    assert best_fit_decreasing(HALVES, 2048) > 10_900
+    lengths = np.array(sorted(MIDDLING))
+    counts = np.array([MIDDLING[n] for n in lengths])
+    by_length = packing._packed_remainder(lengths, counts, lengths / 2048, 2048)
+    used = sum(t for t, _ in packing.configurations(MIDDLING, 2048))
+    assert used < 0.99 * sum(t for t, _ in by_length)
+    assert used < 0.99 * best_fit_decreasing(MIDDLING, 2048)
+
+
 def test_dynamic_program_against_enumeration():
     lengths, prices = np.array([3, 4, 7]), np.array([2.0, 3.0, 5.5])
     best, _ = packing.knapsack(lengths, prices, 25)
