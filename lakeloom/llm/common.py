@@ -17,6 +17,16 @@ def words(text: str | Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")
 
 
+def boxed(rows: DataFrame, **keys: Column) -> DataFrame:
+    """All columns of the input in one struct ``row`` beside ``keys``, so that no name of the input can clash."""
+    return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), *[k.alias(n) for n, k in keys.items()])
+
+
+def unboxed(rows: DataFrame, columns: list[str], *more: Column) -> DataFrame:
+    """The columns of the input out of ``row`` again, and ``more``."""
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in columns], *more)
+
+
 def join_bounded(rows: DataFrame, small: DataFrame, condition: Column, limit: int, how: str = "left") -> DataFrame:
     """Join with a staged side: it is broadcast only if it has at most ``limit`` rows."""
     return rows.join(F.broadcast(small) if small.count() <= limit else small, condition, how)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import join_bounded
+from lakeloom.llm.common import boxed, join_bounded, unboxed
 from lakeloom.session import stage
 
 LEAD_CHARS = 64
@@ -141,13 +141,12 @@ def without_copies(docs: DataFrame, keep: str = "largest") -> DataFrame:
 
 def remove_marked(docs: DataFrame, mark: Column, removed: DataFrame, repeated: DataFrame) -> DataFrame:
     """``docs`` without the rows ``removed (c_id, c_mark)`` and with one of each in ``repeated``."""
-    columns = docs.columns
-    marked = docs.withColumn("__mark", mark)
-    same = F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("__mark") == F.col("c_mark"))
+    marked = boxed(docs, own_id=F.col("doc_id"), own_mark=mark)
+    same = F.col("own_id").eqNullSafe(F.col("c_id")) & (F.col("own_mark") == F.col("c_mark"))
     repeated = stage(repeated.distinct(), "repeated")
     gone = stage(removed.distinct().union(repeated), "removed")
     kept = join_bounded(marked, gone, same, BROADCAST_REMOVED, "left_anti")
     if not repeated.isEmpty():
         again = join_bounded(marked, repeated, same, BROADCAST_REMOVED, "left_semi")
-        kept = kept.union(again.dropDuplicates(["doc_id", "__mark"]))
-    return kept.select(*columns)
+        kept = kept.union(again.dropDuplicates(["own_id", "own_mark"]))
+    return unboxed(kept, docs.columns)

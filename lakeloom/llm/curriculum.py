@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import block_of, join_bounded, ordered_blocks, rows_per_block, words
+from lakeloom.llm.common import boxed, join_bounded, ordered_blocks, rows_per_block, unboxed, words
 from lakeloom.session import stage
 
 WEIGHTS = (1, 2, 3)
@@ -164,17 +164,21 @@ def by_position(planned: DataFrame) -> DataFrame:
     return planned.repartitionByRange(key, "doc_id").sortWithinPartitions(key, "doc_id")
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shortens ``text`` to its first ``cut_to`` words where that is set."""
-    word = re.compile(r"[^\x20\x09-\x0D]+")
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for i, n in enumerate(batch.column("cut_to").to_pylist()):
-            if n:
-                ends = (m.end() for k, m in enumerate(word.finditer(texts[i]), 1) if k == n)
-                texts[i] = texts[i][: next(ends, len(texts[i]))]
-        where = batch.schema.get_field_index("text")
-        yield batch.set_column(where, batch.schema.field(where), pa.array(texts, batch.schema.field(where).type))
+def _cut(cut_to: str):
+    """Shortens ``text`` to as many first words as the column ``cut_to`` says, where that is set."""
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word = re.compile(r"[^\x20\x09-\x0D]+")
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for i, n in enumerate(batch.column(cut_to).to_pylist()):
+                if n:
+                    ends = (m.end() for k, m in enumerate(word.finditer(texts[i]), 1) if k == n)
+                    texts[i] = texts[i][: next(ends, len(texts[i]))]
+            where = batch.schema.get_field_index("text")
+            yield batch.set_column(where, batch.schema.field(where), pa.array(texts, batch.schema.field(where).type))
+
+    return shorten
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -183,22 +187,24 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Rows equal in every column are told apart by nothing and count as copies of one row.
     """
     columns = docs.columns
-    mark = F.xxhash64(*[F.col(c) for c in columns])
-    keyed = docs.withColumn("__mark", mark)
-    planned = plan(keyed, "__mark").where("taken > 0")
+    mark = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+    planned = plan(docs.select("doc_id", "source", "text", mark.alias("mark")), "mark").where("taken > 0")
     copies = planned.select(
-        F.col("doc_id").alias("__id"),
-        F.col("__mark").alias("__of"),
+        F.col("doc_id").alias("id"),
+        F.col("mark").alias("of"),
         "at", "size", "source_size", "target", "start", "whole", "cut",
         F.explode(F.sequence(F.lit(0), (F.col("whole") + (F.col("cut") > 0).cast("int") - 1).cast("int"))).alias("copy"),
     )
     placed = copies.select(
-        "__id", "__of",
-        position("at", F.col("copy")).alias("__position"),
+        "id", "of",
+        position("at", F.col("copy")).alias("position"),
         F.when(F.col("copy") == F.col("whole"), F.col("cut")).alias("cut_to"),
     )
-    once = keyed.dropDuplicates(["doc_id", "__mark"])
-    joined = placed.join(once, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__of") == F.col("__mark")))
-    joined = joined.repartitionByRange("__position", "__id").sortWithinPartitions("__position", "__id")
-    kept = joined.select(*columns, "cut_to")
-    return kept.mapInArrow(_cut, kept.schema).select(*columns)
+    once = boxed(docs, own_id=F.col("doc_id"), own_mark=mark).dropDuplicates(["own_id", "own_mark"])
+    joined = placed.join(once, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("of") == F.col("own_mark")))
+    joined = joined.repartitionByRange("position", "id").sortWithinPartitions("position", "id")
+    cut_to = "cut_to"
+    while cut_to in columns:
+        cut_to = "_" + cut_to
+    kept = unboxed(joined, columns, F.col("cut_to").alias(cut_to))
+    return kept.mapInArrow(_cut(cut_to), kept.schema).select(*[F.col(f"`{c}`") for c in columns])

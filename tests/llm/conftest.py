@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside.
-CLASHES = "size block found length sig before label place body lead print spread mark rank n shared".split()
+CLASHES = (
+    "size block found length sig before label place body lead print spread mark rank n shared "
+    "row own_id own_mark c_id c_mark __mark __id __of __position cut_to id of at start position piece"
+).split()
 
 
 def prose(rng: random.Random, words: int) -> str:
