@@ -53,26 +53,35 @@ levels AS (
   FROM weighted
   WINDOW lower AS (ORDER BY stops_at, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 target AS (
-  SELECT source, source_size,
+  SELECT source, source_size, weight,
     coalesce(least((SELECT level FROM levels WHERE level <= stops_at ORDER BY stops_at, rank LIMIT 1) * weight,
       cap::DOUBLE), cap::DOUBLE) AS target
   FROM levels),
 running AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target, floor(t.target)::BIGINT AS wanted,
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.weight, floor(t.target)::BIGINT AS wanted,
     coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.place, s.doc_id, s.size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place_at
-  FROM sized s JOIN target t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  CASE WHEN source_size > 0 THEN ((wanted // source_size) * size
-    + greatest(least(wanted % source_size - place_at, size), 0))::BIGINT ELSE 0 END AS taken
-FROM running
+  FROM sized s JOIN target t ON s.source IS NOT DISTINCT FROM t.source),
+mixed AS (
+  SELECT doc_id, size, source_size, target, place_at, 2.0::DOUBLE - 0.5::DOUBLE * weight AS start,
+    CASE WHEN source_size > 0 THEN ((wanted // source_size) * size
+      + greatest(least(wanted % source_size - place_at, size), 0))::BIGINT ELSE 0 END AS taken
+  FROM running),
+shares AS (
+  SELECT *, CASE WHEN taken > 0 THEN
+    least((place_at::DOUBLE + least(size::DOUBLE, target) / 2.0::DOUBLE) / target, 1.0::DOUBLE) END AS share
+  FROM mixed)
+SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN
+  least(share * 2.0::DOUBLE / (start + sqrt(greatest(start * start - (start - 1.0::DOUBLE) * share * 4.0::DOUBLE, 0.0::DOUBLE))),
+    1.0::DOUBLE) END AS first_position
+FROM shares
 """
 
 
 @query("op5_curriculum_mix", CURRICULUM_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = curriculum.plan(read(spark, sf_dir, "documents"))
-    return curriculum.by_position(planned).select("doc_id", "size", "source_size", "target", "taken")
+    return curriculum.by_position(planned).select("doc_id", "size", "source_size", "target", "taken", "first_position")
 
 
 @query("op9_configuration_lp_packing")
