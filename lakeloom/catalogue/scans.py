@@ -101,6 +101,10 @@ def s06(t: Tables):
     return out
 
 
+#: Customers in one multi-line document: few folders, and a document that one task can parse.
+PEOPLE_PER_DOCUMENT = 50_000
+
+
 @query("s07_json_lines", ORDERS_SQL)
 def s07(t: Tables):
     path = workspace(t.spark, "json")
@@ -110,10 +114,10 @@ def s07(t: Tables):
 
 @query("s07_json_multi_line", "SELECT c_custkey, c_name FROM customer")
 def s07b(t: Tables):
-    """One pretty-printed document per hundred customers."""
+    """Pretty-printed documents of up to ``PEOPLE_PER_DOCUMENT`` customers, a folder each."""
     path = workspace(t.spark, "json-documents")
     member = F.struct("c_custkey", "c_name")
-    documents = t.customer.groupBy(F.floor(F.col("c_custkey") / 100).alias("bucket")).agg(F.collect_list(member).alias("people"))
+    documents = t.customer.groupBy(F.floor(F.col("c_custkey") / PEOPLE_PER_DOCUMENT).alias("bucket")).agg(F.collect_list(member).alias("people"))
     documents.select("bucket", F.to_json(F.struct("people"), {"pretty": "true"}).alias("value")).write.partitionBy("bucket").text(path)
     read = files.read_json(t.spark, path, "people array<struct<c_custkey: bigint, c_name: string>>", multi_line=True)
     return read.select(F.explode("people").alias("p")).select("p.*")
