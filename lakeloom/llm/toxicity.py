@@ -9,12 +9,14 @@ spans with offsets, and a logistic function of the marginals' sum and maximum, f
 whole texts of the sampled labelled documents, gives the document's score.
 
 The sample has documents of every length; the field learns from at most ``SAMPLE_CHAINS`` chains
-of a document, chosen by a hash. A chain is at most ``CHAIN`` consecutive tokens; the chains of a batch are computed side by
-side with numpy.
-
-Defined results: NULL and empty texts get the score of a text without toxic tokens; labels
-that are NULL, contradict each other (the larger counts) or have no document are handled in
-the fit; without labels of both kinds every score is 0; NULL identifiers are scored, never
+of a document, chosen by a hash, of ``CHAIN`` consecutive tokens each. At scoring every text is one
+chain from its first token to its last: its blocks of ``CHAIN`` tokens are computed side by side
+with numpy, and the messages between neighbouring blocks are carried over as two-by-two products.
+
+Defined results: NULL and empty texts get the score of a text without toxic tokens; very long
+texts are one chain as well; labels that are NULL, contradict each other (the larger counts) or
+have no document are handled in the fit, which takes one text of a repeated identifier, the same
+at every run; without labels of both kinds every score is 0; NULL identifiers are scored, never
 learnt from; repeated rows are scored alike; an empty table gives an empty result; other
 columns are not looked at.
 """
@@ -89,19 +91,70 @@ def _chains(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(starts, np.int64), np.array(sizes, np.int64)
 
 
-def marginals(unary: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, counts: bool = False):
-    """P(toxic) of every token by forward-backward; with ``counts`` also expected tag pairs."""
+def _block_products(u: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lead: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """What each block, longest first, does to the forward message that enters it: 2 x 2 up to a factor."""
+    product = np.zeros((2, 2, len(starts)))
+    product[0, 0] = product[1, 1] = 1
+    for k in range(int(sizes[0])):
+        n = int(np.searchsorted(-sizes, -k, side="left"))
+        odds, held = u[starts[:n] + k], product[:, :, :n]
+        toxic = odds * (t[1, 1] * held[0] + t[0, 1] * held[1])
+        clean = t[1, 0] * held[0] + t[0, 0] * held[1]
+        if not k:  # a text's first token has no token before it
+            toxic, clean = np.where(lead[:n], odds, toxic), np.where(lead[:n], 1.0, clean)
+        total = toxic.sum(axis=0) + clean.sum(axis=0)
+        held[0], held[1] = toxic / total, clean / total
+    return product
+
+
+def _carried(product: np.ndarray, first: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ratios of the messages that enter each block from the left and from the right.
+
+    ``first`` is each text's first block and ``blocks`` how many it has; block by block, all texts at once.
+    """
+    left, right = np.ones(product.shape[2]), np.ones(product.shape[2])
+    order = np.argsort(-blocks, kind="stable")
+    first, blocks = first[order], blocks[order]
+    steps = range(1, int(blocks.max(initial=0)))
+    for k in steps:
+        at = first[: int(np.searchsorted(-blocks, -k, side="left"))] + k
+        (a, b), (c, d) = product[:, :, at - 1]
+        left[at] = (a * left[at - 1] + b) / (c * left[at - 1] + d)
+    for k in reversed(steps):
+        at = first[: int(np.searchsorted(-blocks, -k, side="left"))] + k
+        (a, b), (c, d) = product[:, :, at]
+        right[at - 1] = (a * right[at] + c) / (b * right[at] + d)
+    return left, right
+
+
+def marginals(unary: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, counts: bool = False, whole: bool = False):
+    """P(toxic) of every token by forward-backward; with ``counts`` also expected tag pairs.
+
+    Chains are cut at ``CHAIN`` tokens, or with ``whole`` are texts.
+    """
     starts, sizes = _chains(lengths)
     result = np.empty(len(unary))
     if not len(starts):
         return (result, np.zeros((2, 2))) if counts else result
     order = np.argsort(-sizes, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
     starts, sizes = starts[order], sizes[order]
     longest = int(sizes[0])
     alive = np.searchsorted(-sizes, -np.arange(longest), side="left")
     # Messages as toxic-to-clean ratios; unary scores are bounded, so they cannot overflow.
     t = np.exp(pairs)
     u = np.exp(np.clip(unary, -25, 25))
+    enter, leave = np.ones(len(starts)), np.ones(len(starts))
+    if whole and (lengths > CHAIN).any():
+        blocks = -(-lengths // CHAIN)
+        blocks = blocks[blocks > 0]
+        first = np.cumsum(blocks) - blocks
+        lead = np.zeros(len(starts), bool)
+        lead[place[first]] = True
+        left, right = _carried(_block_products(u, starts, sizes, lead, t)[:, :, place], first, blocks)
+        left, leave = left[order], right[order]
+        enter = np.where(lead, 1.0, (t[0, 1] + left * t[1, 1]) / (t[0, 0] + left * t[1, 0]))
     ahead = np.ones((longest, len(starts)))
     behind = np.ones((longest, len(starts)))
     odds = np.ones((longest, len(starts)))
@@ -112,7 +165,8 @@ def marginals(unary: np.ndarray, lengths: np.ndarray, pairs: np.ndarray, counts:
             r = ahead[k - 1, :n]
             ahead[k, :n] = odds[k, :n] * (t[0, 1] + r * t[1, 1]) / (t[0, 0] + r * t[1, 0])
         else:
-            ahead[0] = odds[0]
+            ahead[0] = odds[0] * enter
+    behind[sizes - 1, np.arange(len(sizes))] = leave
     for k in range(longest - 2, -1, -1):
         n = alive[k + 1]
         r = odds[k + 1, :n] * behind[k + 1, :n]
@@ -240,8 +294,11 @@ def sample_labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame | Non
     # About SAMPLE_DOCUMENTS rows of 12 bytes for each label, whatever the tables' sizes.
     chosen = known.where(place < share).select(F.col("doc_id").alias("of"), "label")
     texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
-    texts = texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "label").dropDuplicates(["doc_id"])
-    return stage(texts, "toxicity-sample"), prior
+    # Of texts with one identifier always the same one is taken, whatever the order of rows.
+    one = texts.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
+        F.min(F.struct(F.xxhash64("text").alias("place"), "text")).alias("one"), F.max("label").alias("label")
+    )
+    return stage(one.select("doc_id", "one.text", "label"), "toxicity-sample"), prior
 
 
 class _Unary(dict):
@@ -292,7 +349,7 @@ def _summaries(field, key: str):
             out = []
             for text in batch.column(1).to_pylist():
                 found = tokens(text)
-                p = marginals(np.array([_unary[w] for w in found], float), np.array([len(found)]), pairs)
+                p = marginals(np.array([_unary[w] for w in found], float), np.array([len(found)]), pairs, whole=True)
                 out.append(_summary(p, np.array([len(found)]))[0])
             x = np.array(out).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(x[:, 1]), pa.array(x[:, 2])], names=["label", "total", "largest"])
@@ -316,7 +373,7 @@ def _scored(texts: list[str | None], field: Model | None, key: str) -> tuple[np.
         found = [tokens(t) for t in texts[at:end]]
         lengths = np.array([len(f) for f in found])
         values = np.fromiter((_unary[w] for f in found for w in f), float, int(lengths.sum()))
-        p = marginals(values, lengths, field.pairs)
+        p = marginals(values, lengths, field.pairs, whole=True)
         scores[at:end] = 1 / (1 + np.exp(-_summary(p, lengths) @ field.document))
         first = np.cumsum(lengths) - lengths
         owners = np.repeat(np.arange(len(found)), lengths)

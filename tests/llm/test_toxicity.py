@@ -30,6 +30,29 @@ def test_marginals_against_enumeration():
         at += n
 
 
+@pytest.mark.parametrize("chain", [1, 2, 3, 64])
+def test_texts_are_whole_chains(monkeypatch, chain):
+    monkeypatch.setattr(toxicity, "CHAIN", chain)
+    lengths = np.array([0, 3, 10, 1, 0, 7, 12, 2, 4])
+    unary, pairs = RNG.normal(0, 2, int(lengths.sum())), RNG.normal(0, 2, (2, 2))
+    p = toxicity.marginals(unary, lengths, pairs, whole=True)
+    at = 0
+    for n in lengths:
+        if n:
+            assert p[at : at + n] == pytest.approx(enumerated(unary[at : at + n], pairs))
+        at += n
+
+
+def test_blocks_of_a_long_text_agree_with_one_long_chain(monkeypatch):
+    lengths = np.array([5000, 64, 65, 128, 1])
+    unary, pairs = RNG.normal(0, 8, int(lengths.sum())), np.array([[6.0, -6.0], [-5.0, 6.0]])
+    blocks = toxicity.marginals(unary, lengths, pairs, whole=True)
+    cut = toxicity.marginals(unary, lengths, pairs)
+    monkeypatch.setattr(toxicity, "CHAIN", 10_000)
+    assert blocks == pytest.approx(toxicity.marginals(unary, lengths, pairs))
+    assert blocks != pytest.approx(cut)
+
+
 def test_expected_pairs_sum_to_the_links_of_all_chains():
     lengths = np.array([toxicity.CHAIN * 2 + 5, 1, 0, 9])
     unary = RNG.normal(0, 1, int(lengths.sum()))
