@@ -30,13 +30,45 @@ def test_parse_is_the_greedy_longest_match_parse():
             assert row.tolist() == [phrases(t, samples["x"]), phrases(t, samples["y"])]
 
 
-def test_long_texts_are_parsed_in_pieces():
-    parser = language.CrossParser({"x": "abcab", "y": "zzz"})
-    counts, characters = parser.parse(["ab" * 1000, "ab" * language.BATCH_CHARS])
-    assert characters.tolist() == [2000, 2 * language.BATCH_CHARS]
-    pieces = [("ab" * 1000)[i : i + language.PIECE] for i in range(0, 2000, language.PIECE)]
-    assert counts[0, 0] == sum(phrases(p, "abcab") for p in pieces)
-    assert counts[1, 1] >= 2 * language.BATCH_CHARS
+def automaton(parser, name):
+    return parser.automata[parser.languages.index(name)]
+
+
+@pytest.mark.parametrize("dense", [2, 1000])
+@pytest.mark.parametrize("piece", [1, 3, 256])
+def test_phrases_go_over_the_borders_of_pieces(monkeypatch, piece, dense):
+    monkeypatch.setattr(language, "PIECE", piece)
+    monkeypatch.setattr(language, "DENSE_SYMBOLS", dense)
+    rng = np.random.default_rng(piece)
+    samples = {name: "".join(rng.choice(list(letters), 300)) for name, letters in (("x", "abc"), ("y", "abcd "), ("z", "pq"))}
+    samples = {name: language.normalised(s) for name, s in samples.items()}
+    parser = language.CrossParser(samples)
+    assert (automaton(parser, "x").table is None) == (dense == 2)
+    texts = [language.normalised("".join(rng.choice(list("aaabbcdpqr "), int(n)))) for n in rng.integers(1, 700, 40)]
+    texts += [samples["x"][5:290], "ab" * 400, samples["y"] + samples["x"]]
+    counts, _ = parser.parse(texts)
+    for t, row in zip(texts, counts):
+        assert row.tolist() == [phrases(t, samples[name]) for name in "xyz"]
+
+
+def test_stretches_of_a_very_long_text_go_on(monkeypatch):
+    monkeypatch.setattr(language, "BATCH_CHARS", 600)
+    rng = np.random.default_rng(2)
+    samples = {"x": "".join(rng.choice(list("abc"), 300)), "y": "".join(rng.choice(list("abd"), 300))}
+    texts = ["".join(rng.choice(list("abcd"), n)) for n in (5000, 10, 1200, 601, 599)]
+    counts, characters = language.CrossParser(samples).parse(texts)
+    assert characters.tolist() == [len(t) for t in texts]
+    assert counts.tolist() == [[phrases(t, samples["x"]), phrases(t, samples["y"])] for t in texts]
+
+
+def test_many_characters_in_one_language_do_not_widen_the_others():
+    rng = np.random.default_rng(1)
+    wide = "".join(chr(0x4E00 + int(i)) for i in rng.integers(0, 1670, 5000))
+    parser = language.CrossParser({"wide": wide, "x": "abcab"})
+    assert automaton(parser, "x").width == 6  # three letters, space, unseen, fill
+    assert automaton(parser, "wide").table is None
+    counts, _ = parser.parse([wide[100:400], "abc" + wide[:3]])
+    assert counts.tolist() == [[1, 300], [phrases("abc" + wide[:3], wide), 4]]
 
 
 def test_automaton_reads_exactly_the_substrings():
@@ -81,3 +113,9 @@ def test_sample_is_bounded(spark):
     rows = spark.range(3000).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 50) AS text", "'en' AS lang")
     found = language.samples(rows, sample_chars=5000, document_chars=200)
     assert 4500 <= len(found["en"]) <= 5001 + 200
+
+
+def test_the_languages_with_the_most_text_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    rows = spark.range(60).selectExpr("id AS doc_id", "repeat('word ', int(id % 3 + 1)) AS text", "concat('l', id % 3) AS lang")
+    assert set(language.samples(rows)) == {"l1", "l2"}
