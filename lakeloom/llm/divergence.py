@@ -1,7 +1,7 @@
 """Document quality by distribution divergence, in DataFrame functions only.
 
 For every language the whole corpus gives two reference histograms: classes of characters,
-and the language's most common short words against all other words. A document is kept when
+and the language's most common words, of any length, against all other words. A document is kept when
 the Jensen-Shannon distances of its own histograms from those of its language stay below two
 limits. Texts too short for a histogram are not judged by it (the length guards). Before
 that, base rules reject very short and very repetitive texts.
@@ -44,17 +44,15 @@ class Limits:
     common_words: float = 0.365
     min_characters: int = 200
     min_words: int = 50
-    #: Words of up to so many characters may count as common, and so many of them do.
-    common_length: int = 4
+    #: So many words count as common.
     common_count: int = 24
     #: Languages up to which the references are broadcast (about 2 kB each).
     broadcast_languages: int = 2000
 
 
-def _short_words(text: Column, longest: int) -> Column:
-    """Runs of at most ``longest`` letters, in lower case."""
-    short = F.regexp_replace(F.lower(text), rf"\p{{L}}{{{longest + 1},}}", "")
-    return F.array_remove(F.split(short, r"[^\p{L}]+"), "")
+def _letter_words(text: Column) -> Column:
+    """Runs of letters, in lower case."""
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "")
 
 
 def _distance(p: Column, q: Column) -> Column:
@@ -90,7 +88,7 @@ def _repeated_words(windows: Column) -> Column:
 
 
 def features(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """One row per document: the base counts, the character classes and the short words."""
+    """One row per document: the base counts, the character classes and the words of letters."""
     text = F.col("body")
     rows = docs.select("doc_id", F.col("lang").alias("language"), F.coalesce("text", F.lit("")).alias("body"))
     rows = rows.select(
@@ -101,7 +99,7 @@ def features(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         F.length(F.replace(text, F.lit(" "), F.lit(""))).alias("not_space"),
         F.regexp_replace(text, MOST, "").alias("left"),
         F.filter(F.split(text, "\n"), lambda s: s.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
-        _short_words(text, limits.common_length).alias("short"),
+        _letter_words(text).alias("spoken"),
     )
 
     def without(pattern: str) -> Column:
@@ -112,7 +110,7 @@ def features(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         "doc_id",
         "language",
         "n_chars",
-        "short",
+        "spoken",
         gaps.alias("gaps"),
         (F.col("n_chars") - F.col("not_space")).alias("blanks"),
         F.array(*[without(p) for p in CHARACTER_CLASSES.values()]).alias("some"),
@@ -138,7 +136,7 @@ def features(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         "doc_id",
         "language",
         "n_chars",
-        "short",
+        "spoken",
         "n_words",
         (F.col("n_chars") - F.col("gaps")).alias("word_chars"),
         F.col("some")[list(CHARACTER_CLASSES).index("symbol")].alias("n_symbols"),
@@ -151,14 +149,14 @@ def features(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def references(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row per language from the features of all documents.
 
-    ``ref_characters`` are its character classes, ``ref_common`` its most common short words
+    ``ref_characters`` are its character classes, ``ref_common`` its most common words
     and ``ref_counts`` their counts and the count of all other words.
     """
     bins = len(CHARACTER_CLASSES) + 3
     totals = rows.groupBy(F.col("language").alias("of")).agg(
         F.array(*[F.sum(F.col("classes")[i]) for i in range(bins)]).alias("ref_characters"), F.sum("n_words").alias("all_words")
     )
-    per_word = rows.select("language", F.explode("short").alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
+    per_word = rows.select("language", F.explode("spoken").alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
     ranked = per_word.withColumn("r", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "word")))
     common = (
         ranked.where(F.col("r") <= limits.common_count)
@@ -187,7 +185,7 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     rows = join_bounded(rows, known, F.col("language").eqNullSafe(F.col("of")), limits.broadcast_languages)
     own = F.element_at(
         F.transform(
-            F.array(F.col("short")),
+            F.array(F.col("spoken")),
             lambda s: F.transform(F.col("ref_common"), lambda w: (F.size(s) - F.size(F.array_remove(s, w))).cast("bigint")),
         ),
         1,

@@ -180,7 +180,7 @@ class CrossParser:
 
     def _pieces(self, text: str) -> Iterator[np.ndarray]:
         """Symbols of the normalised text, in long stretches."""
-        spaced = False
+        spaced = True
         for at in range(0, len(text), BATCH_CHARS):
             symbols = self.symbol[_code_points(text[at : at + BATCH_CHARS].lower())]
             space = symbols == _SPACE

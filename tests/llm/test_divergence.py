@@ -51,3 +51,13 @@ def test_no_python_runs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = divergence.features(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_common_words_have_any_length(spark):
+    long = "gewissermassen niemals vollkommen"
+    docs = spark.createDataFrame([(i, f"{long} " * 30 + f"eigenwort{'abcdefghij'[i % 10]}", "de") for i in range(30)] + [(99, "anders " * 91, "de")], "doc_id long, text string, lang string")
+    (known,) = divergence.references(divergence.features(docs)).collect()
+    assert known.ref_common[:4] == ["gewissermassen", "niemals", "vollkommen", "anders"]
+    assert list(known.ref_counts[:4]) == [900, 900, 900, 91] and known.ref_counts[-1] == 0
+    rows = {r.doc_id: r.word_distance for r in divergence.judge(docs).collect()}
+    assert rows[0] < 0.2 and rows[99] > 0.8
