@@ -146,23 +146,27 @@ def features(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     )
 
 
-def references(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """One row per language from the features of all documents.
-
-    ``ref_characters`` are its character classes, ``ref_common`` its most common words
-    and ``ref_counts`` their counts and the count of all other words.
-    """
-    bins = len(CHARACTER_CLASSES) + 3
-    totals = rows.groupBy(F.col("language").alias("of")).agg(
-        F.array(*[F.sum(F.col("classes")[i]) for i in range(bins)]).alias("ref_characters"), F.sum("n_words").alias("all_words")
-    )
+def common_words(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One row per language with words, from the features of all documents: ``top`` and ``top_words``, their sum."""
     per_word = rows.select("language", F.explode("spoken").alias("word")).groupBy("language", "word").agg(F.count("*").alias("n"))
     ranked = per_word.withColumn("r", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("n"), "word")))
-    common = (
+    return (
         ranked.where(F.col("r") <= limits.common_count)
         .groupBy(F.col("language").alias("l"))
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("k"), "word", "n"))).alias("top"), F.sum("n").alias("top_words"))
     )
+
+
+def references(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """One row per language from the features of all documents and its common words.
+
+    ``ref_characters`` are its character classes, ``ref_counts`` the counts of its most common
+    words and the count of all other words.
+    """
+    bins = len(CHARACTER_CLASSES) + 3
+    totals = rows.groupBy(F.col("language").alias("of")).agg(
+        F.array(*[F.sum(F.col("classes")[i]) for i in range(bins)]).alias("ref_characters"), F.sum("n_words").alias("all_words")
+    )
     joined = totals.join(common, F.col("of").eqNullSafe(F.col("l")), "left")
     counts = F.coalesce(F.col("top.n"), F.array().cast("array<bigint>"))
     others = F.greatest(F.col("all_words") - F.coalesce("top_words", F.lit(0)), F.lit(0))
@@ -178,19 +182,24 @@ def judge(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row per document with the base counts, both distances and the verdict.
 
     Returns ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, kept, character_distance, word_distance``. Texts are read once.
+    base_failed, kept, character_distance, word_distance``. Texts are read twice: for the common words, and for all else.
     """
-    rows = stage(features(docs, limits), "features")
-    known = stage(references(rows, limits), "references")
-    rows = join_bounded(rows, known, F.col("language").eqNullSafe(F.col("of")), limits.broadcast_languages)
+    rows = features(docs, limits)
+    common = stage(common_words(rows, limits), "common-words")
+    named = common.select("l", F.col("top.word").alias("names"))
+    rows = join_bounded(rows, named, F.col("language").eqNullSafe(F.col("l")), limits.broadcast_languages)
+    names = F.coalesce("names", F.array().cast("array<string>"))
     own = F.element_at(
         F.transform(
             F.array(F.col("spoken")),
-            lambda s: F.transform(F.col("ref_common"), lambda w: (F.size(s) - F.size(F.array_remove(s, w))).cast("bigint")),
+            lambda s: F.transform(names, lambda w: (F.size(s) - F.size(F.array_remove(s, w))).cast("bigint")),
         ),
         1,
     )
-    rows = rows.withColumn("own", own)
+    # Words stay where they are counted: what is written has numbers only.
+    rows = stage(rows.withColumn("own", own).drop("spoken", "l", "names"), "features")
+    known = stage(references(rows, common), "references")
+    rows = join_bounded(rows, known, F.col("language").eqNullSafe(F.col("of")), limits.broadcast_languages)
     own_total = F.aggregate("own", F.lit(0).cast("bigint"), lambda a, b: a + b)
     rows = rows.withColumn("own", F.array_append("own", F.greatest(F.col("n_words") - own_total, F.lit(0))))
     rows = rows.select(

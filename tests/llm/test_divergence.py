@@ -56,7 +56,8 @@ def test_no_python_runs(spark):
 def test_common_words_have_any_length(spark):
     long = "gewissermassen niemals vollkommen"
     docs = spark.createDataFrame([(i, f"{long} " * 30 + f"eigenwort{'abcdefghij'[i % 10]}", "de") for i in range(30)] + [(99, "anders " * 91, "de")], "doc_id long, text string, lang string")
-    (known,) = divergence.references(divergence.features(docs)).collect()
+    rows = divergence.features(docs)
+    (known,) = divergence.references(rows, divergence.common_words(rows)).collect()
     assert known.ref_common[:4] == ["gewissermassen", "niemals", "vollkommen", "anders"]
     assert list(known.ref_counts[:4]) == [900, 900, 900, 91] and known.ref_counts[-1] == 0
     rows = {r.doc_id: r.word_distance for r in divergence.judge(docs).collect()}
