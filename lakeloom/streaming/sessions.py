@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -16,21 +17,6 @@ OUTPUT = (
 STATE = "sessions string"
 
 
-def merge_runs(open_sessions: list[list], events: pd.DataFrame, gap: int) -> list[list]:
-    """Add a batch of events (``at``, ``amount``) to ``[start, last, count, total]`` sessions.
-
-    Independent of the order in which batches arrive. A pause of ``gap`` or more ends a
-    session, as in Spark's own session windows.
-    """
-    events = events.sort_values("at", kind="stable")
-    run = (events["at"].diff() >= gap).cumsum()
-    runs = events.groupby(run).agg(
-        start=("at", "min"), last=("at", "max"), count=("at", "size"), total=("amount", "sum")
-    )
-    found = [[int(a), int(b), int(n), float(t)] for a, b, n, t in runs.itertuples(index=False)]
-    return join_pieces([*open_sessions, *found], gap)
-
-
 def join_pieces(pieces: list[list], gap: int) -> list[list]:
     """Unite ``[start, last, count, total]`` pieces that are less than ``gap`` apart."""
     merged: list[list] = []
@@ -47,28 +33,38 @@ FRAGMENT = (
     "customer_id string, start_us bigint, last_us bigint, events bigint, amount double, "
     "last_at timestamp"
 )
+PIECE = ("start_us", "last_us", "events", "amount")
+MOST_PIECES = 10_000
 
 
 def fragments(batches: Iterator[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
-    """Shrink each Arrow batch to pieces of sessions, before anything is shuffled."""
+    """Shrink each Arrow batch to pieces of sessions, before anything is shuffled.
+
+    A pause of ``gap`` or more ends a session, as in Spark's own session windows. All
+    customers of a batch are cut in one go, since most have few events in it.
+    """
     for pdf in batches:
-        pieces = [
-            (customer, *piece)
-            for customer, own in as_micros(pdf).groupby("customer_id", sort=False)
-            for piece in merge_runs([], own, gap)
-        ]
-        out = pd.DataFrame(pieces, columns=["customer_id", "start_us", "last_us", "events", "amount"])
+        at = pdf["event_timestamp"].astype("datetime64[us]").astype("int64").to_numpy()
+        customer, names = pd.factorize(pdf["customer_id"])
+        order = np.lexsort((at, customer))
+        at, customer = at[order], customer[order]
+        begins = np.ones(len(at), dtype=bool)
+        begins[1:] = (np.diff(customer) != 0) | (np.diff(at) >= gap)
+        first = np.flatnonzero(begins)
+        last = np.append(first[1:], len(at))[: len(first)] - 1
+        out = pd.DataFrame(
+            {
+                "customer_id": names.take(customer[first]),
+                "start_us": at[first],
+                "last_us": at[last],
+                "events": last - first + 1,
+                "amount": np.add.reduceat(pdf["amount"].fillna(0.0).to_numpy()[order], first),
+            }
+        )
         out["last_at"] = pd.to_datetime(out["last_us"], unit="us")
         yield out
 
 
-def as_micros(pdf: pd.DataFrame) -> pd.DataFrame:
-    at = pdf["event_timestamp"].astype("datetime64[us]").astype("int64")
-    return pd.DataFrame(
-        {"customer_id": pdf["customer_id"], "at": at, "amount": pdf["amount"].fillna(0.0)}
-    )
-
-
 def track_sessions(stream: DataFrame, delay: str, gap_minutes: int = 30) -> DataFrame:
     """ACTIVE rows for open sessions that changed and a TIMED_OUT row when one ends.
 
@@ -89,9 +85,12 @@ def track_sessions(stream: DataFrame, delay: str, gap_minutes: int = 30) -> Data
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         sessions = json.loads(state.get[0]) if state.exists else []
         if not state.hasTimedOut:
+            found: list[tuple] = []
             for pdf in batches:
-                found = pdf[["start_us", "last_us", "events", "amount"]].itertuples(index=False)
-                sessions = join_pieces([*sessions, *[[int(a), int(b), int(n), float(x)] for a, b, n, x in found]], gap)
+                found += zip(*(pdf[c].tolist() for c in PIECE), strict=True)
+                if len(found) > max(MOST_PIECES, len(sessions)):
+                    sessions, found = join_pieces([*sessions, *map(list, found)], gap), []
+            sessions = join_pieces([*sessions, *map(list, found)], gap)
         now = state.getCurrentWatermarkMs() * 1000
         ended = [s for s in sessions if s[1] + gap <= now]
         still_open = [s for s in sessions if s[1] + gap > now]
@@ -101,15 +100,18 @@ def track_sessions(stream: DataFrame, delay: str, gap_minutes: int = 30) -> Data
         elif state.exists:
             state.remove()
         active = [] if state.hasTimedOut else still_open
-        rows = [(key[0], *s, "TIMED_OUT") for s in ended] + [(key[0], *s, "ACTIVE") for s in active]
-        if rows:
-            out = pd.DataFrame(
-                rows,
-                columns=["customer_id", "session_start", "last_event_time", "event_count", "total_amount", "session_status"],
+        if ended or active:
+            start, last, count, total = zip(*ended, *active, strict=True)
+            yield pd.DataFrame(
+                {
+                    "customer_id": key[0],
+                    "session_start": np.array(start, dtype="datetime64[us]"),
+                    "last_event_time": np.array(last, dtype="datetime64[us]"),
+                    "event_count": count,
+                    "total_amount": total,
+                    "session_status": ["TIMED_OUT"] * len(ended) + ["ACTIVE"] * len(active),
+                }
             )
-            for c in ("session_start", "last_event_time"):
-                out[c] = pd.to_datetime(out[c], unit="us")
-            yield out
 
     return pieces.groupBy("customer_id").applyInPandasWithState(
         update, OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout

@@ -1,7 +1,10 @@
 """Handlers of streams: stored schemas, upserted tables, hot keys."""
 
 import json
+import random
+import time
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql import types as T
 
 from lakeloom.session import workspace
 from lakeloom.sources.landing import RESCUED
-from lakeloom.streaming import joins, keyed, schemas
+from lakeloom.streaming import joins, keyed, schemas, sessions
 
 START = T.StructType().add("id", T.LongType())
 
@@ -165,3 +168,41 @@ def test_hot_key_is_dealt_over_all_partitions(spark):
     finally:
         for name, value in keep.items():
             spark.conf.set(name, value)
+
+
+def pieces_of(events, gap):
+    """The sessions of ``(customer, micros, amount)`` events, one customer after the other."""
+    found = {}
+    for customer, at, amount in sorted(events, key=lambda e: e[:2]):
+        own = found.setdefault(customer, [])
+        if own and at - own[-1][1] < gap:
+            own[-1] = [own[-1][0], at, own[-1][2] + 1, own[-1][3] + amount]
+        else:
+            own.append([at, at, 1, amount])
+    return sorted((c, *p) for c, own in found.items() for p in own)
+
+
+def as_events(events):
+    customers, at, amounts = zip(*events, strict=True) if events else ((), (), ())
+    return pd.DataFrame(
+        {"customer_id": pd.Series(customers, dtype=object), "event_timestamp": pd.to_datetime(pd.Series(at, dtype="int64"), unit="us"), "amount": pd.Series(amounts, dtype=float)}
+    )
+
+
+def test_pieces_of_sessions(spark):
+    made = random.Random(5)
+    events = [(f"c{made.randrange(40)}", made.randrange(3000), float(made.randrange(9))) for _ in range(900)]
+    batches = [events[:1], events[1:500], [], events[500:]]
+    out = list(sessions.fragments(iter(map(as_events, batches)), 25))
+    got = [sorted(map(tuple, pdf[["customer_id", "start_us", "last_us", "events", "amount"]].to_numpy().tolist())) for pdf in out]
+    assert got == [pieces_of(b, 25) for b in batches]
+    assert all((pdf["last_at"] == pd.to_datetime(pdf["last_us"], unit="us")).all() for pdf in out)
+    unknown = as_events([("a", 1, 2.0), ("a", 2, float("nan"))])
+    assert next(sessions.fragments(iter([unknown]), 25))["amount"].tolist() == [2.0]
+
+
+def test_pieces_of_many_customers_take_no_time_each(spark):
+    batch = as_events([(f"c{i}", 7 * i, 1.0) for i in range(30_000)])
+    began = time.perf_counter()
+    assert sum(map(len, sessions.fragments(iter([batch]), 25))) == 30_000
+    assert time.perf_counter() - began < 8
