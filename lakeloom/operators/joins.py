@@ -118,6 +118,9 @@ def as_of_join(
     key with very many versions is matched slice by slice instead of version by version.
     Everything beyond ``horizon`` (a date) shares the last slice, which keeps open-ended
     versions finite and the result exact.
+
+    History is broadcast only if it is small when measured, and never in slices: what it is
+    made of, such as an explode, has rows that Spark's own estimate does not see.
     """
     renamed = history.select(
         F.col(key).alias("_h_key"),
@@ -131,7 +134,9 @@ def as_of_join(
         & (F.col(key) == F.col("_h_key"))
     )
     if slice_days is None:
-        return facts.join(renamed, inside, "left").drop("_h_key", "_h_from", "_h_to")
+        measured = broadcast_if_small(renamed)
+        versions = measured if measured is not renamed else renamed.hint("merge")
+        return facts.join(versions, inside, "left").drop("_h_key", "_h_from", "_h_to")
     if horizon is None:
         raise ValueError("slicing needs a horizon")
 
@@ -148,5 +153,6 @@ def as_of_join(
             )
         ),
     )
-    matched = sliced_facts.join(sliced, inside & (F.col("_slice") == F.col("_h_slice")), "left")
+    same_slice = F.col("_slice") == F.col("_h_slice")
+    matched = sliced_facts.join(sliced.hint("merge"), inside & same_slice, "left")
     return matched.drop("_h_key", "_h_from", "_h_to", "_h_slice", "_slice")
