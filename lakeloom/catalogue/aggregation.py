@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.catalogue.registry import DIRTY, TXN, Tables, query
 from lakeloom.operators import aggregates
-from lakeloom.operators.ordered import exact_percentiles
+from lakeloom.operators.ordered import attach, exact_percentiles
 
 
 @query(
@@ -37,10 +37,13 @@ def a02(t: Tables):
     "SELECT event_type, TRUE AS within_bound FROM events GROUP BY event_type",
 )
 def a03(t: Tables):
-    """The sketch against the exact count: the error stays within four times its rsd."""
-    both = t.events.groupBy("event_type").agg(
-        F.approx_count_distinct("event_id", 0.02).alias("approx"), F.countDistinct("event_id").alias("exact")
-    )
+    """The sketch against the exact count: the error stays within four times its rsd.
+
+    Two aggregates: in a single one, Spark would keep a sketch of 3 KB for each event identifier.
+    """
+    by_type = t.events.groupBy("event_type")
+    sketch = by_type.agg(F.approx_count_distinct("event_id", 0.02).alias("approx"))
+    both = attach(sketch, by_type.agg(F.countDistinct("event_id").alias("exact")), ["event_type"])
     error = F.abs(F.col("approx") - F.col("exact")) / F.col("exact")
     return both.select("event_type", (error <= 0.08).alias("within_bound"))
 

@@ -95,3 +95,14 @@ def test_no_local_checkpoint_or_rdd_in_the_library():
 
 def test_written_tables_go_to_the_shared_folder(spark):
     assert workspace(spark, "x").startswith(spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:").rsplit("/", 1)[0])
+
+
+def test_sketch_is_not_kept_for_each_identifier(spark):
+    """Beside a distinct count, Spark groups all other aggregates by the counted column too."""
+    folder = workspace(spark, "sketch")
+    ids = spark.range(3_000).selectExpr("id % 2000 AS event_id", "IF(id % 4 = 0, NULL, CAST(id % 3 AS STRING)) AS event_type")
+    ids.write.parquet(f"{folder}/events.parquet")
+    df = ENTRIES["a03_approx_count_distinct"].build(Tables(spark, folder))
+    keyed = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "event_id#" in x.split("functions=")[0] and "Aggregate" in x]
+    assert keyed and not any("approx_count_distinct" in x for x in keyed)
+    assert sorted(map(str, df.collect())) == sorted(f"Row(event_type={t!r}, within_bound=True)" for t in ("0", "1", "2", None))
