@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT = (
@@ -33,8 +34,7 @@ FRAGMENT = (
     "customer_id string, start_us bigint, last_us bigint, events bigint, amount double, "
     "last_at timestamp"
 )
-PIECE = ("start_us", "last_us", "events", "amount")
-MOST_PIECES = 10_000
+PIECE = ("customer_id", "start_us", "last_us", "events", "amount")
 
 
 def fragments(batches: Iterator[pd.DataFrame], gap: int) -> Iterator[pd.DataFrame]:
@@ -65,14 +65,34 @@ def fragments(batches: Iterator[pd.DataFrame], gap: int) -> Iterator[pd.DataFram
         yield out
 
 
-def track_sessions(stream: DataFrame, delay: str, gap_minutes: int = 30) -> DataFrame:
+def by_customer(batches: Iterator[pd.DataFrame]) -> Iterator[dict[str, list[list]]]:
+    """The pieces of each customer, handed on when there are more than ever before, so that
+    sessions of a busy customer are not joined anew for every Arrow batch."""
+    found: dict[str, list[list]] = {}
+    held, most = 0, 10_000
+    for pdf in batches:
+        for customer, *piece in zip(*(pdf[c].tolist() for c in PIECE), strict=True):
+            found.setdefault(customer, []).append(piece)
+        held += len(pdf)
+        if held > most:
+            yield found
+            found, held, most = {}, 0, 2 * most
+    if found:
+        yield found
+
+
+def track_sessions(stream: DataFrame, delay: str, gap_minutes: int = 30, slots: int = 4096) -> DataFrame:
     """ACTIVE rows for open sessions that changed and a TIMED_OUT row when one ends.
 
     ``stream`` has ``customer_id string, event_timestamp timestamp, amount double``. A
     session ends when the watermark, ``delay`` behind the newest event, passes its last
     event by the gap. Every task first folds its events into pieces of sessions, so a very
-    busy customer sends a few rows through the shuffle, and state is one small record per
-    open session. A piece is late when its last event is.
+    busy customer sends a few rows through the shuffle. A piece is late when its last event is.
+
+    Python is called, and keeps one state record, for each of ``slots`` hashed groups of
+    customers: a call for each customer would cost more than its events. A record holds the
+    open sessions of some customers, so take more slots for very many of them; a checkpoint
+    keeps the number it began with.
     """
     gap = gap_minutes * 60_000_000
     pieces = (
@@ -80,31 +100,35 @@ def track_sessions(stream: DataFrame, delay: str, gap_minutes: int = 30) -> Data
         .select("customer_id", "event_timestamp", "amount")
         .mapInPandas(lambda batches: fragments(batches, gap), FRAGMENT)
         .withWatermark("last_at", delay)
+        .withColumn("slot", F.pmod(F.xxhash64("customer_id"), F.lit(slots)))
     )
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        sessions = json.loads(state.get[0]) if state.exists else []
+        sessions = json.loads(state.get[0]) if state.exists else {}
+        changed = set()
         if not state.hasTimedOut:
-            found: list[tuple] = []
-            for pdf in batches:
-                found += zip(*(pdf[c].tolist() for c in PIECE), strict=True)
-                if len(found) > max(MOST_PIECES, len(sessions)):
-                    sessions, found = join_pieces([*sessions, *map(list, found)], gap), []
-            sessions = join_pieces([*sessions, *map(list, found)], gap)
+            for found in by_customer(batches):
+                for customer, own in found.items():
+                    sessions[customer] = join_pieces([*sessions.get(customer, []), *own], gap)
+                changed.update(found)
         now = state.getCurrentWatermarkMs() * 1000
-        ended = [s for s in sessions if s[1] + gap <= now]
-        still_open = [s for s in sessions if s[1] + gap > now]
+        ended, active, still_open = [], [], {}
+        for customer, own in sessions.items():
+            ended += [(customer, *s) for s in own if s[1] + gap <= now]
+            if left := [s for s in own if s[1] + gap > now]:
+                still_open[customer] = left
+                active += [(customer, *s) for s in left] if customer in changed else []
         if still_open:
             state.update((json.dumps(still_open),))
-            state.setTimeoutTimestamp((min(s[1] for s in still_open) + gap) // 1000 + 1)
+            # sessions of a customer lie in order, so the first one ends first
+            state.setTimeoutTimestamp((min(own[0][1] for own in still_open.values()) + gap) // 1000 + 1)
         elif state.exists:
             state.remove()
-        active = [] if state.hasTimedOut else still_open
         if ended or active:
-            start, last, count, total = zip(*ended, *active, strict=True)
+            customer, start, last, count, total = zip(*ended, *active, strict=True)
             yield pd.DataFrame(
                 {
-                    "customer_id": key[0],
+                    "customer_id": customer,
                     "session_start": np.array(start, dtype="datetime64[us]"),
                     "last_event_time": np.array(last, dtype="datetime64[us]"),
                     "event_count": count,
@@ -113,6 +137,6 @@ def track_sessions(stream: DataFrame, delay: str, gap_minutes: int = 30) -> Data
                 }
             )
 
-    return pieces.groupBy("customer_id").applyInPandasWithState(
+    return pieces.groupBy("slot").applyInPandasWithState(
         update, OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout
     )

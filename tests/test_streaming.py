@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.session import workspace
-from lakeloom.sources.landing import RESCUED
+from lakeloom.sources.landing import RESCUED, file_stream
 from lakeloom.streaming import joins, keyed, schemas, sessions
+from lakeloom.streaming.batches import append_handler
+from lakeloom.streaming.run import drain, start_batches
 
 START = T.StructType().add("id", T.LongType())
 
@@ -206,3 +208,39 @@ def test_pieces_of_many_customers_take_no_time_each(spark):
     began = time.perf_counter()
     assert sum(map(len, sessions.fragments(iter([batch]), 25))) == 30_000
     assert time.perf_counter() - began < 8
+
+
+@pytest.mark.parametrize("slots", [1, 2, 4096])
+def test_customers_of_a_slot_keep_their_own_sessions(spark, slots):
+    """Three batches, the second without ``b``: only customers with new events are reported as active."""
+    path = workspace(spark, "slots")
+    schema = "customer_id string, event_timestamp timestamp, amount double"
+    parts = [
+        [("a", 0, 1.0), ("a", 20, 2.0), ("b", 5, 4.0), (None, 5, 9.0), ("a", 70, 3.0)],
+        [("a", 90, 5.0)],
+        [("c", 600, 6.0), ("b", None, 9.0)],
+    ]
+    for part in parts:
+        made = spark.createDataFrame(part, "customer_id string, minute int, amount double")
+        made = made.selectExpr("customer_id", "timestamp_seconds(minute * 60) AS event_timestamp", "amount")
+        made.coalesce(1).write.mode("append").parquet(f"{path}/landing")
+        rows_in = file_stream(spark, f"{path}/landing", T.StructType.fromDDL(schema))
+        tracked = sessions.track_sessions(rows_in, "10 minutes", 30, slots)
+        drain(start_batches(tracked, append_handler(f"{path}/data"), f"{path}/checkpoint", mode="update"))
+    out = spark.read.parquet(f"{path}/data").selectExpr(
+        "customer_id", "unix_seconds(session_start) DIV 60 AS s", "unix_seconds(last_event_time) DIV 60 AS e", "event_count", "total_amount", "session_status"
+    )
+    assert rows(out) == sorted(
+        [
+            ("a", 0, 20, 2, 3.0, "ACTIVE"), ("a", 70, 70, 1, 3.0, "ACTIVE"), ("b", 5, 5, 1, 4.0, "ACTIVE"),
+            ("a", 0, 20, 2, 3.0, "TIMED_OUT"), ("b", 5, 5, 1, 4.0, "TIMED_OUT"),
+            ("a", 70, 90, 2, 8.0, "ACTIVE"), ("c", 600, 600, 1, 6.0, "ACTIVE"), ("a", 70, 90, 2, 8.0, "TIMED_OUT"),
+        ],
+        key=lambda t: tuple(map(str, t)),
+    )
+
+
+def test_busy_customers_are_joined_in_growing_steps():
+    chunk = pd.DataFrame({"customer_id": "a", "start_us": range(9_000), "last_us": range(9_000), "events": 1, "amount": 1.0})
+    steps = [len(found["a"]) for found in sessions.by_customer(iter([chunk] * 12))]
+    assert steps == [18_000, 27_000, 45_000, 18_000]
